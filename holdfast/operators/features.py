@@ -71,6 +71,21 @@ def domain_features(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def coerce_records(df: DataFrame) -> DataFrame:
+    """Loosely typed records to the types the record contract expects.
+
+    Charge text that is no number, blanks included, counts as 0.0; flags and months are
+    cast to integers and become NULL, hence quarantined, where that is impossible.
+    """
+    return df.withColumns(
+        {
+            "TotalCharges": lenient_number(F.col("TotalCharges")),
+            "SeniorCitizen": F.col("SeniorCitizen").try_cast("int"),
+            "tenure": F.col("tenure").try_cast("int"),
+        }
+    )
+
+
 def widen_integers(df: DataFrame) -> DataFrame:
     """Integer columns as doubles, so 12 and 12.0 are the same input to a model."""
     whole = {"tinyint", "smallint", "int", "bigint"}

@@ -81,7 +81,7 @@ def score_curve(
 
 def _curve_of(df, label, score, by, slabs):
     hist = score_histogram(df, label, score, by)
-    return score_curve(hist, slab_edges(df, score, slabs), by)
+    return score_curve(hist, slab_edges(df, score, slabs) if slabs > 1 else [], by)
 
 
 def contact_capacity(costs: Costs, rows: Column, population: Column) -> Column:
@@ -107,6 +107,9 @@ def evaluate(
     PR-AUC is average precision (a step sum, no interpolation). ``precision_at_k``
     counts a score level cut by k in proportion, which is its mean over all orders of
     the tied rows; :func:`precision_at_k` resolves ties by id instead.
+
+    ``slabs`` sizes the running sums over distinct scores; ``slabs=1`` saves the job
+    that finds the slab edges, for inputs known to be small.
     """
     return evaluate_curve(
         _curve_of(df, label, score, by, slabs), costs, threshold, population, by
@@ -226,24 +229,30 @@ def precision_at_k(
     above = F.col("pos_before") + F.col("neg_before")
     size = F.col("pos") + F.col("neg")
     marked = curve.withColumns({"_k": wanted, "_above": above, "_size": size})
-    whole = marked.agg(
+    whole = F.col("_above") + F.col("_size") <= F.col("_k")
+    cut = (F.col("_above") < F.col("_k")) & ~whole
+    # one row of scalars: k, the hits of whole levels, and where k cuts a level
+    head = marked.agg(
         F.max("_k").alias("k"),
-        F.sum(F.when(F.col("_above") + F.col("_size") <= F.col("_k"), F.col("pos")).otherwise(0))
-        .alias("hits"),
-    )
-    cut = marked.where(
-        (F.col("_above") < F.col("_k")) & (F.col("_k") < F.col("_above") + F.col("_size"))
-    ).select(F.col("score").alias("_cut"), (F.col("_k") - F.col("_above")).alias("_room"))
-    tied = df.select(
-        id_col, F.col(label).alias("_label"), F.col(score).cast("double").alias("_score")
-    ).join(cut, F.col("_score") == F.col("_cut"))
-    placed = with_position(tied, id_col, seed=seed)
-    extra = placed.agg(
-        F.count_if((F.col("position") < F.col("_room")) & (F.col("_label") == 1)).alias("e")
+        F.sum(F.when(whole, F.col("pos")).otherwise(0)).alias("hits"),
+        F.max(F.when(cut, F.col("score"))).alias("at"),
+        F.max(F.when(cut, F.col("_k") - F.col("_above"))).alias("room"),
+        F.max(F.when(cut, F.col("_size"))).alias("tied"),
     )
-    hits = F.col("hits") + extra.scalar()
-    return whole.select(
-        "k", F.round(ratio_or_zero(hits, F.col("k")), METRIC_DIGITS).alias("precision_at_k")
+    found = head.first()
+    extra = F.lit(0)
+    if found["at"] is not None:
+        tied = df.select(id_col, F.col(label).alias("_label"), F.col(score).cast("double").alias("_s"))
+        placed = with_position(
+            tied.where(F.col("_s") == F.lit(found["at"])), id_col, seed=seed, rows=found["tied"]
+        )
+        taken = (F.col("position") < found["room"]) & (F.col("_label") == 1)
+        extra = F.lit(placed.agg(F.count_if(taken)).first()[0])
+    return df.sparkSession.range(1).select(
+        F.lit(found["k"]).cast("bigint").alias("k"),
+        F.round(
+            ratio_or_zero(F.lit(found["hits"]) + extra, F.lit(found["k"])), METRIC_DIGITS
+        ).alias("precision_at_k"),
     )
 
 

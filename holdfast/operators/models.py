@@ -234,8 +234,27 @@ def positive_probability(scored: DataFrame, name: str = "p") -> DataFrame:
     return scored.withColumn(name, vector_to_array("probability")[1])
 
 
-def average_precision(scored: DataFrame, label: str = "label", score: str = "p") -> float:
-    return evaluate(scored, label, score).first()["pr_auc"]
+ROWS_PER_SLAB = 500_000
+ROWS_PER_FIT_PARTITION = 100_000
+
+
+def for_fitting(df: DataFrame, rows: int) -> DataFrame:
+    """Merge small partitions: an iterative fit pays for each of them in every iteration."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_FIT_PARTITION)))
+
+
+def average_precisions(scored: DataFrame, by: Sequence[str], rows: int) -> DataFrame:
+    """Average precision of every (model, fold, part) group from one histogram."""
+    slabs = max(1, -(-rows // ROWS_PER_SLAB))
+    return evaluate(scored, "label", "p", by=by, slabs=slabs).select(*by, "pr_auc")
+
+
+def _long_scores(model: Model, df: DataFrame, part: Column, **labels) -> DataFrame:
+    """Scores of one fitted model, labelled by part and candidate."""
+    scored = positive_probability(model.transform(df.withColumn("part", part)))
+    return scored.select(
+        *(F.lit(v).alias(k) for k, v in labels.items()), "part", "label", "p"
+    )
 
 
 HISTORY_SCHEMA = (
@@ -248,21 +267,40 @@ def _history(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
     return spark.createDataFrame(list(rows), HISTORY_SCHEMA)
 
 
-def _ap_pair(model: Model, train: DataFrame, test: DataFrame) -> tuple[float, float]:
-    parts = [positive_probability(model.transform(d)) for d in (train, test)]
-    return average_precision(parts[0]), average_precision(parts[1])
+def _paired(aps: DataFrame) -> dict[tuple, tuple[float, float]]:
+    """(family, candidate, fold) -> (train, test) average precision; one small collect."""
+    keys = ["family", "candidate", "fold"]
+    wide = aps.groupBy(*keys).agg(
+        F.max(F.when(F.col("part") == "train", F.col("pr_auc"))).alias("train"),
+        F.max(F.when(F.col("part") == "test", F.col("pr_auc"))).alias("test"),
+    )
+    return {tuple(r[k] for k in keys): (r["train"], r["test"]) for r in wide.collect()}
+
+
+def _part_of(fold_col: str, fold: int) -> Column:
+    return F.when(F.col(fold_col) == fold, "test").otherwise("train")
 
 
 def cross_validate(
     estimators: dict[str, Estimator], df: DataFrame, fold_col: str = "fold", k: int = 5
 ) -> DataFrame:
-    """Average precision of whole estimators (raw records in) on each held-out fold."""
-    rows = []
+    """Average precision of whole estimators (raw records in) on each held-out fold.
+
+    All fitted models are scored and evaluated together, grouped by model and fold.
+    """
+    scored = None
     for fold in range(k):
-        train, test = df.where(F.col(fold_col) != fold), df.where(F.col(fold_col) == fold)
+        train = df.where(F.col(fold_col) != fold)
         for name, estimator in estimators.items():
-            on_train, on_test = _ap_pair(estimator.fit(train), train, test)
-            rows.append((name, 0, fold, {}, on_train, on_test))
+            one = _long_scores(
+                estimator.fit(train), df, _part_of(fold_col, fold),
+                family=name, candidate=0, fold=fold,
+            )
+            scored = one if scored is None else scored.unionByName(one)
+    aps = average_precisions(
+        scored, ["family", "candidate", "fold", "part"], df.count() * k * len(estimators)
+    )
+    rows = [(f, c, i, {}, *pair) for (f, c, i), pair in sorted(_paired(aps).items())]
     return _history(df.sparkSession, rows)
 
 
@@ -277,34 +315,44 @@ def randomized_search(
 ) -> DataFrame:
     """History of every candidate on every fold, preprocessing refitted per fold.
 
-    The preparation depends on the fold only, so it is fitted once per fold and shared
-    by all candidates. Candidates of a fold run as concurrent Spark jobs; only their
-    two scores come back.
+    The preparation depends on the fold only, so it is fitted once per fold and its
+    result shared by all candidates. Candidates of a fold are fitted as concurrent Spark
+    jobs and evaluated together; only their scores per part come back.
     """
     rows: list[tuple] = []
+    tasks = [
+        (family, i, params)
+        for family, candidates in families.items()
+        for i, params in enumerate(candidates)
+    ]
+    rows_in = df.count()
     for fold in range(k):
-        train, test = df.where(F.col(fold_col) != fold), df.where(F.col(fold_col) == fold)
-        prepared = feature_pipeline(keep).fit(train)
-        train_m = class_weight(prepared.transform(train)).persist()
-        test_m = prepared.transform(test).persist()
-        n = train_m.count()
-
-        def run(task, train_m=train_m, test_m=test_m, n=n, fold=fold):
-            family, index, params = task
-            model = build_estimator(family, params, n, seed).fit(train_m)
-            on_train, on_test = _ap_pair(model, train_m, test_m)
-            shown = {name: str(value) for name, value in params.items()}
-            return (family, index, fold, shown, on_train, on_test)
+        train = df.where(F.col(fold_col) != fold)
+        stages = feature_pipeline([*keep, fold_col]).fit(train)
+        matrix = for_fitting(stages.transform(df), rows_in).persist()
+        weighted = class_weight(matrix.where(F.col(fold_col) != fold)).persist()
+        n = weighted.count()
+
+        def fit(task, weighted=weighted, n=n):
+            family, _, params = task
+            return build_estimator(family, params, n, seed).fit(weighted)
 
-        tasks = [
-            (family, i, params)
-            for family, candidates in families.items()
-            for i, params in enumerate(candidates)
-        ]
         with ThreadPoolExecutor(parallelism) as pool:
-            rows += list(pool.map(run, tasks))
-        train_m.unpersist()
-        test_m.unpersist()
+            models = list(pool.map(fit, tasks))
+        scored = None
+        for (family, index, _), model in zip(tasks, models, strict=True):
+            one = _long_scores(
+                model, matrix, _part_of(fold_col, fold),
+                family=family, candidate=index, fold=fold,
+            )
+            scored = one if scored is None else scored.unionByName(one)
+        groups = ["family", "candidate", "fold", "part"]
+        pairs = _paired(average_precisions(scored, groups, rows_in * len(tasks)))
+        for family, index, params in tasks:
+            shown = {name: str(value) for name, value in params.items()}
+            rows.append((family, index, fold, shown, *pairs[(family, index, fold)]))
+        weighted.unpersist()
+        matrix.unpersist()
     return _history(df.sparkSession, rows)
 
 

@@ -27,6 +27,7 @@ def with_position(
     within: Sequence[str] = (),
     seed: int | str = 0,
     rows_per_cell: int = ROWS_PER_CELL,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add the 0-based ``position`` of each row in its ``within`` group.
 
@@ -36,12 +37,17 @@ def with_position(
     before this row's level) and ``group_rows`` (rows in the group).
 
     Ids must be unique. The base is shuffled once, by cell; everything else works on
-    the counts per cell, at most levels x (rows / rows_per_cell) rows.
+    the counts per cell, at most levels x (rows / rows_per_cell) rows. Callers that know
+    the row count pass it as ``rows``; otherwise it is counted inside the plan.
     """
     levels = [name for name, _ in order]
     keyed = df.withColumn("_digest", shuffle_key(id_col, seed))
-    cells = df.agg(F.ceil(F.count("*") / F.lit(rows_per_cell)).cast("bigint")).scalar()
-    keyed = keyed.withColumn("_cell", cell_of(F.col("_digest"), F.greatest(cells, F.lit(1))))
+    if rows is None:
+        wanted = df.agg(F.ceil(F.count("*") / F.lit(rows_per_cell)).cast("bigint")).scalar()
+        cells = F.greatest(wanted, F.lit(1))
+    else:
+        cells = max(1, -(-rows // rows_per_cell))
+    keyed = keyed.withColumn("_cell", cell_of(F.col("_digest"), cells))
 
     keys = [*within, *levels, "_cell"]
     level_keys = [*within, *levels]

@@ -73,7 +73,7 @@ def stratified_split(
 
     until_test = _per_stratum(strata, in_test)
     until_val = _per_stratum(strata, {k: in_test[k] + in_val[k] for k in counts})
-    placed = with_position(df, id_col, within=[strata], seed=seed, **cells)
+    placed = with_position(df, id_col, within=[strata], seed=seed, rows=rows, **cells)
     return placed.withColumn(
         "split",
         F.when(F.col("position") < until_test, "test")
@@ -122,7 +122,9 @@ def oversample(df: DataFrame, label: str, id_col: str, seed: int = 42, **cells)
         F.col("id").alias("draw"),
         slot_of(shuffle_key("id", f"draw-{seed}"), sizes["pos"]).alias("position"),
     )
-    pool = with_position(df.where(positive), id_col, seed=f"pool-{seed}", **cells)
+    pool = with_position(
+        df.where(positive), id_col, seed=f"pool-{seed}", rows=sizes["pos"], **cells
+    )
     copies = draws.join(pool, "position").select(*df.columns, "draw")
     return originals.unionByName(copies)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from holdfast.operators.decision import decide, worklist
 from holdfast.operators.explain import LinearTerm, top_drivers
-from holdfast.operators.features import DomainFeatures, PrepareModel
+from holdfast.operators.features import DomainFeatures, PrepareModel, coerce_records
 from holdfast.operators.metrics import Costs
 from holdfast.operators.models import positive_probability
 from holdfast.operators.quality import split_valid
@@ -55,9 +55,17 @@ def score_records(
 
 
 def ranked_batch(
-    records: DataFrame, model: PipelineModel, contract: Contract = TELCO, **options
+    records: DataFrame,
+    model: PipelineModel,
+    contract: Contract = TELCO,
+    coerce: bool = False,
+    **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """(ranked worklist of the valid records, quarantine of the others)."""
-    valid, quarantine = split_valid(records, contract)
+    """(ranked worklist of the valid records, quarantine of the others).
+
+    With ``coerce``, loosely typed records are cast first; without it they must already
+    meet the record contract.
+    """
+    valid, quarantine = split_valid(coerce_records(records) if coerce else records, contract)
     scored = score_records(valid, model, id_col=contract.id_column, **options)
     return worklist(scored, contract.id_column), quarantine

@@ -18,11 +18,13 @@ from holdfast.operators.models import (
     ContractRule,
     build_estimator,
     class_weight,
+    for_fitting,
     one_se_select,
     positive_probability,
     randomized_search,
 )
 from holdfast.operators.split import stratified_folds, stratified_split
+from holdfast.session import materialize
 from holdfast.sources.contract import TELCO, Contract
 
 
@@ -51,8 +53,9 @@ def fit_family(
     keep = [contract.id_column, "label"]
     stages = feature_pipeline(keep).fit(train)
     prepared = stages.transform(train)
-    weighted = class_weight(prepared).persist()
-    model = build_estimator(family, params, weighted.count(), seed).fit(weighted)
+    rows = train.count()
+    weighted = class_weight(for_fitting(prepared, rows)).persist()
+    model = build_estimator(family, params, rows, seed).fit(weighted)
     weighted.unpersist()
     names = stages.stages[1].feature_names
     fitted = PipelineModel(stages=[*stages.stages, model])
@@ -74,7 +77,8 @@ def search_and_select(
     complexity: dict[str, int] = COMPLEXITY,
 ) -> tuple[DataFrame, DataFrame]:
     """(history, one-row selection) of a randomized search on the training rows."""
-    folded = stratified_folds(train, contract.id_column, "label", k, seed)
+    # read by every fit, so it is stored once instead of being recomputed
+    folded = materialize(stratified_folds(train, contract.id_column, "label", k, seed), "folds")
     keep = [contract.id_column, "label"]
     history = randomized_search(folded, families, k=k, keep=keep, seed=seed)
     return history, one_se_select(history, complexity)
