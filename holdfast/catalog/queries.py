@@ -819,7 +819,7 @@ def exports(spark, sf_dir):
 def loaded_csv(spark, sf_dir):
     """Raw rows through the CSV source and the checked append."""
     path = scratch_path(spark, "csv")
-    subscribers(spark, sf_dir).write.option("header", True).csv(path)
+    subscribers(spark, sf_dir).write.options(**writers.CSV_VERBATIM).csv(path)
     raw = readers.read_customers(spark, path)
     stored = scratch_path(spark, "bronze")
     writers.append_checked(raw, stored)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,6 +30,6 @@ def collapse(column: Column, values=NOT_APPLICABLE) -> Column:
     return F.when(column.isin(*values), "No").otherwise(column)
 
 
-def count_yes(columns: list[Column]) -> Column:
-    """Number of columns in a row that say Yes."""
-    return reduce(add, (F.when(c == "Yes", 1).otherwise(0) for c in columns))
+def count_yes(names: Sequence[str]) -> Column:
+    """Number of the named columns that say Yes in a row; NULL counts as no."""
+    return F.expr(" + ".join(f"int(`{n}` <=> 'Yes')" for n in names))

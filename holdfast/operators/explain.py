@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import ratio
-from holdfast.operators.cumulative import SLABS, slab_edges
+from holdfast.operators.cumulative import ROWS_PER_SLAB, slab_edges
 from holdfast.operators.metrics import METRIC_DIGITS, Costs, evaluate_curve, score_curve
 
 
@@ -142,7 +142,7 @@ def fairness(
     score: str,
     threshold: float,
     slices: Sequence[str] = FAIRNESS_SLICES,
-    slabs: int = SLABS,
+    rows_per_slab: int = ROWS_PER_SLAB,
 ) -> DataFrame:
     """Selection rate, recall, precision and ranking quality per slice.
 
@@ -166,7 +166,7 @@ def fairness(
         .where(F.col("value").isNotNull())
     )
     by = ["column", "value"]
-    curve = score_curve(hist, slab_edges(df, score, slabs), by)
+    curve = score_curve(hist, slab_edges(df, score, rows_per_slab), by)
     metrics = evaluate_curve(curve, Costs(), threshold, None, by)
     n, positives = F.col("n"), F.col("tp") + F.col("fn")
     return metrics.where((positives >= MIN_POSITIVES) & (n >= MIN_ROWS)).select(

@@ -53,7 +53,7 @@ def domain_features(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         "MonthlyCharges": F.col("MonthlyCharges").cast("double"),
         "TotalCharges": total,
         "SeniorCitizen": F.col("SeniorCitizen").cast("double"),
-        "num_addon_services": count_yes([F.col(c) for c in ADDON_COLUMNS]).cast("double"),
+        "num_addon_services": count_yes(ADDON_COLUMNS).cast("double"),
         "avg_charges_per_month": total / months,
         "has_internet": (~F.col("InternetService").eqNullSafe("No")).cast("double"),
         "is_automatic_payment": automatic.cast("double"),

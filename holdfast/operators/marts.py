@@ -80,12 +80,17 @@ def churn_by_segment(
         rate(_churned()).alias("_rate"),
         (_lost(F.col("monthly_charges")) * 12).alias("annual_revenue_at_risk"),
     )
-    everything = 2 ** len(dims) - 1
-    overall = F.max(F.when(F.col("aggregation_level") == everything, F.col("_rate"))).over(
-        Window.partitionBy()
+    is_total = F.col("aggregation_level") == 2 ** len(dims) - 1
+    total = {
+        f"_total_{c}": F.max(F.when(is_total, F.col(c))).over(Window.partitionBy())
+        for c in ("customers", "churned")
+    }
+    # rate over overall rate as one quotient of products, exact where the result is a tie
+    index = ratio(
+        F.col("churned") * F.col("_total_customers"), F.col("customers") * F.col("_total_churned")
     )
     return (
-        rolled.withColumn("_overall", overall)
+        rolled.withColumns(total)
         .select(
             *(
                 F.when(F.col(f"_all_{d}") == 1, label).otherwise(F.col(d)).alias(d)
@@ -96,7 +101,7 @@ def churn_by_segment(
             "churned",
             F.round("_rate", 4).alias("churn_rate"),
             "annual_revenue_at_risk",
-            F.round(ratio(F.col("_rate"), F.col("_overall")), 2).alias("churn_index"),
+            F.round(index, 2).alias("churn_index"),
         )
         .orderBy("aggregation_level", F.col("churn_rate").desc_nulls_first(), *dims)
     )

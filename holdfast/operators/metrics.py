@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from holdfast.functions.numeric import ratio, ratio_or_zero
 from holdfast.operators.cumulative import (
-    SLABS,
+    ROWS_PER_SLAB,
     cumulate,
     cut_index,
     exact_quantiles,
@@ -79,9 +79,9 @@ def score_curve(
     return cumulate(hist, "score", ["pos", "neg"], edges, by, descending=True)
 
 
-def _curve_of(df, label, score, by, slabs):
-    hist = score_histogram(df, label, score, by)
-    return score_curve(hist, slab_edges(df, score, slabs) if slabs > 1 else [], by)
+def _curve_of(df, label, score, by, rows_per_slab, rows=None):
+    edges = slab_edges(df, score, rows_per_slab, rows)
+    return score_curve(score_histogram(df, label, score, by), edges, by)
 
 
 def contact_capacity(costs: Costs, rows: Column, population: Column) -> Column:
@@ -99,21 +99,19 @@ def evaluate(
     threshold: float | None = None,
     population: int | None = None,
     by: Sequence[str] = (),
-    slabs: int = SLABS,
+    rows_per_slab: int = ROWS_PER_SLAB,
+    rows: int | None = None,
 ) -> DataFrame:
     """One metric row per group.
 
     ROC-AUC gives tied pairs half credit and is NULL for a group with one class.
     PR-AUC is average precision (a step sum, no interpolation). ``precision_at_k``
     counts a score level cut by k in proportion, which is its mean over all orders of
-    the tied rows; :func:`precision_at_k` resolves ties by id instead.
-
-    ``slabs`` sizes the running sums over distinct scores; ``slabs=1`` saves the job
-    that finds the slab edges, for inputs known to be small.
+    the tied rows; :func:`precision_at_k` resolves ties by id instead. A known row count
+    passed as ``rows`` saves the count that sizes the running sums.
     """
-    return evaluate_curve(
-        _curve_of(df, label, score, by, slabs), costs, threshold, population, by
-    )
+    curve = _curve_of(df, label, score, by, rows_per_slab, rows)
+    return evaluate_curve(curve, costs, threshold, population, by)
 
 
 def evaluate_curve(
@@ -209,7 +207,7 @@ def precision_at_k(
     costs: Costs = Costs(),
     population: int | None = None,
     k: int | None = None,
-    slabs: int = SLABS,
+    rows_per_slab: int = ROWS_PER_SLAB,
     seed: int = 0,
 ) -> DataFrame:
     """Share of positives among the k best, ties ordered by the id digest.
@@ -218,7 +216,7 @@ def precision_at_k(
     that k cuts are placed individually, so no top-k of unbounded size is sorted on one
     task or sent to the driver.
     """
-    curve = _curve_of(df, label, score, (), slabs)
+    curve = _curve_of(df, label, score, (), rows_per_slab)
     rows = F.col("pos_total") + F.col("neg_total")
     wanted = (
         F.lit(k).cast("bigint")
@@ -256,9 +254,9 @@ def precision_at_k(
     )
 
 
-def roc_points(df, label, score, by: Sequence[str] = (), slabs: int = SLABS) -> DataFrame:
+def roc_points(df, label, score, by: Sequence[str] = (), rows_per_slab: int = ROWS_PER_SLAB) -> DataFrame:
     """False and true positive rate when everything from a score upwards is flagged."""
-    curve = _curve_of(df, label, score, by, slabs)
+    curve = _curve_of(df, label, score, by, rows_per_slab)
     return curve.select(
         *by,
         F.col("score").alias("threshold"),
@@ -269,9 +267,9 @@ def roc_points(df, label, score, by: Sequence[str] = (), slabs: int = SLABS) ->
     )
 
 
-def pr_points(df, label, score, by: Sequence[str] = (), slabs: int = SLABS) -> DataFrame:
+def pr_points(df, label, score, by: Sequence[str] = (), rows_per_slab: int = ROWS_PER_SLAB) -> DataFrame:
     """Precision and recall from each score upwards, and the no-skill line."""
-    curve = _curve_of(df, label, score, by, slabs)
+    curve = _curve_of(df, label, score, by, rows_per_slab)
     hits = F.col("pos_before") + F.col("pos")
     return curve.select(
         *by,
@@ -285,13 +283,13 @@ def pr_points(df, label, score, by: Sequence[str] = (), slabs: int = SLABS) -> D
     )
 
 
-def calibration(df, label, score, bins: int = 10, slabs: int = SLABS) -> DataFrame:
+def calibration(df, label, score, bins: int = 10, rows_per_slab: int = ROWS_PER_SLAB) -> DataFrame:
     """Mean prediction against observed rate in quantile bins; empty bins are absent.
 
     A row's bin is the number of inner edges strictly below its score.
     """
     shares = [i / bins for i in range(1, bins)]
-    edges = exact_quantiles(df, score, shares, slabs=slabs).first()
+    edges = exact_quantiles(df, score, shares, rows_per_slab=rows_per_slab).first()
     inner = [edges[f"q{i}"] for i in range(len(shares))]
     below = sum((F.col("score") > F.lit(e)).cast("int") for e in inner)
     hist = score_histogram(df, label, score)

@@ -234,7 +234,6 @@ def positive_probability(scored: DataFrame, name: str = "p") -> DataFrame:
     return scored.withColumn(name, vector_to_array("probability")[1])
 
 
-ROWS_PER_SLAB = 500_000
 ROWS_PER_FIT_PARTITION = 100_000
 
 
@@ -245,8 +244,7 @@ def for_fitting(df: DataFrame, rows: int) -> DataFrame:
 
 def average_precisions(scored: DataFrame, by: Sequence[str], rows: int) -> DataFrame:
     """Average precision of every (model, fold, part) group from one histogram."""
-    slabs = max(1, -(-rows // ROWS_PER_SLAB))
-    return evaluate(scored, "label", "p", by=by, slabs=slabs).select(*by, "pr_auc")
+    return evaluate(scored, "label", "p", by=by, rows=rows).select(*by, "pr_auc")
 
 
 def _long_scores(model: Model, df: DataFrame, part: Column, **labels) -> DataFrame:
@@ -297,9 +295,8 @@ def cross_validate(
                 family=name, candidate=0, fold=fold,
             )
             scored = one if scored is None else scored.unionByName(one)
-    aps = average_precisions(
-        scored, ["family", "candidate", "fold", "part"], df.count() * k * len(estimators)
-    )
+    rows_scored = df.count() * k * len(estimators)
+    aps = average_precisions(scored, ["family", "candidate", "fold", "part"], rows_scored)
     rows = [(f, c, i, {}, *pair) for (f, c, i), pair in sorted(_paired(aps).items())]
     return _history(df.sparkSession, rows)
 

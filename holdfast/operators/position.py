@@ -36,41 +36,69 @@ def with_position(
     digest of ``(seed, id)``, then the id. Also adds ``level_start`` (rows strictly
     before this row's level) and ``group_rows`` (rows in the group).
 
-    Ids must be unique. The base is shuffled once, by cell; everything else works on
-    the counts per cell, at most levels x (rows / rows_per_cell) rows. Callers that know
+    Ids must be unique. The base is shuffled and sorted once, by cell: the join with
+    the cell offsets uses the same key. Offsets are prefix sums over the cells of one
+    level and over the levels of one group, never over both at once. Callers that know
     the row count pass it as ``rows``; otherwise it is counted inside the plan.
     """
     levels = [name for name, _ in order]
-    keyed = df.withColumn("_digest", shuffle_key(id_col, seed))
     if rows is None:
         wanted = df.agg(F.ceil(F.count("*") / F.lit(rows_per_cell)).cast("bigint")).scalar()
         cells = F.greatest(wanted, F.lit(1))
     else:
         cells = max(1, -(-rows // rows_per_cell))
+    keyed = df.withColumn("_digest", shuffle_key(id_col, seed))
     keyed = keyed.withColumn("_cell", cell_of(F.col("_digest"), cells))
+    # one struct as key: equal structs match also where a field is NULL
+    keyed = keyed.withColumn("_key", F.struct(*within, *levels, "_cell"))
+
+    in_cell = Window.partitionBy("_key").orderBy("_digest", id_col)
+    placed = keyed.withColumn("_nth", F.row_number().over(in_cell))
+    offsets = _cell_offsets(keyed, order, within)
+    return (
+        placed.join(offsets, "_key")
+        .withColumn("position", F.col("_before") + F.col("_nth") - 1)
+        .drop("_key", "_digest", "_cell", "_nth", "_before")
+    )
+
 
-    keys = [*within, *levels, "_cell"]
-    level_keys = [*within, *levels]
-    directed = [F.col(c).desc() if way == "desc" else F.col(c).asc() for c, way in order]
-    counts = keyed.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    in_group = Window.partitionBy(*within).orderBy(*directed, F.col("_cell"))
-    offsets = (
-        counts.withColumn(
-            "_before",
-            F.coalesce(
-                F.sum("_rows").over(in_group.rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ),
+def _cell_offsets(
+    keyed: DataFrame, order: Sequence[tuple[str, str]], within: Sequence[str]
+) -> DataFrame:
+    """``_key, _before, level_start, group_rows`` for every occupied cell."""
+    levels = [name for name, _ in order]
+    fields = [*within, *levels, "_cell"]
+    counts = (
+        keyed.groupBy("_key")
+        .agg(F.count("*").alias("_rows"))
+        .select("_key", "_rows", *(F.col(f"_key.{f}").alias(f) for f in fields))
+    )
+    in_level = Window.partitionBy(*within, *levels).orderBy("_cell")
+    before = F.sum("_rows").over(in_level.rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumn("_inside", F.coalesce(before, F.lit(0)))
+    if order:
+        directed = [F.col(c).desc() if way == "desc" else F.col(c).asc() for c, way in order]
+        in_group = Window.partitionBy(*within).orderBy(*directed)
+        earlier = F.sum("_n").over(in_group.rowsBetween(Window.unboundedPreceding, -1))
+        starts = (
+            counts.groupBy(*within, *levels)
+            .agg(F.sum("_rows").alias("_n"))
+            .withColumn("level_start", F.coalesce(earlier, F.lit(0)))
+            .withColumn("group_rows", F.sum("_n").over(Window.partitionBy(*within)))
+            .drop("_n")
+        )
+        counts = null_safe_join(counts, starts, [*within, *levels])
+    else:
+        in_group = Window.partitionBy(*within)
+        counts = counts.withColumn("level_start", F.lit(0).cast("bigint")).withColumn(
+            "group_rows", F.sum("_rows").over(in_group)
         )
-        .withColumn("group_rows", F.sum("_rows").over(Window.partitionBy(*within)))
-        .withColumn("level_start", F.min("_before").over(Window.partitionBy(*level_keys)))
-        .drop("_rows")
+    return counts.select(
+        "_key",
+        (F.col("level_start") + F.col("_inside")).alias("_before"),
+        "level_start",
+        "group_rows",
     )
-    in_cell = Window.partitionBy(*keys).orderBy("_digest", id_col)
-    joined = null_safe_join(keyed, offsets, keys)
-    return joined.withColumn(
-        "position", F.col("_before") + F.row_number().over(in_cell) - 1
-    ).drop("_digest", "_cell", "_before")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how="inner"):

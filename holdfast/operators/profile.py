@@ -142,7 +142,7 @@ def simpson_table(df: DataFrame, hit: Column, subset: Column) -> DataFrame:
     ``rises`` marks a count whose overall rate is above that of the count before, which
     is where the unconditioned trend turns against the conditioned one.
     """
-    counted = df.withColumn("n_addons", count_yes([F.col(c) for c in ADDON_COLUMNS]))
+    counted = df.withColumn("n_addons", count_yes(ADDON_COLUMNS))
     return counted.groupBy("n_addons").agg(
         F.count("*").alias("customers_all"),
         F.round(rate(hit), DIGITS).alias("rate_all"),
@@ -153,7 +153,7 @@ def simpson_table(df: DataFrame, hit: Column, subset: Column) -> DataFrame:
 
 def zero_addon_breakdown(df: DataFrame, hit: Column, by: str = "InternetService") -> DataFrame:
     """Who sits in the bucket of customers without any add-on."""
-    none = count_yes([F.col(c) for c in ADDON_COLUMNS]) == 0
+    none = count_yes(ADDON_COLUMNS) == 0
     return (
         df.where(none)
         .groupBy(by)

@@ -69,36 +69,44 @@ def table_rules(contract: Contract = TELCO) -> list[tuple[dict, Column]]:
     return rules
 
 
+def _counters(checks: list[tuple[dict, Column]]) -> list[Column]:
+    return [F.count_if(broken).alias(f"n{i}") for i, (_, broken) in enumerate(checks)]
+
+
+def _report(df: DataFrame, checks: list[tuple[dict, Column]]) -> DataFrame:
+    """Violations per check: all counters in one aggregate over one scan."""
+    wide = df.agg(*_counters(checks))
+    return _unstack(wide, [(labels, F.col(f"n{i}")) for i, (labels, _) in enumerate(checks)])
+
+
+def _broken(rules: list[tuple[dict, Column]]) -> list[tuple[dict, Column]]:
+    return [(labels, ~F.coalesce(holds, F.lit(True))) for labels, holds in rules]
+
+
 def constraint_report(df: DataFrame, contract: Contract = TELCO) -> DataFrame:
-    """Violations of every NOT NULL and CHECK rule from one aggregate over one scan."""
-    rules = table_rules(contract)
-    wide = df.agg(
-        *(
-            F.count_if(~F.coalesce(holds, F.lit(True))).alias(f"r{i}")
-            for i, (_, holds) in enumerate(rules)
-        )
-    )
-    return _unstack(wide, [(labels, F.col(f"r{i}")) for i, (labels, _) in enumerate(rules)])
+    """Violations of every NOT NULL and CHECK rule."""
+    return _report(df, _broken(table_rules(contract)))
 
 
-def null_blank_report(df: DataFrame) -> DataFrame:
-    """NULLs of every column and blank strings of every text column, one aggregate."""
+def _missing_checks(df: DataFrame) -> list[tuple[dict, Column]]:
+    """NULLs of every column, and blank strings, which IS NULL does not see."""
     text = [c for c, t in df.dtypes if t == "string"]
-    wide = df.agg(
-        *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns),
-        *(F.count_if(F.trim(F.col(c)) == "").alias(f"blank_{c}") for c in text),
-    )
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"null_{c}").alias("nulls"),
-                (F.col(f"blank_{c}") if c in text else F.lit(0).cast("bigint")).alias("blanks"),
-            )
-            for c in df.columns
-        )
-    )
-    return wide.select(F.explode(rows).alias("r")).select("r.*")
+    nulls = [({"rule": "null", "column": c}, F.col(c).isNull()) for c in df.columns]
+    blanks = [
+        ({"rule": "blank", "column": c}, F.trim(F.col(c)) == "" if c in text else F.lit(False))
+        for c in df.columns
+    ]
+    return nulls + blanks
+
+
+def null_blank_report(df: DataFrame) -> DataFrame:
+    """NULLs of every column and blank strings of every text column, one row per column."""
+    found = _report(df, _missing_checks(df))
+
+    def of(rule: str) -> Column:
+        return F.max(F.when(F.col("rule") == rule, F.col("violations")))
+
+    return found.groupBy("column").agg(of("null").alias("nulls"), of("blank").alias("blanks"))
 
 
 def class_balance_of(df: DataFrame, contract: Contract = TELCO) -> DataFrame:
@@ -131,44 +139,29 @@ def check_table(
     absent = missing_columns(df, contract)
     if absent:
         raise ContractViolation(f"required columns absent: {absent}")
-    hard = constraint_report(df, contract).select("rule", "column", "violations")
+    hard = [({**labels, "severity": "hard"}, b) for labels, b in _broken(table_rules(contract))]
+    soft = [({**labels, "severity": "soft"}, b) for labels, b in _missing_checks(df)]
     keys = duplicate_keys(df, contract.id_column)
-    n_columns = abs(len(df.columns) - len(contract.rules))
-    shape = keys.select(
-        F.explode(
-            F.array(
-                *_long(
-                    [
-                        (
-                            {"rule": "row_count", "column": "*"},
-                            F.abs(F.col("rows") - F.lit(expected_rows or 0))
-                            if expected_rows is not None
-                            else F.lit(0).cast("bigint"),
-                        ),
-                        (
-                            {"rule": "column_count", "column": "*"},
-                            F.lit(n_columns).cast("bigint"),
-                        ),
-                        (
-                            {"rule": "unique", "column": contract.id_column},
-                            F.col("duplicate_rows"),
-                        ),
-                    ]
-                )
-            )
-        ).alias("r")
-    ).select("r.*")
-    soft = null_blank_report(df)
-    nulls = soft.select(
-        F.lit("null").alias("rule"), "column", F.col("nulls").alias("violations")
-    )
-    blanks = soft.select(
-        F.lit("blank").alias("rule"), "column", F.col("blanks").alias("violations")
+    off_by = (
+        F.abs(F.col("rows") - F.lit(expected_rows))
+        if expected_rows is not None
+        else F.lit(0).cast("bigint")
     )
+    n_columns = abs(len(df.columns) - len(contract.rules))
+    shape = [
+        ({"rule": "row_count", "column": "*", "severity": "hard"}, off_by),
+        (
+            {"rule": "column_count", "column": "*", "severity": "hard"},
+            F.lit(n_columns).cast("bigint"),
+        ),
+        (
+            {"rule": "unique", "column": contract.id_column, "severity": "hard"},
+            F.col("duplicate_rows"),
+        ),
+    ]
     return (
-        hard.unionByName(shape)
-        .withColumn("severity", F.lit("hard"))
-        .unionByName(nulls.unionByName(blanks).withColumn("severity", F.lit("soft")))
+        _report(df, hard + soft)
+        .unionByName(_unstack(keys, shape))
         .select("rule", "column", "severity", "violations")
     )
 

@@ -48,7 +48,7 @@ def silver_customers(raw: DataFrame, contract: Contract = TELCO) -> DataFrame:
         col("PaymentMethod").like("%automatic%").alias("is_automatic_payment"),
         (col(contract.target) == contract.positive).alias("has_churned"),
         band(col("tenure")).alias("tenure_band"),
-        count_yes([col(c) for c in ADDON_COLUMNS]).alias("addon_service_count"),
+        count_yes(ADDON_COLUMNS).alias("addon_service_count"),
         (col("InternetService") != "No").alias("has_internet"),
         (col("MonthlyCharges") * 12).cast("decimal(10,2)").alias("annual_revenue"),
     )

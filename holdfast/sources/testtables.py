@@ -7,18 +7,25 @@ arithmetic only (see FIXTURES.md).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.sources.contract import ADDON_COLUMNS, TELCO
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Columns the queries use; a given schema saves the footer job of schema inference.
+SCHEMAS = {
+    "customer": "c_custkey long, c_nationkey int, c_mktsegment string",
+    "orders": "o_custkey long, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double, l_tax double, l_returnflag string, l_linestatus string",
+    "events": "event_id long, event_type string",
+    "documents": "doc_id long, lang string, n_chars long",
+    "labels": "doc_id long, quality int",
+}
 
 
-def _yes(condition: Column) -> Column:
-    return F.when(condition, "Yes").otherwise("No")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,64 +33,54 @@ def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     # one row per customer leaves the map side, so a customer holding most orders is no hot key
     activity = orders.groupBy("o_custkey").agg(
-        F.count("*").alias("n_orders"), F.max("o_orderdate").alias("last_order")
+        F.count("*").alias("n"), F.max("o_orderdate").alias("last_order")
     )
     latest = orders.agg(F.max("o_orderdate")).scalar()
-
-    k = F.col("c_custkey")
-    segment = F.col("c_mktsegment")
-    internet = (
-        F.when(segment.isin("AUTOMOBILE", "BUILDING"), "Fiber optic")
-        .when(segment.isin("FURNITURE", "HOUSEHOLD"), "DSL")
-        .otherwise("No")
-    )
-    n_orders = F.coalesce(F.col("n_orders"), F.lit(0))
-    monthly = (
-        (F.lit(1800) + (k * 7919) % 10000).cast("decimal(12,0)")
-        * F.lit("0.01").cast("decimal(3,2)")
-    ).cast("decimal(10,2)")
-
-    rows = (
+    addons = [
+        f"CASE WHEN internet = 'No' THEN 'No internet service' "
+        f"WHEN (k * {7 + 2 * i}) % 11 < 4 THEN 'Yes' ELSE 'No' END AS {name}"
+        for i, name in enumerate(ADDON_COLUMNS)
+    ]
+    return (
         table(spark, sf_dir, "customer")
-        .join(activity, k == F.col("o_custkey"), "left")
-        .select(
-            k.cast("string").alias("customerID"),
-            F.when(k % 2 == 0, "Female").otherwise("Male").alias("gender"),
-            F.when(k % 6 == 0, 1).otherwise(0).cast("short").alias("SeniorCitizen"),
-            _yes(F.col("c_nationkey") % 2 == 0).alias("Partner"),
-            _yes(F.col("c_nationkey") % 3 == 0).alias("Dependents"),
-            ((k * 31) % 73).cast("int").alias("tenure"),
-            F.when(k % 10 == 0, "No").otherwise("Yes").alias("PhoneService"),
-            F.when(k % 10 == 0, "No phone service")
-            .otherwise(_yes(k % 3 == 0))
-            .alias("MultipleLines"),
-            internet.alias("InternetService"),
-            *(
-                F.when(internet == "No", "No internet service")
-                .otherwise(_yes((k * (7 + 2 * i)) % 11 < 4))
-                .alias(name)
-                for i, name in enumerate(ADDON_COLUMNS)
-            ),
-            F.when(n_orders <= 8, "Month-to-month")
-            .when(n_orders <= 11, "One year")
-            .otherwise("Two year")
-            .alias("Contract"),
-            _yes(k % 5 < 3).alias("PaperlessBilling"),
-            F.when(k % 4 == 0, "Electronic check")
-            .when(k % 4 == 1, "Mailed check")
-            .when(k % 4 == 2, "Bank transfer (automatic)")
-            .otherwise("Credit card (automatic)")
-            .alias("PaymentMethod"),
-            monthly.alias("MonthlyCharges"),
-            _yes(
-                F.col("last_order").isNull() | (F.datediff(latest, F.col("last_order")) > 365)
-            ).alias("Churn"),
+        .join(activity, F.col("c_custkey") == F.col("o_custkey"), "left")
+        .withColumn("latest", latest)
+        .selectExpr(
+            "c_custkey AS k",
+            "c_nationkey AS nation",
+            "coalesce(n, 0) AS n",
+            "last_order IS NULL OR datediff(latest, last_order) > 365 AS lapsed",
+            "CAST((c_custkey * 31) % 73 AS INT) AS tenure",
+            "CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'Fiber optic' "
+            "WHEN c_mktsegment IN ('FURNITURE', 'HOUSEHOLD') THEN 'DSL' ELSE 'No' END AS internet",
+            "CAST(CAST(1800 + (c_custkey * 7919) % 10000 AS DECIMAL(12,0)) "
+            "* CAST('0.01' AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS monthly",
         )
+        .selectExpr(
+            "CAST(k AS STRING) AS customerID",
+            "IF(k % 2 = 0, 'Female', 'Male') AS gender",
+            "CAST(IF(k % 6 = 0, 1, 0) AS SMALLINT) AS SeniorCitizen",
+            "IF(nation % 2 = 0, 'Yes', 'No') AS Partner",
+            "IF(nation % 3 = 0, 'Yes', 'No') AS Dependents",
+            "tenure",
+            "IF(k % 10 = 0, 'No', 'Yes') AS PhoneService",
+            "CASE WHEN k % 10 = 0 THEN 'No phone service' WHEN k % 3 = 0 THEN 'Yes' "
+            "ELSE 'No' END AS MultipleLines",
+            "internet AS InternetService",
+            *addons,
+            "CASE WHEN n <= 8 THEN 'Month-to-month' WHEN n <= 11 THEN 'One year' "
+            "ELSE 'Two year' END AS Contract",
+            "IF(k % 5 < 3, 'Yes', 'No') AS PaperlessBilling",
+            "CASE k % 4 WHEN 0 THEN 'Electronic check' WHEN 1 THEN 'Mailed check' "
+            "WHEN 2 THEN 'Bank transfer (automatic)' ELSE 'Credit card (automatic)' END "
+            "AS PaymentMethod",
+            "monthly AS MonthlyCharges",
+            "IF(tenure = 0, ' ', CAST(CAST(monthly * tenure AS DECIMAL(12,2)) AS STRING)) "
+            "AS TotalCharges",
+            "IF(lapsed, 'Yes', 'No') AS Churn",
+        )
+        .select(*TELCO.names)
     )
-    total = F.when(F.col("tenure") == 0, " ").otherwise(
-        (F.col("MonthlyCharges") * F.col("tenure")).cast("decimal(12,2)").cast("string")
-    )
-    return rows.withColumn("TotalCharges", total).select(*TELCO.names)
 
 
 def scored_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,13 +59,21 @@ def save_splits(
     return df.sparkSession.read.schema(manifest.schema).json(f"{base}/manifest")
 
 
+# text is written as it is: a blank stays a blank
+CSV_VERBATIM = {
+    "header": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def export_csv(layers: dict[str, DataFrame], path: str, detail: str = "customers") -> dict[str, str]:
     """One CSV folder with header per layer; marts as a single file, detail in parallel."""
     written = {}
     for name, df in layers.items():
         target = f"{path}/{name}"
         single = df if name == detail else df.coalesce(1)
-        single.write.mode("overwrite").option("header", True).csv(target)
+        single.write.mode("overwrite").options(**CSV_VERBATIM).csv(target)
         written[name] = target
     return written
 

@@ -55,11 +55,13 @@ def score_stream(
         records = records.withColumn("errors", record_errors(contract))
 
     def both(batch: DataFrame, number: int) -> None:
+        batch.persist()  # read twice, once per output
         good = batch.where(F.size("errors") == 0).drop("errors")
         bad = batch.where(F.size("errors") > 0)
         scored = score_records(good, model, terms, contract.id_column, **options)
         scored.write.mode("overwrite").parquet(f"{out}/scored/batch={number}")
         bad.write.mode("overwrite").parquet(f"{out}/quarantine/batch={number}")
+        batch.unpersist()
 
     writer = records.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
