@@ -30,7 +30,8 @@ def slab_edges(
     Edges come from a sample of bounded size, since they only balance the work: any
     edges give the same sums. An input of one slab needs no edges and no second job.
     """
-    column = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    column = df.select(F.col(value).cast("double").alias("v"))
+    column = column.where(F.col("v").isNotNull() & ~F.isnan("v"))
     rows = column.count() if rows is None else rows
     slabs = min(MAX_SLABS, -(-rows // rows_per_slab))
     if slabs <= 1:
@@ -90,21 +91,21 @@ def cumulate(
     )
 
 
-def exact_quantiles(
-    df: DataFrame,
+def value_histogram(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rows ``n`` per (group, value); NULL and NaN are no values."""
+    number = F.col(value).cast("double")
+    present = df.where(number.isNotNull() & ~F.isnan(number))
+    return present.groupBy(*by, number.alias(value)).agg(F.count("*").alias("n"))
+
+
+def quantiles_of(
+    hist: DataFrame,
     value: str,
     shares: Sequence[float],
+    edges: Sequence[float],
     by: Sequence[str] = (),
-    rows_per_slab: int = ROWS_PER_SLAB,
 ) -> DataFrame:
-    """Linearly interpolated quantiles ``q0, q1, ...`` per group, plus the row count ``n``.
-
-    NULL and NaN values are left out, as a quantile of them has no meaning.
-    """
-    present = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    present = present.withColumn(value, F.col(value).cast("double"))
-    edges = slab_edges(present, value, rows_per_slab)
-    hist = present.groupBy(*by, value).agg(F.count("*").alias("n"))
+    """Linearly interpolated quantiles ``q0, q1, ...`` per group, plus the row count ``n``."""
     placed = cumulate(hist, value, ["n"], edges, by)
 
     def value_at(index: Column) -> Column:
@@ -128,3 +129,15 @@ def exact_quantiles(
     return ends.select(
         *by, "n", *(interpolated(i, s).alias(f"q{i}") for i, s in enumerate(shares))
     )
+
+
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    shares: Sequence[float],
+    by: Sequence[str] = (),
+    rows_per_slab: int = ROWS_PER_SLAB,
+) -> DataFrame:
+    """:func:`quantiles_of` the rows of a frame."""
+    edges = slab_edges(df, value, rows_per_slab)
+    return quantiles_of(value_histogram(df, value, by), value, shares, edges, by)

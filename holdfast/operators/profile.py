@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.customer import count_yes
 from holdfast.functions.numeric import rate, rate_where, ratio
-from holdfast.operators.cumulative import exact_quantiles
+from holdfast.operators.cumulative import quantiles_of, slab_edges, value_histogram
 from holdfast.operators.features import category_counts, numeric_pairs
 from holdfast.operators.position import null_safe_join
 from holdfast.sources.contract import ADDON_COLUMNS
@@ -32,15 +32,22 @@ def class_balance(df: DataFrame, target: str, positive: str) -> DataFrame:
 
 def numeric_by_class(df: DataFrame, columns: Sequence[str], hit: Column) -> DataFrame:
     """Mean of each numeric column per class, and the difference; one aggregate."""
-    pairs = numeric_pairs(df.withColumn("_hit", hit), columns, by=["_hit"])
-    yes, value = F.col("_hit"), F.col("value")
-    return pairs.groupBy("feature").agg(
-        F.round(F.avg(F.when(~yes, value)), DIGITS).alias("mean_stayed"),
-        F.round(F.avg(F.when(yes, value)), DIGITS).alias("mean_churned"),
-        F.round(F.avg(F.when(yes, value)) - F.avg(F.when(~yes, value)), DIGITS).alias(
-            "difference"
-        ),
+    wide = df.agg(
+        *(F.avg(F.when(hit, F.col(c).cast("double"))).alias(f"y{i}") for i, c in enumerate(columns)),
+        *(F.avg(F.when(~hit, F.col(c).cast("double"))).alias(f"n{i}") for i, c in enumerate(columns)),
     )
+    cells = F.array(
+        *(
+            F.struct(
+                F.lit(c).alias("feature"),
+                F.round(F.col(f"n{i}"), DIGITS).alias("mean_stayed"),
+                F.round(F.col(f"y{i}"), DIGITS).alias("mean_churned"),
+                F.round(F.col(f"y{i}") - F.col(f"n{i}"), DIGITS).alias("difference"),
+            )
+            for i, c in enumerate(columns)
+        )
+    )
+    return wide.select(F.explode(cells).alias("r")).select("r.*")
 
 
 # Closed tenure buckets of the exploration; months beyond the last drop out.
@@ -191,23 +198,27 @@ def histogram(df: DataFrame, columns: Sequence[str], group: str, bins: int = 30)
 
 
 def box_stats(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
-    """Quartiles, and the farthest values within 1.5 interquartile ranges, per group."""
-    pairs = numeric_pairs(df, columns, by=[group]).where(F.col("value").isNotNull())
+    """Quartiles, and the farthest values within 1.5 interquartile ranges, per group.
+
+    Quartiles, whiskers and outliers all come from one histogram of the values.
+    """
+    pairs = numeric_pairs(df, columns, by=[group])
     keys = ["feature", group]
-    quartiles = exact_quantiles(pairs, "value", [0.25, 0.5, 0.75], by=keys)
+    hist = value_histogram(pairs, "value", keys)
+    quartiles = quantiles_of(hist, "value", [0.25, 0.5, 0.75], slab_edges(pairs, "value"), keys)
     reach = 1.5 * (F.col("q2") - F.col("q0"))
     inside = F.col("value").between(F.col("q0") - reach, F.col("q2") + reach)
     value = F.col("value")
     return (
-        null_safe_join(pairs, quartiles, keys)
+        null_safe_join(hist, quartiles.withColumnRenamed("n", "rows"), keys)
         .groupBy(*keys)
         .agg(
-            F.max("n").alias("rows"),
+            F.max("rows").alias("rows"),
             F.round(F.min(F.when(inside, value)), DIGITS).alias("whisker_low"),
             F.round(F.max("q0"), DIGITS).alias("q1"),
             F.round(F.max("q1"), DIGITS).alias("median"),
             F.round(F.max("q2"), DIGITS).alias("q3"),
             F.round(F.max(F.when(inside, value)), DIGITS).alias("whisker_high"),
-            F.count_if(~inside).alias("outliers"),
+            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
         )
     )
