@@ -19,7 +19,7 @@ from holdfast.operators import profile as P
 from holdfast.operators import split as S
 from holdfast.operators.silver import silver_customers
 from holdfast.plans import training, warehouse
-from holdfast.plans.scoring import ranked_batch, score_records
+from holdfast.plans.scoring import load_scorer, ranked_batch, score_records
 from holdfast.session import materialize, scratch_path
 from holdfast.sources import readers, writers
 from holdfast.sources.contract import ADDON_COLUMNS, TELCO
@@ -778,6 +778,17 @@ def ranked_batch_scores(spark, sf_dir):
     return ranked.drop("top_drivers")
 
 
+@query
+def published_scores(spark, sf_dir):
+    """The whole training job, then the published model scoring every record."""
+    raw = materialize(subscribers(spark, sf_dir), "raw")
+    out = scratch_path(spark, "training")
+    linear = {"logistic_regression": SMALL_SEARCH["logistic_regression"]}
+    training.training_job(raw, out, linear, k=3)
+    scorer = load_scorer(spark, out)
+    return scorer.score(FE.coerce_records(raw)).drop("top_drivers")
+
+
 @query
 def leakage_audit(spark, sf_dir):
     raw = materialize(subscribers(spark, sf_dir), "audit")

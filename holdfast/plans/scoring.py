@@ -3,18 +3,65 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.operators.decision import decide, worklist
-from holdfast.operators.explain import LinearTerm, top_drivers
+from holdfast.operators.explain import (
+    LinearTerm,
+    explained_stages,
+    feature_means,
+    linear_terms,
+    top_drivers,
+)
 from holdfast.operators.features import DomainFeatures, PrepareModel, coerce_records
 from holdfast.operators.metrics import Costs
 from holdfast.operators.models import positive_probability
 from holdfast.operators.quality import split_valid
 from holdfast.sources.contract import TELCO, Contract
+from holdfast.sources.writers import load_model
+
+@dataclass
+class Scorer:
+    """A published model with what serving needs: weights, threshold, provenance."""
+
+    model: PipelineModel
+    terms: list[LinearTerm] | None
+    threshold: float
+    facts: dict
+
+    def score(self, records: DataFrame, **options) -> DataFrame:
+        return score_records(records, self.model, self.terms, threshold=self.threshold, **options)
+
+
+def load_scorer(
+    spark: SparkSession, path: str, train: DataFrame | None = None, costs: Costs = Costs()
+) -> Scorer:
+    """Load a published model.
+
+    The threshold is the one found in evaluation, else the break-even of the costs.
+    Explanations use the stored background means; if there are none they are taken from
+    ``train`` (raw records), and without either, records are scored unexplained.
+    """
+    model, facts, means = load_model(spark, path)
+    found = explained_stages(model)
+    terms = None
+    if found:
+        stages, linear = found
+        names = stages[1].feature_names
+        if not means and train is not None:
+            flat = train
+            for stage in stages[:2]:
+                flat = stage.transform(flat)
+            means = feature_means(flat, names)
+        if means:
+            terms = linear_terms(linear, names, means)
+    threshold = float(facts.get("decision_threshold") or costs.break_even)
+    return Scorer(model, terms, threshold, facts)
+
 
 NO_DRIVERS = "array<struct<feature:string,contribution:double,direction:string>>"
 

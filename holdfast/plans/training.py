@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.operators import metrics as M
-from holdfast.operators.decision import operating_threshold
+from holdfast.operators.decision import operating_threshold, sensitivity
 from holdfast.operators.explain import LinearTerm, explained_stages, feature_means, linear_terms
 from holdfast.operators.features import feature_pipeline, with_label
 from holdfast.operators.models import (
@@ -22,9 +22,11 @@ from holdfast.operators.models import (
     one_se_select,
     positive_probability,
     randomized_search,
+    summarize_history,
 )
-from holdfast.operators.split import stratified_folds, stratified_split
+from holdfast.operators.split import require_sealed, stratified_folds, stratified_split
 from holdfast.session import materialize
+from holdfast.sources import writers
 from holdfast.sources.contract import TELCO, Contract
 
 
@@ -87,21 +89,25 @@ def search_and_select(
 def final_evaluation(
     parts: DataFrame, trained: TrainedModel, costs: M.Costs = M.Costs()
 ) -> dict[str, DataFrame]:
-    """Threshold from validation, then one look at the test part next to the old rule."""
-    scored = positive_probability(trained.model.transform(parts)).select(
-        "customerID", "label", "p"
-    )
-    split_of = parts.select("customerID", "split", "Contract", "tenure")
-    scored = scored.join(split_of, "customerID")
-    val = scored.where(F.col("split") == "val")
-    test = scored.where(F.col("split") == "test")
-    population = parts.count()
+    """Threshold from validation, then one look at the test part next to the old rule.
+
+    ``parts`` holds labelled raw records with their split; each part is filtered before
+    it is scored, so nothing has to be joined back.
+    """
+
+    def part(name: str) -> DataFrame:
+        return parts.where(F.col("split") == name)
+
+    def scored(name: str) -> DataFrame:
+        return positive_probability(trained.model.transform(part(name))).select("label", "p")
 
+    population = parts.count()
+    val, test = scored("val"), scored("test")
     sweep = M.threshold_sweep(val, "label", "p", costs)
     best = operating_threshold(sweep)
     chosen = best.first()["operating_threshold"]
-    rule = ContractRule().fit(parts.where(F.col("split") == "train"))
-    by_rule = test.withColumn("p", rule.score_column())
+    rule = ContractRule().fit(part("train"))
+    by_rule = part("test").select("label", rule.score_column().alias("p"))
 
     def row(df: DataFrame, name: str) -> DataFrame:
         found = M.evaluate(df, "label", "p", costs, chosen, population)
@@ -113,6 +119,78 @@ def final_evaluation(
         "threshold": best,
         "sweep": sweep,
         "metrics": table,
+        "sensitivity": sensitivity(M.threshold_counts(val, "label", "p"), costs),
         "acceptance": M.acceptance(table.where(F.col("model") == "test")),
         "uplift": M.uplift(table, "model", "test", "rule on test"),
     }
+
+
+def training_job(
+    raw: DataFrame,
+    out: str,
+    families: dict[str, Sequence[dict]],
+    contract: Contract = TELCO,
+    costs: M.Costs = M.Costs(),
+    k: int = 5,
+    seed: int = 42,
+) -> dict:
+    """Raw customers to a published model; every artifact lands below ``out``.
+
+    Splits and their seal, search history, one logged run per family, the selected
+    pipeline with metadata and explanation background, and the final report. The test
+    part is read once, after its seal was checked.
+    """
+    spark = raw.sparkSession
+    manifest = writers.save_splits(
+        stratified_split(raw, contract.id_column, contract.target, seed=seed), out, contract, seed
+    )
+    parts = with_label(spark.read.parquet(f"{out}/splits"), contract)
+    train = parts.where(F.col("split") == "train").drop("split")
+    val = parts.where(F.col("split") == "val")
+    population = parts.count()
+
+    history, selection = search_and_select(train, families, contract, k, seed)
+    writers.append_history(history, f"{out}/history")
+    chosen = selection.first()
+    best_of = {
+        r["family"]: r
+        for r in summarize_history(history)
+        .groupBy("family")
+        .agg(F.max_by(F.struct("candidate", "mean_ap", "std_ap"), "mean_ap").alias("best"))
+        .select("family", "best.*")
+        .collect()
+    }
+    fitted = {}
+    for family, candidates in families.items():
+        best = best_of[family]
+        index = chosen["candidate"] if family == chosen["selected"] else best["candidate"]
+        params = candidates[index]
+        trained = fit_family(train, family, params, contract, seed)
+        on_val = positive_probability(trained.model.transform(val))
+        found = M.evaluate(on_val, "label", "p", costs, None, population).first().asDict()
+        scores = {f"val_{m}": found[m] for m in ("pr_auc", "roc_auc", "brier", "recall")}
+        scores |= {"cv_pr_auc": best["mean_ap"], "cv_pr_auc_std": best["std_ap"]}
+        scores["val_value_per_1000"] = found["value_per_1000"]
+        writers.log_run(
+            spark, f"{out}/runs", family, params, scores,
+            tags={"seed": seed, "folds": k}, register=family == chosen["selected"],
+        )
+        fitted[family] = (trained, params)
+
+    trained, params = fitted[chosen["selected"]]
+    require_sealed(parts, manifest, contract.id_column)
+    evaluation = final_evaluation(parts, trained, costs)
+    threshold = evaluation["threshold"].first()["operating_threshold"]
+    facts = {
+        "family": trained.family,
+        "reason": chosen["reason"],
+        "cv_pr_auc": chosen["selected_ap"],
+        "decision_threshold": threshold,
+        "features": len(trained.feature_names),
+        "seed": seed,
+        **{f"param_{name}": value for name, value in params.items()},
+    }
+    writers.save_model(trained.model, out, spark, facts, trained.means)
+    for name in ("metrics", "sensitivity", "acceptance", "uplift"):
+        writers.write_report(evaluation[name], f"{out}/report/{name}")
+    return facts

@@ -13,7 +13,7 @@ from holdfast.operators import split as S
 from holdfast.operators.quality import ContractViolation, split_valid
 from holdfast.operators.features import coerce_records
 from holdfast.plans import training, warehouse
-from holdfast.plans.scoring import ranked_batch, score_records
+from holdfast.plans.scoring import load_scorer, ranked_batch, score_records
 from holdfast.session import scratch_path, shared_dir
 from holdfast.sources import readers, writers
 from holdfast.sources.contract import TELCO
@@ -156,6 +156,36 @@ def test_final_evaluation_opens_test_once(parts, trained):
     assert out["sweep"].count() == 190
 
 
+def test_training_job_publishes_a_model(spark, raw):
+    out = scratch_path(spark, "job")
+    families = {
+        "logistic_regression": [{"C": 1.0, "class_weight": None, "max_iter": 20}],
+        "random_forest": [{"n_estimators": 3, "max_depth": 2, "min_samples_leaf": 5}],
+    }
+    facts = training.training_job(raw, out, families, k=2)
+    runs = spark.read.parquet(f"{out}/runs").collect()
+    assert {r["family"] for r in runs} == set(families)
+    assert [r["family"] for r in runs if r["version"] == 1] == [facts["family"]]
+    assert spark.read.parquet(f"{out}/history").count() == 4
+    assert spark.read.json(f"{out}/report/metrics").count() == 3
+    assert spark.read.json(f"{out}/report/sensitivity").count() == 6
+    scorer = load_scorer(spark, out)
+    assert scorer.facts["features"] == "35"
+    assert scorer.threshold == facts["decision_threshold"]
+    rows = scorer.score(raw.limit(5)).collect()
+    assert all(r["decision_threshold"] == round(scorer.threshold, 4) for r in rows)
+
+
+def test_explanations_fall_back_to_train_or_stay_empty(spark, parts, trained):
+    path = scratch_path(spark, "nobackground")
+    writers.save_model(trained.model, path, spark, {"family": trained.family})
+    assert load_scorer(spark, path).terms is None
+    assert load_scorer(spark, path).threshold == pytest.approx(1 / 3)
+    again = load_scorer(spark, path, train=parts.where("split = 'train'")).terms
+    assert [t.feature for t in again] == [t.feature for t in trained.terms]
+    assert [t.mean for t in again] == pytest.approx([t.mean for t in trained.terms])
+
+
 def test_risky_profile_scores_above_a_loyal_one(table_of, trained, parts):
     risky = customer(customerID="risky")
     loyal = customer(
