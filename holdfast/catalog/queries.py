@@ -62,6 +62,10 @@ def _hit():
     return F.col(TELCO.target) == TELCO.positive
 
 
+# the rule points add up to whole numbers from -10 to 110
+RULE_LEVELS = 121
+
+
 def scored_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Churn labels against the rule score as a probability: heavily tied."""
     v = _silver(spark, sf_dir).withColumn("risk_score", marts.risk_score())
@@ -442,7 +446,8 @@ def box_stats_lineitem(spark, sf_dir):
 
 @query
 def metrics_subscribers(spark, sf_dir):
-    return M.evaluate(scored_subscribers(spark, sf_dir), "label", "score", population=7043)
+    scored = scored_subscribers(spark, sf_dir)
+    return M.evaluate(scored, "label", "score", population=7043, levels=RULE_LEVELS)
 
 
 @query
@@ -455,7 +460,7 @@ def metrics_by_model(spark, sf_dir):
         F.struct(F.lit("contract only").alias("model"), monthly.alias("p")),
     )
     long = base.select("label", F.explode(pairs).alias("m")).select("label", "m.*")
-    return M.evaluate(long, "label", "p", by=["model"])
+    return M.evaluate(long, "label", "p", by=["model"], levels=RULE_LEVELS + 2)
 
 
 @query
@@ -481,12 +486,15 @@ def confusion_value(spark, sf_dir):
 @query
 def precision_at_k(spark, sf_dir):
     scored = scored_subscribers(spark, sf_dir)
-    return M.precision_at_k(scored, "label", "score", "customer_id", population=7043)
+    return M.precision_at_k(
+        scored, "label", "score", "customer_id", population=7043, levels=RULE_LEVELS
+    )
 
 
 @query
 def roc_points(spark, sf_dir):
-    return M.roc_points(scored_subscribers(spark, sf_dir), "label", "score")
+    scored = scored_subscribers(spark, sf_dir)
+    return M.roc_points(scored, "label", "score", levels=RULE_LEVELS)
 
 
 @query
@@ -496,7 +504,8 @@ def roc_points_lineitem(spark, sf_dir):
 
 @query
 def pr_points(spark, sf_dir):
-    return M.pr_points(scored_subscribers(spark, sf_dir), "label", "score")
+    scored = scored_subscribers(spark, sf_dir)
+    return M.pr_points(scored, "label", "score", levels=RULE_LEVELS)
 
 
 @query
@@ -521,7 +530,8 @@ def threshold_sweep_lineitem(spark, sf_dir):
 
 @query
 def acceptance(spark, sf_dir):
-    return M.acceptance(M.evaluate(scored_subscribers(spark, sf_dir), "label", "score"))
+    scored = scored_subscribers(spark, sf_dir)
+    return M.acceptance(M.evaluate(scored, "label", "score", levels=RULE_LEVELS))
 
 
 @query
@@ -651,7 +661,7 @@ _SLICES = ("gender", "is_senior", "has_partner", "has_dependents")
 @query
 def fairness(spark, sf_dir):
     scored = scored_subscribers(spark, sf_dir)
-    return X.fairness(scored, "label", "score", 0.4, _SLICES)
+    return X.fairness(scored, "label", "score", 0.4, _SLICES, levels=RULE_LEVELS)
 
 
 @query
@@ -662,7 +672,7 @@ def fairness_documents(spark, sf_dir):
 @query
 def fairness_gap(spark, sf_dir):
     scored = scored_subscribers(spark, sf_dir)
-    return X.fairness_gap(X.fairness(scored, "label", "score", 0.4, _SLICES))
+    return X.fairness_gap(X.fairness(scored, "label", "score", 0.4, _SLICES, levels=RULE_LEVELS))
 
 
 # ------------------------------------------------------------------ models
@@ -681,7 +691,7 @@ def prior_baseline(spark, sf_dir):
     parts = materialize(_labelled(spark, sf_dir), "parts")
     model = E.PriorClassifier().fit(_part(parts, "train"))
     scored = E.positive_probability(model.transform(_part(parts, "val")))
-    return M.evaluate(scored, "label", "p")
+    return M.evaluate(scored, "label", "p", levels=1)
 
 
 @query
@@ -689,7 +699,7 @@ def rule_baseline(spark, sf_dir):
     parts = materialize(_labelled(spark, sf_dir), "parts")
     model = E.ContractRule().fit(_part(parts, "train"))
     scored = E.positive_probability(model.transform(_part(parts, "val")))
-    return M.evaluate(scored, "label", "p")
+    return M.evaluate(scored, "label", "p", levels=2)
 
 
 RULE_TENURES = (6, 25, 49)
@@ -845,7 +855,7 @@ def run_log(spark, sf_dir):
     for t, register in ((6, False), (25, True)):
         model = E.ContractRule(tenureBelow=t).fit(_part(parts, "train"))
         scored = E.positive_probability(model.transform(_part(parts, "val")))
-        found = M.evaluate(scored, "label", "p").first().asDict()
+        found = M.evaluate(scored, "label", "p", levels=2).first().asDict()
         metrics = {k: found[k] for k in ("pr_auc", "roc_auc", "recall", "value_per_1000")}
         writers.log_run(spark, path, "rule", {"tenureBelow": t}, metrics, register=register)
     runs = spark.read.parquet(path)

@@ -23,16 +23,19 @@ SAMPLE_PER_SLAB = 200
 
 
 def slab_edges(
-    df: DataFrame, value: str, rows_per_slab: int = ROWS_PER_SLAB, rows: int | None = None
+    df: DataFrame, value: str, rows_per_slab: int = ROWS_PER_SLAB, levels: int | None = None
 ) -> list[float]:
     """Increasing cut points, one less than the slabs the row count asks for.
 
+    ``levels``, a known bound on distinct values (a rule score, a rounded probability),
+    stands in for the row count and saves counting.
+
     Edges come from a sample of bounded size, since they only balance the work: any
     edges give the same sums. An input of one slab needs no edges and no second job.
     """
     column = df.select(F.col(value).cast("double").alias("v"))
     column = column.where(F.col("v").isNotNull() & ~F.isnan("v"))
-    rows = column.count() if rows is None else rows
+    rows = column.count() if levels is None else levels
     slabs = min(MAX_SLABS, -(-rows // rows_per_slab))
     if slabs <= 1:
         return []

@@ -143,6 +143,7 @@ def fairness(
     threshold: float,
     slices: Sequence[str] = FAIRNESS_SLICES,
     rows_per_slab: int = ROWS_PER_SLAB,
+    levels: int | None = None,
 ) -> DataFrame:
     """Selection rate, recall, precision and ranking quality per slice.
 
@@ -166,7 +167,7 @@ def fairness(
         .where(F.col("value").isNotNull())
     )
     by = ["column", "value"]
-    curve = score_curve(hist, slab_edges(df, score, rows_per_slab), by)
+    curve = score_curve(hist, slab_edges(df, score, rows_per_slab, levels), by)
     metrics = evaluate_curve(curve, Costs(), threshold, None, by)
     n, positives = F.col("n"), F.col("tp") + F.col("fn")
     return metrics.where((positives >= MIN_POSITIVES) & (n >= MIN_ROWS)).select(

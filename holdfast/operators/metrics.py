@@ -79,8 +79,8 @@ def score_curve(
     return cumulate(hist, "score", ["pos", "neg"], edges, by, descending=True)
 
 
-def _curve_of(df, label, score, by, rows_per_slab, rows=None):
-    edges = slab_edges(df, score, rows_per_slab, rows)
+def _curve_of(df, label, score, by, rows_per_slab, levels):
+    edges = slab_edges(df, score, rows_per_slab, levels)
     return score_curve(score_histogram(df, label, score, by), edges, by)
 
 
@@ -100,17 +100,17 @@ def evaluate(
     population: int | None = None,
     by: Sequence[str] = (),
     rows_per_slab: int = ROWS_PER_SLAB,
-    rows: int | None = None,
+    levels: int | None = None,
 ) -> DataFrame:
     """One metric row per group.
 
     ROC-AUC gives tied pairs half credit and is NULL for a group with one class.
     PR-AUC is average precision (a step sum, no interpolation). ``precision_at_k``
     counts a score level cut by k in proportion, which is its mean over all orders of
-    the tied rows; :func:`precision_at_k` resolves ties by id instead. A known row count
-    passed as ``rows`` saves the count that sizes the running sums.
+    the tied rows; :func:`precision_at_k` resolves ties by id instead. A known
+    bound on distinct scores passed as ``levels`` saves counting the rows.
     """
-    curve = _curve_of(df, label, score, by, rows_per_slab, rows)
+    curve = _curve_of(df, label, score, by, rows_per_slab, levels)
     return evaluate_curve(curve, costs, threshold, population, by)
 
 
@@ -208,6 +208,7 @@ def precision_at_k(
     population: int | None = None,
     k: int | None = None,
     rows_per_slab: int = ROWS_PER_SLAB,
+    levels: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
     """Share of positives among the k best, ties ordered by the id digest.
@@ -216,7 +217,7 @@ def precision_at_k(
     that k cuts are placed individually, so no top-k of unbounded size is sorted on one
     task or sent to the driver.
     """
-    curve = _curve_of(df, label, score, (), rows_per_slab)
+    curve = _curve_of(df, label, score, (), rows_per_slab, levels)
     rows = F.col("pos_total") + F.col("neg_total")
     wanted = (
         F.lit(k).cast("bigint")
@@ -254,9 +255,16 @@ def precision_at_k(
     )
 
 
-def roc_points(df, label, score, by: Sequence[str] = (), rows_per_slab: int = ROWS_PER_SLAB) -> DataFrame:
+def roc_points(
+    df: DataFrame,
+    label: str,
+    score: str,
+    by: Sequence[str] = (),
+    rows_per_slab: int = ROWS_PER_SLAB,
+    levels: int | None = None,
+) -> DataFrame:
     """False and true positive rate when everything from a score upwards is flagged."""
-    curve = _curve_of(df, label, score, by, rows_per_slab)
+    curve = _curve_of(df, label, score, by, rows_per_slab, levels)
     return curve.select(
         *by,
         F.col("score").alias("threshold"),
@@ -267,9 +275,16 @@ def roc_points(df, label, score, by: Sequence[str] = (), rows_per_slab: int = RO
     )
 
 
-def pr_points(df, label, score, by: Sequence[str] = (), rows_per_slab: int = ROWS_PER_SLAB) -> DataFrame:
+def pr_points(
+    df: DataFrame,
+    label: str,
+    score: str,
+    by: Sequence[str] = (),
+    rows_per_slab: int = ROWS_PER_SLAB,
+    levels: int | None = None,
+) -> DataFrame:
     """Precision and recall from each score upwards, and the no-skill line."""
-    curve = _curve_of(df, label, score, by, rows_per_slab)
+    curve = _curve_of(df, label, score, by, rows_per_slab, levels)
     hits = F.col("pos_before") + F.col("pos")
     return curve.select(
         *by,

@@ -244,7 +244,7 @@ def for_fitting(df: DataFrame, rows: int) -> DataFrame:
 
 def average_precisions(scored: DataFrame, by: Sequence[str], rows: int) -> DataFrame:
     """Average precision of every (model, fold, part) group from one histogram."""
-    return evaluate(scored, "label", "p", by=by, rows=rows).select(*by, "pr_auc")
+    return evaluate(scored, "label", "p", by=by, levels=rows).select(*by, "pr_auc")
 
 
 def _long_scores(model: Model, df: DataFrame, part: Column, **labels) -> DataFrame:
