@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from holdfast.functions.hashing import cell_of, shuffle_key
 
-ROWS_PER_CELL = 2_000_000
+ROWS_PER_CELL = 500_000
 
 
 def with_position(
@@ -49,14 +49,15 @@ def with_position(
         cells = max(1, -(-rows // rows_per_cell))
     keyed = df.withColumn("_digest", shuffle_key(id_col, seed))
     keyed = keyed.withColumn("_cell", cell_of(F.col("_digest"), cells))
-    # one struct as key: equal structs match also where a field is NULL
-    keyed = keyed.withColumn("_key", F.struct(*within, *levels, "_cell"))
+    # the group as one struct: equal structs match also where a field is NULL
+    keyed = keyed.withColumn("_key", F.struct(*within, *levels, F.lit(0).alias("_")))
 
-    in_cell = Window.partitionBy("_key").orderBy("_digest", id_col)
+    # the numeric cell leads, so most comparisons of the sort are of one long
+    in_cell = Window.partitionBy("_cell", "_key").orderBy("_digest", id_col)
     placed = keyed.withColumn("_nth", F.row_number().over(in_cell))
     offsets = _cell_offsets(keyed, order, within)
     return (
-        placed.join(offsets, "_key")
+        placed.join(offsets, ["_cell", "_key"])
         .withColumn("position", F.col("_before") + F.col("_nth") - 1)
         .drop("_key", "_digest", "_cell", "_nth", "_before")
     )
@@ -65,13 +66,12 @@ def with_position(
 def _cell_offsets(
     keyed: DataFrame, order: Sequence[tuple[str, str]], within: Sequence[str]
 ) -> DataFrame:
-    """``_key, _before, level_start, group_rows`` for every occupied cell."""
+    """``_cell, _key, _before, level_start, group_rows`` for every occupied cell."""
     levels = [name for name, _ in order]
-    fields = [*within, *levels, "_cell"]
     counts = (
-        keyed.groupBy("_key")
+        keyed.groupBy("_cell", "_key")
         .agg(F.count("*").alias("_rows"))
-        .select("_key", "_rows", *(F.col(f"_key.{f}").alias(f) for f in fields))
+        .select("_cell", "_key", "_rows", *(F.col(f"_key.{f}").alias(f) for f in [*within, *levels]))
     )
     in_level = Window.partitionBy(*within, *levels).orderBy("_cell")
     before = F.sum("_rows").over(in_level.rowsBetween(Window.unboundedPreceding, -1))
@@ -94,6 +94,7 @@ def _cell_offsets(
             "group_rows", F.sum("_rows").over(in_group)
         )
     return counts.select(
+        "_cell",
         "_key",
         (F.col("level_start") + F.col("_inside")).alias("_before"),
         "level_start",

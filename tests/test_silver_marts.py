@@ -175,6 +175,6 @@ def test_no_row_grain_data_meets_in_one_partition(uncached):
     for i, line in enumerate(plan):
         if "Exchange SinglePartition" in line:
             assert "HashAggregate" in below[i]
-    by_key = [i for i, line in enumerate(plan) if "Exchange hashpartitioning(_key" in line]
+    by_key = [i for i, line in enumerate(plan) if "Exchange hashpartitioning(_cell" in line]
     row_grain = [i for i in by_key if "HashAggregate" not in below[i]]
     assert len(row_grain) == 1
