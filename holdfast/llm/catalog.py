@@ -1,6 +1,29 @@
 """The registered queries of this package, and the SQL that checks them."""
 
+from holdfast.llm.chat_format import op2_chat_format
+from holdfast.llm.decontaminate import op8_decontamination
+from holdfast.llm.language_id import op7_language_id
+from holdfast.llm.line_templates import op4_line_templates
+from holdfast.llm.minhash import op5_minhash
+from holdfast.llm.packing import op9_packing
+from holdfast.llm.simhash import op6_simhash
 from holdfast.llm.substring_dedup import op1_substring_dedup
+from holdfast.llm.suffix_dedup import op10_suffix_dedup
+from holdfast.llm.warc import op3_warc
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup,)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_chat_format,
+        op3_warc,
+        op4_line_templates,
+        op5_minhash,
+        op6_simhash,
+        op7_language_id,
+        op8_decontamination,
+        op9_packing,
+        op10_suffix_dedup,
+    )
+}
 ORACLES: dict[str, str] = {}
