@@ -155,7 +155,7 @@ def find(block: Block, texts: list[str]) -> list[tuple[int, int, int]]:
 
 def _search(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
+        block = Block(*shared.value)
         for batch in batches:
             ids, keys = batch.column("_id"), batch.column("_key")
             column, at, rows = batch.column("text"), 0, batch.num_rows
@@ -180,9 +180,9 @@ def _search(shared):
 
 
 def item_blocks(
-    benchmark: DataFrame, q: int = Q, share: float = EDIT_SHARE, size: int = BLOCK_CHARS
-) -> Iterator[Block]:
-    """Blocks of items in ascending id, of at most ``size`` characters or one item.
+    benchmark: DataFrame, size: int = BLOCK_CHARS
+) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Ids and texts of items in ascending id, at most ``size`` characters or one item at a time.
 
     Items without text, blank or null, cannot occur and are left out; so are items without id.
     """
@@ -193,13 +193,13 @@ def item_blocks(
         if not len(text):
             continue
         if ids and chars + len(text) > size:
-            yield Block(ids, items, q, share)
+            yield ids, items
             ids, items, chars = [], [], 0
         ids.append(item.item_id)
         items.append(text)
         chars += len(text)
     if ids:
-        yield Block(ids, items, q, share)
+        yield ids, items
 
 
 def contaminated(
@@ -219,8 +219,8 @@ def contaminated(
     base = keyed(docs, id_col, text_col)
     schema = "_id long, _key long, item_id long, edits long"
     found = [
-        base.mapInArrow(_search(spark.sparkContext.broadcast(block)), schema)
-        for block in item_blocks(benchmark, q, share)
+        base.mapInArrow(_search(spark.sparkContext.broadcast((*block, q, share))), schema)
+        for block in item_blocks(benchmark)
     ]
     if not found:
         return spark.createDataFrame([], schema)

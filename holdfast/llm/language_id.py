@@ -177,15 +177,16 @@ def language_of(model: Model, spark: SparkSession):
     letter is ``und`` with score 0, as is any text if nothing was learned; equally likely
     languages go by name.
     """
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((model.languages, model.prior, model.weights))
 
     def run(texts: pd.Series) -> pd.DataFrame:
+        fitted = Model(*shared.value)
         labels, scores, group, size = [], [np.zeros(0)], [], 0
         for at, text in enumerate(texts):
             group.append(text or "")
             size += len(group[-1])
             if size >= _GROUP_CHARS or at + 1 == len(texts):
-                found, score = predict(shared.value, group)
+                found, score = predict(fitted, group)
                 labels += found
                 scores.append(score)
                 group, size = [], 0

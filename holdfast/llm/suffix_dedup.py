@@ -60,9 +60,17 @@ def rounds(length: int) -> list[int]:
     return sorted(k for k in steps if 1 <= k < length)
 
 
-def _names(sums: np.ndarray, length: int, k: int) -> np.ndarray:
-    """For each window of ``length`` bytes its smallest k-byte name."""
-    return sliding_min(mix(window_hash(sums, k, BYTE_POWERS)), length - k + 1)
+def _names(sums: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of ``length`` bytes its smallest k-byte name, and whether a run begins.
+
+    A run ends where the name changes, and where the window that held the name at its first
+    byte moves on: then the same name is found at a later place, which is a run of its own.
+    """
+    grams = mix(window_hash(sums, k, BYTE_POWERS))
+    names = sliding_min(grams, length - k + 1)
+    new = np.ones(len(names), dtype=bool)
+    new[1:] = (names[1:] != names[:-1]) | (grams[: len(names) - 1] == names[:-1])
+    return names, new
 
 
 def _run_columns(sums, second, names, heads, sizes, length):
@@ -94,12 +102,12 @@ def _first_round(length: int, k: int):
             for piece in pieces(batch.column("text")):
                 values = piece.data.astype(U64)
                 sums, second = prefix(values, BYTE_POWERS), prefix(values, _SECOND)
-                names = _names(sums, length, k)
+                names, begins = _names(sums, length, k)
                 owner = np.repeat(np.arange(piece.rows), np.diff(piece.edges))
                 count = len(names)
                 whole = owner[:count] == owner[length - 1 :] if count else np.zeros(0, bool)
                 new = whole.copy()
-                new[1:] &= (names[1:] != names[:-1]) | (owner[1:count] != owner[: count - 1])
+                new[1:] &= begins[1:] | (owner[1:count] != owner[: count - 1])
                 heads = np.flatnonzero(new)
                 # a run ends at the next run of its document or at the last whole window
                 sizes = np.add.reduceat(whole.astype(np.int64), heads) if len(heads) else heads
@@ -139,7 +147,7 @@ def _next_round(length: int, k: int):
                 for row in range(piece.rows):
                     data = piece.data[piece.edges[row] : piece.edges[row + 1]].astype(U64)
                     sums, second = prefix(data, BYTE_POWERS), prefix(data, _SECOND)
-                    names = _names(sums, length, k)
+                    names, begins = _names(sums, length, k)
                     live = left[piece.first + row].values
                     first, size = (live.field(f).to_numpy() for f in ("start", "size"))
                     state = live.field("open").to_numpy(zero_copy_only=False)
@@ -147,7 +155,7 @@ def _next_round(length: int, k: int):
                     at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
                     of[at] = np.repeat(np.arange(len(first)), size)
                     new = np.ones(len(names) + 1, dtype=bool)
-                    new[1:-1] = (names[1:] != names[:-1]) | (of[1:-1] != of[:-2])
+                    new[1:-1] = begins[1:] | (of[1:-1] != of[:-2])
                     heads = np.flatnonzero(new)
                     sizes = np.diff(heads)
                     heads = heads[:-1]
