@@ -7,7 +7,8 @@ Counting every window of a corpus would shuffle one row per word. Two equal wind
 same words, so they also have the same *anchor*: the smallest hash among their half-length
 subwindows. Anchors are fewer than a tenth of the words. Only windows whose anchor occurs in
 two documents can repeat; their full 128-bit Rabin-Karp hashes are counted. No window is
-left out by this: a window with an anchor of its own is unique.
+left out by this: a window with an anchor of its own is unique. A document that says the same as
+an earlier one is settled by its digest and takes no part.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ from holdfast.session import materialize
 
 WINDOW = 50
 _KEY = ["_id", "_key"]
+_SPANS = "array<struct<start:int,end:int>>"
 
 
 def _windows(piece, window: int):
@@ -175,6 +177,21 @@ def repeated_spans(
         ),
         "window-anchors",
     )
+    # a document that says the same as an earlier one is settled as a whole
+    earliest = materialize(
+        sketch.groupBy("kept_sha256").agg(F.min("_id").alias("earliest")), "distinct-documents"
+    )
+    is_copy = F.col("_id") > F.col("earliest")
+    sketch = materialize(
+        sketch.join(earliest, "kept_sha256").select(
+            *_KEY,
+            "n_words",
+            "kept_sha256",
+            (is_copy & (F.col("n_words") >= window)).alias("copied"),
+            F.when(~is_copy, F.col("anchors")).alias("anchors"),
+        ),
+        "window-copies",
+    )
     anchors = sketch.select(*_KEY, F.explode("anchors").alias("anchor"))
     shared = materialize(
         anchors.groupBy("anchor")
@@ -215,18 +232,24 @@ def repeated_spans(
         .join(marked, _KEY)
         .mapInArrow(
             _cut(window),
-            "_id long, _key long, spans array<struct<start:int,end:int>>, cut_sha256 string",
+            f"_id long, _key long, spans {_SPANS}, cut_sha256 string",
         )
     )
-    none = F.array().cast("array<struct<start:int,end:int>>")
+    none = F.array().cast(_SPANS)
+    everything = F.array(F.struct(F.lit(0), F.col("n_words"))).cast(_SPANS)
+    nothing = F.sha2(F.lit(""), 256)
     return (
         sketch.drop("anchors")
         .join(cut, _KEY, "left")
         .select(
             named_id(id_col),
             "n_words",
-            F.coalesce("spans", none).alias("spans"),
-            F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"),
+            F.when(F.col("copied"), everything)
+            .otherwise(F.coalesce("spans", none))
+            .alias("spans"),
+            F.when(F.col("copied"), nothing)
+            .otherwise(F.coalesce("cut_sha256", "kept_sha256"))
+            .alias("kept_sha256"),
         )
     )
 
