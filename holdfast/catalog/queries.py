@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,20 +150,51 @@ def warehouse_sql(spark, sf_dir):
     )
 
 
+# What the report query shows of each section: the item it is about, and its measures.
+REPORT = {
+    "kpis": (
+        (),
+        ("total_customers", "churn_rate", "monthly_revenue_lost", "avg_tenure_churned"),
+    ),
+    "segments": (
+        ("contract_type", "internet_service"),
+        ("customers", "churn_rate", "annual_revenue_at_risk", "churn_index"),
+    ),
+    "retention": (("tenure_band",), ("customers", "churn_rate", "retention_rate", "pct_of_base")),
+    "revenue": (
+        ("contract_type", "payment_method"),
+        ("customers", "annual_revenue_lost", "risk_rank", "cumulative_pct_of_loss"),
+    ),
+    "paradox": (
+        ("addon_service_count",),
+        ("customers_all", "churn_rate_all", "customers_with_internet"),
+    ),
+    "deciles": (("risk_decile",), ("customers", "actual_churn_rate", "annual_revenue")),
+}
+
+
 @query
 def warehouse_report(spark, sf_dir):
-    """The headline section and the top losses of the report job, as one table."""
+    """All six sections of the report job in one table, a row per item and measure."""
     warehouse.build_layers(spark, subscribers(spark, sf_dir))
-    sections = warehouse.report(spark)
-    top = sections["revenue"].select(
-        F.concat_ws(" / ", "contract_type", "payment_method").alias("item"),
-        F.col("annual_revenue_lost").cast("double").alias("amount"),
-    )
-    kpi = sections["kpis"].select(
-        F.lit("monthly revenue lost").alias("item"),
-        F.col("monthly_revenue_lost").cast("double").alias("amount"),
-    )
-    return kpi.unionByName(top)
+    shown = []
+    for section, df in warehouse.report(spark).items():
+        item, measures = REPORT[section]
+        cells = F.array(
+            *(
+                F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("amount"))
+                for m in measures
+            )
+        )
+        about = F.concat_ws(" / ", *(F.col(c).cast("string") for c in item))
+        shown.append(
+            df.select(
+                F.lit(section).alias("section"),
+                (about if item else F.lit("all")).alias("item"),
+                F.inline(cells),
+            )
+        )
+    return reduce(DataFrame.unionByName, shown)
 
 
 # ------------------------------------------------------------------ contract
@@ -271,6 +303,30 @@ def seal_check(spark, sf_dir):
     return S.seal_check(stored, manifest, "customerID")
 
 
+@query
+def broken_seal(spark, sf_dir):
+    """The same check after one customer of the test part has left."""
+    parts = _splits(spark, sf_dir)
+    base = scratch_path(spark, "splits")
+    manifest = writers.save_splits(parts, base)
+    stored = readers.read_splits(spark, base)
+    gone = stored.where("split = 'test'").agg(F.min("customerID")).scalar()
+    return S.seal_check(stored.where(F.col("customerID") != gone), manifest, "customerID").select(
+        "split", "sealed"
+    )
+
+
+@query
+def split_missing_ids(spark, sf_dir):
+    """Sizes of the split when a part of the customers has no id."""
+    key = F.col("customerID").cast("bigint")
+    raw = subscribers(spark, sf_dir).withColumn(
+        "customerID", F.when(key % 7 != 0, F.col("customerID"))
+    )
+    parts = S.stratified_split(raw, "customerID", "Churn")
+    return parts.groupBy("Churn", "split").agg(F.count("*").alias("rows"))
+
+
 @query
 def folds(spark, sf_dir):
     found = S.stratified_folds(subscribers(spark, sf_dir), "customerID", "Churn")
@@ -447,7 +503,7 @@ def box_stats_lineitem(spark, sf_dir):
 @query
 def metrics_subscribers(spark, sf_dir):
     scored = scored_subscribers(spark, sf_dir)
-    return M.evaluate(scored, "label", "score", population=7043, levels=RULE_LEVELS)
+    return M.evaluate(scored, "label", "score", levels=RULE_LEVELS)
 
 
 @query
@@ -477,6 +533,44 @@ def metrics_documents(spark, sf_dir):
     )
 
 
+def _gappy(spark, sf_dir):
+    """Line items with missing labels, missing scores and scores that are no number."""
+    part = F.round(F.col("score") * 100003).cast("bigint")
+    return scored_lineitems(spark, sf_dir).select(
+        F.when(part % 11 != 0, F.col("label")).alias("label"),
+        F.when(part % 7 == 0, F.lit(None))
+        .when(part % 5 == 0, F.lit(float("nan")))
+        .otherwise(F.col("score"))
+        .alias("score"),
+        "linestatus",
+    )
+
+
+@query
+def set_aside_gaps(spark, sf_dir):
+    return M.set_aside(_gappy(spark, sf_dir), "label", "score", by=["linestatus"])
+
+
+@query
+def metrics_gaps(spark, sf_dir):
+    return M.evaluate(_gappy(spark, sf_dir), "label", "score", threshold=0.6, by=["linestatus"])
+
+
+@query
+def confusion_gaps(spark, sf_dir):
+    return M.confusion(_gappy(spark, sf_dir), "label", "score", 0.5)
+
+
+@query
+def threshold_sweep_gaps(spark, sf_dir):
+    return M.threshold_sweep(_gappy(spark, sf_dir), "label", "score")
+
+
+@query
+def fairness_gaps(spark, sf_dir):
+    return X.fairness(_gappy(spark, sf_dir), "label", "score", 0.5, slices=["linestatus"])
+
+
 @query
 def confusion_value(spark, sf_dir):
     matrix = M.confusion(scored_lineitems(spark, sf_dir), "label", "score", 0.5)
@@ -486,9 +580,7 @@ def confusion_value(spark, sf_dir):
 @query
 def precision_at_k(spark, sf_dir):
     scored = scored_subscribers(spark, sf_dir)
-    return M.precision_at_k(
-        scored, "label", "score", "customer_id", population=7043, levels=RULE_LEVELS
-    )
+    return M.precision_at_k(scored, "label", "score", "customer_id", levels=RULE_LEVELS)
 
 
 @query
@@ -542,27 +634,34 @@ def uplift(spark, sf_dir):
 # ------------------------------------------------------------------ decisions
 
 
+def _shown(df: DataFrame, column: str) -> DataFrame:
+    """A threshold rounded for display only."""
+    return df.withColumn(column, F.round(column, M.METRIC_DIGITS))
+
+
 @query
 def operating_threshold(spark, sf_dir):
     sweep = M.threshold_sweep(scored_subscribers(spark, sf_dir), "label", "score")
-    return D.operating_threshold(sweep)
+    return _shown(D.operating_threshold(sweep), "operating_threshold")
 
 
 @query
 def sensitivity(spark, sf_dir):
-    return D.sensitivity(M.threshold_counts(scored_subscribers(spark, sf_dir), "label", "score"))
+    counts = M.threshold_counts(scored_subscribers(spark, sf_dir), "label", "score")
+    return _shown(D.sensitivity(counts), "empirical_threshold")
 
 
 @query
 def sensitivity_lineitem(spark, sf_dir):
-    return D.sensitivity(M.threshold_counts(scored_lineitems(spark, sf_dir), "label", "score"))
+    counts = M.threshold_counts(scored_lineitems(spark, sf_dir), "label", "score")
+    return _shown(D.sensitivity(counts), "empirical_threshold")
 
 
 @query
 def capacity_binding(spark, sf_dir):
     scored = scored_subscribers(spark, sf_dir)
     best = D.operating_threshold(M.threshold_sweep(scored, "label", "score"))
-    return D.capacity_binding(best, M.Costs(), F.lit(7043))
+    return D.capacity_binding(best, M.Costs(), scored.agg(F.count("*")).scalar())
 
 
 def _decided(spark, sf_dir):
@@ -570,9 +669,13 @@ def _decided(spark, sf_dir):
 
 
 _DECISION = (
-    "customer_id churn_probability risk_tier should_contact decision_threshold "
-    "expected_value_of_contact"
-).split()
+    "customer_id",
+    "churn_probability",
+    "risk_tier",
+    "should_contact",
+    "decision_threshold",
+    "expected_value_of_contact",
+)
 
 
 @query
@@ -589,14 +692,14 @@ def worklist(spark, sf_dir):
 @query
 def worklist_top(spark, sf_dir):
     """The rows the team can call: rank within the capacity."""
-    ranked = D.worklist(_decided(spark, sf_dir), "customer_id")
-    return ranked.where(F.col("rank") <= 500).select("rank", "customer_id", "churn_probability")
+    top = D.worklist_top(_decided(spark, sf_dir), "customer_id", M.Costs().capacity)
+    return top.select("rank", "customer_id", "churn_probability")
 
 
 @query
 def worklist_quality(spark, sf_dir):
-    ranked = D.worklist(_decided(spark, sf_dir), "customer_id")
-    return D.worklist_quality(ranked, "label", population=7043)
+    ranked = D.worklist(_decided(spark, sf_dir), "customer_id", size="ranked_rows")
+    return D.worklist_quality(ranked, "label", size="ranked_rows")
 
 
 @query

@@ -66,6 +66,16 @@ def cumulate(
     descending: bool = False,
 ) -> DataFrame:
     """Add ``<sum>_before`` (strictly before this value) and ``<sum>_total`` per group."""
+    if not edges:
+        # one slab: its running sums are those of the group
+        inside = Window.partitionBy(*by)
+        order = F.col(value).desc() if descending else F.col(value).asc()
+        earlier = inside.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return hist.select(
+            "*",
+            *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in sums),
+            *(F.sum(c).over(inside).alias(f"{c}_total") for c in sums),
+        )
     slabbed = cut_index(hist, value, edges, "_slab")
 
     def directed(name: str) -> Column:

@@ -7,7 +7,9 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from holdfast.functions.hashing import shuffle_key
 from holdfast.functions.numeric import rate, ratio
 from holdfast.operators.metrics import (
     ACCEPTANCE_RATES,
@@ -16,7 +18,7 @@ from holdfast.operators.metrics import (
     contact_capacity,
     sweep_values,
 )
-from holdfast.operators.position import with_position
+from holdfast.operators.position import PRIVATE, with_position
 
 # Fixed value: the high tier starts at this multiple of the operating threshold.
 HIGH_TIER_FACTOR = 1.5
@@ -25,7 +27,8 @@ HIGH_TIER_FACTOR = 1.5
 def operating_threshold(sweep: DataFrame) -> DataFrame:
     """The threshold of highest value (the lowest one on a tie) and its gain over 0.5.
 
-    Works on the rows of a sweep, one per grid point.
+    Works on the rows of a sweep, one per grid point. The threshold is the grid's own
+    number: rounded, it would flag other rows than the sweep did.
     """
     best = F.min(
         F.struct(
@@ -43,7 +46,7 @@ def operating_threshold(sweep: DataFrame) -> DataFrame:
         )
     )
     return sweep.agg(best.alias("b"), default.alias("d")).select(
-        F.round("b.threshold", METRIC_DIGITS).alias("operating_threshold"),
+        F.col("b.threshold").alias("operating_threshold"),
         (-F.col("b.loss")).alias("value_per_1000"),
         F.col("b.contacted_share").alias("contacted_share"),
         F.col("b.recall").alias("recall"),
@@ -85,7 +88,7 @@ def sensitivity(
         .select(
             "acceptance_rate",
             F.round("theoretical_threshold", METRIC_DIGITS).alias("theoretical_threshold"),
-            F.round("b.threshold", METRIC_DIGITS).alias("empirical_threshold"),
+            F.col("b.threshold").alias("empirical_threshold"),
             F.col("b.recall").alias("recall"),
             (-F.col("b.loss")).alias("value_per_1000"),
             "programme_viable",
@@ -135,16 +138,28 @@ def decide(
     )
 
 
-def worklist(decided: DataFrame, id_col: str, seed: int = 0) -> DataFrame:
+def worklist(decided: DataFrame, id_col: str, seed: int = 0, size: str | None = None) -> DataFrame:
     """Add ``rank`` 1..n by rounded probability; ties follow the id digest.
 
     Probabilities of four decimals have at most 10,001 levels, so the positions need no
-    global sort.
+    global sort. ``size`` names a further column for n.
     """
-    placed = with_position(decided, id_col, order=[("churn_probability", "desc")], seed=seed)
-    return placed.withColumn("rank", F.col("position") + 1).drop(
-        "position", "level_start", "group_rows"
-    )
+    order = [("churn_probability", "desc")]
+    placed = with_position(decided, id_col, order=order, seed=seed, names=PRIVATE)
+    placed = placed.withColumn("rank", F.col("_position") + 1)
+    if size is not None:
+        placed = placed.withColumn(size, F.col("_group_rows"))
+    return placed.drop(*PRIVATE)
+
+
+def worklist_top(decided: DataFrame, id_col: str, k: int, seed: int = 0) -> DataFrame:
+    """The first ``k`` rows of :func:`worklist`: each task keeps its best k, no base is ranked.
+
+    For a k that a team can call; the k rows are numbered in one task.
+    """
+    keys = [F.col("churn_probability").desc(), shuffle_key(id_col, seed), F.col(id_col)]
+    best = decided.orderBy(*keys).limit(k)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(*keys)).cast("bigint"))
 
 
 def batch_summary(decided: DataFrame) -> DataFrame:
@@ -155,14 +170,21 @@ def batch_summary(decided: DataFrame) -> DataFrame:
 
 
 def worklist_quality(
-    ranked: DataFrame, label: str, costs: Costs = Costs(), population: int | None = None
+    ranked: DataFrame,
+    label: str,
+    costs: Costs = Costs(),
+    population: int | None = None,
+    size: str | None = None,
 ) -> DataFrame:
-    """Hit rate among the ranks the team can contact, against the base rate."""
+    """Hit rate among the ranks the team can contact, against the base rate.
+
+    ``size`` is the column in which :func:`worklist` left the number of ranked rows;
+    without it they are counted.
+    """
     hit = F.col(label) == 1
-    rows = F.col("rows")
-    sizes = ranked.agg(F.count("*").alias("rows"))
+    rows = F.col(size) if size else ranked.agg(F.count("*")).scalar()
     capacity = contact_capacity(costs, rows, F.lit(population) if population else rows)
-    top = F.col("rank") <= sizes.select(capacity).scalar()
+    top = F.col("rank") <= capacity
     return ranked.agg(
         F.count("*").alias("scored"),
         F.count_if(top).alias("contacted"),

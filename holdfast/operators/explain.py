@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import ratio
 from holdfast.operators.cumulative import ROWS_PER_SLAB, slab_edges
-from holdfast.operators.metrics import METRIC_DIGITS, Costs, evaluate_curve, score_curve
+from holdfast.operators.metrics import (
+    METRIC_DIGITS,
+    Costs,
+    evaluate_curve,
+    measurable,
+    score_curve,
+)
 
 
 @dataclass(frozen=True)
@@ -151,7 +157,7 @@ def fairness(
     per slice, so the copies are made of histogram rows, not of the base.
     """
     hit = F.col(label) == 1
-    counts = df.groupBy(*slices, F.col(score).cast("double").alias("score")).agg(
+    counts = measurable(df, label, score).groupBy(*slices, F.col(score).cast("double").alias("score")).agg(
         F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg")
     )
     named = F.array(

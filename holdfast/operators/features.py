@@ -20,14 +20,33 @@ from holdfast.sources.contract import ADDON_COLUMNS, TELCO, Contract
 
 # Feature names in output order.
 NUMERIC_FEATURES = (
-    "tenure MonthlyCharges TotalCharges SeniorCitizen num_addon_services "
-    "avg_charges_per_month has_internet is_automatic_payment"
-).split()
+    "tenure",
+    "MonthlyCharges",
+    "TotalCharges",
+    "SeniorCitizen",
+    "num_addon_services",
+    "avg_charges_per_month",
+    "has_internet",
+    "is_automatic_payment",
+)
 CATEGORICAL_FEATURES = (
-    "gender Partner Dependents PhoneService MultipleLines InternetService OnlineSecurity "
-    "OnlineBackup DeviceProtection TechSupport StreamingTV StreamingMovies Contract "
-    "PaperlessBilling PaymentMethod tenure_bucket"
-).split()
+    "gender",
+    "Partner",
+    "Dependents",
+    "PhoneService",
+    "MultipleLines",
+    "InternetService",
+    "OnlineSecurity",
+    "OnlineBackup",
+    "DeviceProtection",
+    "TechSupport",
+    "StreamingTV",
+    "StreamingMovies",
+    "Contract",
+    "PaperlessBilling",
+    "PaymentMethod",
+    "tenure_bucket",
+)
 
 MAX_LEVELS = 10_000
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from holdfast.functions.numeric import is_true, rate, rate_where, ratio
-from holdfast.operators.position import tile, with_position
+from holdfast.operators.position import PRIVATE, tile, with_position
 
 # Points of the transparent risk rules.
 RISK_POINTS = {
@@ -224,34 +224,71 @@ def customer_risk(
     Customers with equal scores are spread over deciles by the digest of their id.
     """
     scored = v.withColumn("risk_score", risk_score(points))
-    placed = with_position(scored, "customer_id", order=[("risk_score", "desc")], seed=seed)
-    decile = tile(F.col("position"), F.col("group_rows"), tiles)
+    placed = with_position(
+        scored, "customer_id", order=[("risk_score", "desc")], seed=seed, names=PRIVATE
+    )
+    decile = tile(F.col("_position"), F.col("_group_rows"), tiles)
     return (
         placed.withColumn("risk_decile", decile)
-        .withColumn("risk_rank", F.col("level_start") + 1)
+        .withColumn("risk_rank", F.col("_level_start") + 1)
         .withColumn(
             "risk_tier",
             F.when(F.col("risk_decile") == 1, "high")
             .when(F.col("risk_decile") <= 3, "medium")
             .otherwise("low"),
         )
-        .drop("position", "level_start", "group_rows")
+        .drop(*PRIVATE)
     )
 
 
 # Columns of the risk mart and of the detail extract, in output order.
 RISK_COLUMNS = (
-    "customer_id contract_type internet_service payment_method tenure_months tenure_band "
-    "monthly_charges annual_revenue addon_service_count risk_score risk_decile risk_rank "
-    "risk_tier has_churned"
-).split()
+    "customer_id",
+    "contract_type",
+    "internet_service",
+    "payment_method",
+    "tenure_months",
+    "tenure_band",
+    "monthly_charges",
+    "annual_revenue",
+    "addon_service_count",
+    "risk_score",
+    "risk_decile",
+    "risk_rank",
+    "risk_tier",
+    "has_churned",
+)
 DETAIL_COLUMNS = (
-    "customer_id gender is_senior has_partner has_dependents tenure_months tenure_band "
-    "contract_type internet_service payment_method is_automatic_payment paperless_billing "
-    "phone_service multiple_lines online_security online_backup device_protection "
-    "tech_support streaming_tv streaming_movies addon_service_count has_internet "
-    "monthly_charges total_charges annual_revenue risk_score risk_decile risk_rank risk_tier"
-).split()
+    "customer_id",
+    "gender",
+    "is_senior",
+    "has_partner",
+    "has_dependents",
+    "tenure_months",
+    "tenure_band",
+    "contract_type",
+    "internet_service",
+    "payment_method",
+    "is_automatic_payment",
+    "paperless_billing",
+    "phone_service",
+    "multiple_lines",
+    "online_security",
+    "online_backup",
+    "device_protection",
+    "tech_support",
+    "streaming_tv",
+    "streaming_movies",
+    "addon_service_count",
+    "has_internet",
+    "monthly_charges",
+    "total_charges",
+    "annual_revenue",
+    "risk_score",
+    "risk_decile",
+    "risk_rank",
+    "risk_tier",
+)
 
 
 def risk_mart(v: DataFrame) -> DataFrame:

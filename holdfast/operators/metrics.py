@@ -18,10 +18,11 @@ from holdfast.operators.cumulative import (
     ROWS_PER_SLAB,
     cumulate,
     cut_index,
-    exact_quantiles,
+    quantiles_of,
     slab_edges,
 )
-from holdfast.operators.position import null_safe_join, with_position
+from holdfast.operators.position import PRIVATE, null_safe_join, with_position
+from holdfast.session import materialize
 
 
 @dataclass(frozen=True)
@@ -60,13 +61,41 @@ ACCEPTANCE_RATES = (0.15, 0.20, 0.25, 0.30, 0.40, 0.50)
 METRIC_DIGITS = 6
 
 
+def _gap(label: str, score: str) -> Column:
+    """Why a row cannot be measured: no label, no score (NULL or NaN), or NULL if it can."""
+    number = F.col(score).cast("double")
+    return F.when(F.col(label).isNull(), "no label").when(
+        number.isNull() | F.isnan(number), "no score"
+    )
+
+
+def measurable(df: DataFrame, label: str, score: str) -> DataFrame:
+    """The rows that every metric, curve, sweep and slice is computed on.
+
+    A row without a label, or whose score is NULL or NaN, is left out of all of them alike;
+    :func:`set_aside` counts what was left out.
+    """
+    return df.where(_gap(label, score).isNull())
+
+
+def set_aside(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rows, rows measured, and rows left out for want of a label or else of a score."""
+    gap = _gap(label, score)
+    return df.groupBy(*by).agg(
+        F.count("*").alias("rows"),
+        F.count_if(gap.isNull()).alias("measured"),
+        F.count_if(gap == "no label").alias("no_label"),
+        F.count_if(gap == "no score").alias("no_score"),
+    )
+
+
 def score_histogram(
     df: DataFrame, label: str, score: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Positives and negatives per (group, score)."""
+    """Positives and negatives per (group, score) of the measurable rows."""
     hit = F.col(label) == 1
     return (
-        df.where(F.col(score).isNotNull())
+        measurable(df, label, score)
         .groupBy(*by, F.col(score).cast("double").alias("score"))
         .agg(F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg"))
     )
@@ -178,7 +207,7 @@ def evaluate_curve(
 def confusion(df: DataFrame, label: str, score: str, threshold: float, by=()) -> DataFrame:
     """Confusion counts at a threshold: four conditional counts in one aggregate."""
     hit, flagged = F.col(label) == 1, F.col(score) >= F.lit(float(threshold))
-    return df.groupBy(*by).agg(
+    return measurable(df, label, score).groupBy(*by).agg(
         F.count_if(~hit & ~flagged).alias("tn"),
         F.count_if(~hit & flagged).alias("fp"),
         F.count_if(hit & ~flagged).alias("fn"),
@@ -241,11 +270,11 @@ def precision_at_k(
     found = head.first()
     extra = F.lit(0)
     if found["at"] is not None:
-        tied = df.select(id_col, F.col(label).alias("_label"), F.col(score).cast("double").alias("_s"))
+        tied = measurable(df, label, score).select(id_col, F.col(label).alias("_label"), F.col(score).cast("double").alias("_s"))
         placed = with_position(
-            tied.where(F.col("_s") == F.lit(found["at"])), id_col, seed=seed, rows=found["tied"]
+            tied.where(F.col("_s") == F.lit(found["at"])), id_col, seed=seed, names=PRIVATE
         )
-        taken = (F.col("position") < found["room"]) & (F.col("_label") == 1)
+        taken = (F.col("_position") < found["room"]) & (F.col("_label") == 1)
         extra = F.lit(placed.agg(F.count_if(taken)).first()[0])
     return df.sparkSession.range(1).select(
         F.lit(found["k"]).cast("bigint").alias("k"),
@@ -304,10 +333,13 @@ def calibration(df, label, score, bins: int = 10, rows_per_slab: int = ROWS_PER_
     A row's bin is the number of inner edges strictly below its score.
     """
     shares = [i / bins for i in range(1, bins)]
-    edges = exact_quantiles(df, score, shares, rows_per_slab=rows_per_slab).first()
+    # one histogram answers both questions: where the edges are, and what lies between
+    hist = materialize(score_histogram(df, label, score), "score-histogram")
+    counts = hist.select("score", (F.col("pos") + F.col("neg")).alias("n"))
+    slabs = slab_edges(counts, "score", rows_per_slab)
+    edges = quantiles_of(counts, "score", shares, slabs).first()
     inner = [edges[f"q{i}"] for i in range(len(shares))]
     below = sum((F.col("score") > F.lit(e)).cast("int") for e in inner)
-    hist = score_histogram(df, label, score)
     return (
         hist.groupBy(below.alias("bin"))
         .agg(
@@ -338,7 +370,7 @@ def threshold_counts(
     """
     hit = F.col(label) == 1
     placed = cut_index(
-        df.where(F.col(score).isNotNull()).withColumn("_s", F.col(score).cast("double")),
+        measurable(df, label, score).withColumn("_s", F.col(score).cast("double")),
         "_s",
         list(grid),
         "_cuts",

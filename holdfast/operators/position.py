@@ -4,7 +4,8 @@
 into cells that follow the wanted order: first the levels of a low-cardinality order
 key, then even pieces of the id digest inside each level. A level that holds a third
 of all rows therefore spreads over as many tasks as its size asks for. Cells are
-functions of the row alone, so a lost executor recomputes the same cells.
+functions of the row alone, so a lost executor recomputes the same cells, and their
+number is fixed, so the rows need not be counted first.
 """
 
 from __future__ import annotations
@@ -17,7 +18,10 @@ from pyspark.sql.window import Window
 
 from holdfast.functions.hashing import cell_of, shuffle_key
 
-ROWS_PER_CELL = 500_000
+#: Pieces of a level's digests; at ten billion rows a piece has some 600,000.
+CELLS = 16_384
+#: Names for the added columns that no table of customers has.
+PRIVATE = ("_position", "_level_start", "_group_rows")
 
 
 def with_position(
@@ -26,8 +30,9 @@ def with_position(
     order: Sequence[tuple[str, str]] = (),
     within: Sequence[str] = (),
     seed: int | str = 0,
-    rows_per_cell: int = ROWS_PER_CELL,
+    rows_per_cell: int | None = None,
     rows: int | None = None,
+    names: Sequence[str] = ("position", "level_start", "group_rows"),
 ) -> DataFrame:
     """Add the 0-based ``position`` of each row in its ``within`` group.
 
@@ -36,18 +41,23 @@ def with_position(
     digest of ``(seed, id)``, then the id. Also adds ``level_start`` (rows strictly
     before this row's level) and ``group_rows`` (rows in the group).
 
-    Ids must be unique. The base is shuffled and sorted once, by cell: the join with
-    the cell offsets uses the same key. Offsets are prefix sums over the cells of one
-    level and over the levels of one group, never over both at once. Callers that know
-    the row count pass it as ``rows``; otherwise it is counted inside the plan.
+    Ids must be unique. A row without an id is kept too: it takes the digest of its whole
+    content, so such rows spread over the cells, and equal ones are interchangeable.
+    ``names`` are the three added columns.
+
+    The base is shuffled and sorted once, by cell: the join with the cell offsets uses the
+    same key. Offsets are prefix sums over the cells of one level and over the levels of
+    one group, never over both at once. ``rows_per_cell`` with a known row count ``rows``
+    asks for fewer cells.
     """
     levels = [name for name, _ in order]
-    if rows is None:
-        wanted = df.agg(F.ceil(F.count("*") / F.lit(rows_per_cell)).cast("bigint")).scalar()
-        cells = F.greatest(wanted, F.lit(1))
-    else:
-        cells = max(1, -(-rows // rows_per_cell))
-    keyed = df.withColumn("_digest", shuffle_key(id_col, seed))
+    cells = CELLS
+    if rows_per_cell is not None:
+        wanted = df.count() if rows is None else rows
+        cells = max(1, -(-wanted // rows_per_cell))
+    spare = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))
+    key = F.coalesce(F.col(id_col).cast("string"), spare)
+    keyed = df.withColumn("_digest", shuffle_key(key, seed))
     keyed = keyed.withColumn("_cell", cell_of(F.col("_digest"), cells))
     # the group as one struct: equal structs match also where a field is NULL
     keyed = keyed.withColumn("_key", F.struct(*within, *levels, F.lit(0).alias("_")))
@@ -56,17 +66,19 @@ def with_position(
     in_cell = Window.partitionBy("_cell", "_key").orderBy("_digest", id_col)
     placed = keyed.withColumn("_nth", F.row_number().over(in_cell))
     offsets = _cell_offsets(keyed, order, within)
-    return (
-        placed.join(offsets, ["_cell", "_key"])
-        .withColumn("position", F.col("_before") + F.col("_nth") - 1)
-        .drop("_key", "_digest", "_cell", "_nth", "_before")
+    position, level_start, group_rows = names
+    return placed.join(offsets, ["_cell", "_key"]).select(
+        *(F.col(f"`{c}`") for c in df.columns),
+        (F.col("_before") + F.col("_nth") - 1).alias(position),
+        F.col("_start").alias(level_start),
+        F.col("_group").alias(group_rows),
     )
 
 
 def _cell_offsets(
     keyed: DataFrame, order: Sequence[tuple[str, str]], within: Sequence[str]
 ) -> DataFrame:
-    """``_cell, _key, _before, level_start, group_rows`` for every occupied cell."""
+    """``_cell, _key, _before, _start, _group`` for every occupied cell."""
     levels = [name for name, _ in order]
     counts = (
         keyed.groupBy("_cell", "_key")
@@ -83,22 +95,22 @@ def _cell_offsets(
         starts = (
             counts.groupBy(*within, *levels)
             .agg(F.sum("_rows").alias("_n"))
-            .withColumn("level_start", F.coalesce(earlier, F.lit(0)))
-            .withColumn("group_rows", F.sum("_n").over(Window.partitionBy(*within)))
+            .withColumn("_start", F.coalesce(earlier, F.lit(0)))
+            .withColumn("_group", F.sum("_n").over(Window.partitionBy(*within)))
             .drop("_n")
         )
         counts = null_safe_join(counts, starts, [*within, *levels])
     else:
         in_group = Window.partitionBy(*within)
-        counts = counts.withColumn("level_start", F.lit(0).cast("bigint")).withColumn(
-            "group_rows", F.sum("_rows").over(in_group)
+        counts = counts.withColumn("_start", F.lit(0).cast("bigint")).withColumn(
+            "_group", F.sum("_rows").over(in_group)
         )
     return counts.select(
         "_cell",
         "_key",
-        (F.col("level_start") + F.col("_inside")).alias("_before"),
-        "level_start",
-        "group_rows",
+        (F.col("_start") + F.col("_inside")).alias("_before"),
+        "_start",
+        "_group",
     )
 
 

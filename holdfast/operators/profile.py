@@ -7,6 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from holdfast.functions.customer import count_yes
 from holdfast.functions.numeric import rate, rate_where, ratio
@@ -150,12 +151,15 @@ def simpson_table(df: DataFrame, hit: Column, subset: Column) -> DataFrame:
     is where the unconditioned trend turns against the conditioned one.
     """
     counted = df.withColumn("n_addons", count_yes(ADDON_COLUMNS))
-    return counted.groupBy("n_addons").agg(
+    table = counted.groupBy("n_addons").agg(
         F.count("*").alias("customers_all"),
         F.round(rate(hit), DIGITS).alias("rate_all"),
         F.count_if(subset).alias("customers_subset"),
         F.round(rate_where(hit, subset), DIGITS).alias("rate_subset"),
     )
+    # at most one row per number of add-ons
+    before = F.lag("rate_all").over(Window.orderBy("n_addons"))
+    return table.withColumn("rises", F.coalesce(F.col("rate_all") > before, F.lit(False)))
 
 
 def zero_addon_breakdown(df: DataFrame, hit: Column, by: str = "InternetService") -> DataFrame:

@@ -17,10 +17,11 @@ from pyspark.sql.window import Window
 
 from holdfast.functions.hashing import digest_number, shuffle_key, slot_of
 from holdfast.functions.numeric import rate
-from holdfast.operators.position import with_position
+from holdfast.operators.position import PRIVATE, null_safe_join, with_position
 from holdfast.operators.quality import ContractViolation
 
-MAX_STRATA = 10_000
+#: How a manifest's fingerprints were made: sums of sha256 lanes, see :func:`fingerprint`.
+FINGERPRINT_MODE = "sha256-lane-sums"
 EXACT_FINGERPRINT_ROWS = 1_000_000
 
 
@@ -35,18 +36,35 @@ def allocate(counts: Mapping, wanted: int) -> dict:
     return whole
 
 
-def _per_stratum(strata: str, quota: Mapping) -> Column:
-    expr = F.lit(0)
-    for value, n in quota.items():
-        expr = F.when(F.col(strata).eqNullSafe(F.lit(value)), n).otherwise(expr)
-    return expr
+def _share_out(strata: str, size: str, wanted: Column, name: str, table: DataFrame) -> DataFrame:
+    """Add ``name``: ``wanted`` rows shared over the strata of a table as :func:`allocate` does."""
+    everything = Window.partitionBy()
+    total = F.sum(size).over(everything).cast("decimal(38,0)")
+    exact = F.col(size).cast("decimal(19,0)") * F.col("_wanted")
+    table = table.withColumn("_wanted", wanted.cast("decimal(19,0)")).withColumn("_total", total)
+    table = table.withColumn("_whole", F.floor(F.try_divide(exact, F.col("_total"))).cast("bigint"))
+    table = table.withColumn("_rest", exact - F.col("_whole") * F.col("_total"))
+    spare = F.col("_wanted") - F.sum("_whole").over(everything)
+    by_rest = Window.orderBy(
+        F.col("_rest").desc(), F.coalesce(F.col(strata).cast("string"), F.lit("None"))
+    )
+    extra = (F.row_number().over(by_rest) <= spare).cast("bigint")
+    return table.withColumn(name, F.coalesce(F.col("_whole") + extra, F.lit(0))).drop(
+        "_wanted", "_total", "_whole", "_rest"
+    )
 
 
-def _strata_counts(df: DataFrame, strata: str) -> dict:
-    rows = df.groupBy(strata).count().limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata in '{strata}': not a class label")
-    return {r[0]: r[1] for r in rows}
+def split_quotas(df: DataFrame, strata: str, test: float, val: float) -> DataFrame:
+    """``strata, _in_test, _in_val`` rows of every stratum; one row per class label."""
+    counts = df.groupBy(strata).agg(F.count("*").alias("_n"))
+    rows = F.sum("_n").over(Window.partitionBy())
+    n_test = F.ceil(F.lit(float(test)) * rows)
+    n_val = F.ceil(F.lit(val / (1.0 - test)) * (rows - n_test))
+    counts = counts.withColumns({"_n_test": n_test, "_n_val": n_val})
+    counts = _share_out(strata, "_n", F.col("_n_test"), "_in_test", counts)
+    counts = counts.withColumn("_left", F.col("_n") - F.col("_in_test"))
+    counts = _share_out(strata, "_left", F.col("_n_val"), "_in_val", counts)
+    return counts.select(strata, "_in_test", "_in_val")
 
 
 def stratified_split(
@@ -61,44 +79,33 @@ def stratified_split(
     """Add ``split`` in {train, val, test} with exact sizes.
 
     Sizes round up as a two-stage hold-out does: test from everything, then validation
-    from the rest with the fraction ``val / (1 - test)``.
+    from the rest with the fraction ``val / (1 - test)``. The quotas are a table with a row per
+    stratum, joined to the placed rows. Rows without an id are split like any other.
     """
-    counts = _strata_counts(df, strata)
-    rows = sum(counts.values())
-    n_test = math.ceil(test * rows)
-    in_test = allocate(counts, n_test) if n_test else {k: 0 for k in counts}
-    rest = {k: counts[k] - in_test[k] for k in counts}
-    n_val = math.ceil(val / (1.0 - test) * (rows - n_test)) if val else 0
-    in_val = allocate(rest, n_val) if n_val else {k: 0 for k in counts}
-
-    until_test = _per_stratum(strata, in_test)
-    until_val = _per_stratum(strata, {k: in_test[k] + in_val[k] for k in counts})
-    placed = with_position(df, id_col, within=[strata], seed=seed, rows=rows, **cells)
-    return placed.withColumn(
-        "split",
-        F.when(F.col("position") < until_test, "test")
-        .when(F.col("position") < until_val, "val")
-        .otherwise("train"),
-    ).drop("position", "level_start", "group_rows")
+    placed = with_position(df, id_col, within=[strata], seed=seed, names=PRIVATE, **cells)
+    joined = null_safe_join(placed, split_quotas(df, strata, test, val), [strata])
+    part = (
+        F.when(F.col("_position") < F.col("_in_test"), "test")
+        .when(F.col("_position") < F.col("_in_test") + F.col("_in_val"), "val")
+        .otherwise("train")
+    )
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns), part.alias("split"))
 
 
 def stratified_folds(
     df: DataFrame, id_col: str, strata: str, k: int = 5, seed: int = 42, **cells
 ) -> DataFrame:
     """Add ``fold`` 0..k-1; every stratum is spread evenly over the folds."""
-    placed = with_position(df, id_col, within=[strata], seed=f"fold-{seed}", **cells)
-    return placed.withColumn("fold", (F.col("position") % k).cast("int")).drop(
-        "position", "level_start", "group_rows"
+    placed = with_position(
+        df, id_col, within=[strata], seed=f"fold-{seed}", names=PRIVATE, **cells
     )
+    return placed.withColumn("fold", (F.col("_position") % k).cast("int")).drop(*PRIVATE)
 
 
 def sample_n(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly n rows (or all), the same ones for any partitioning of the input."""
-    if n <= 10_000:  # each task keeps its best n, no shuffle of the base
-        key = shuffle_key(id_col, f"sample-{seed}")
-        return df.orderBy(key, id_col).limit(n)
-    placed = with_position(df, id_col, seed=f"sample-{seed}")
-    return placed.where(F.col("position") < n).drop("position", "level_start", "group_rows")
+    placed = with_position(df, id_col, seed=f"sample-{seed}", names=PRIVATE)
+    return placed.where(F.col("_position") < n).drop(*PRIVATE)
 
 
 def oversample(df: DataFrame, label: str, id_col: str, seed: int = 42, **cells) -> DataFrame:
@@ -120,12 +127,10 @@ def oversample(df: DataFrame, label: str, id_col: str, seed: int = 42, **cells)
         return originals
     draws = df.sparkSession.range(needed).select(
         F.col("id").alias("draw"),
-        slot_of(shuffle_key("id", f"draw-{seed}"), sizes["pos"]).alias("position"),
-    )
-    pool = with_position(
-        df.where(positive), id_col, seed=f"pool-{seed}", rows=sizes["pos"], **cells
+        slot_of(shuffle_key("id", f"draw-{seed}"), sizes["pos"]).alias("_position"),
     )
-    copies = draws.join(pool, "position").select(*df.columns, "draw")
+    pool = with_position(df.where(positive), id_col, seed=f"pool-{seed}", names=PRIVATE, **cells)
+    copies = draws.join(pool, "_position").select(*df.columns, "draw")
     return originals.unionByName(copies)
 
 
@@ -233,16 +238,26 @@ def split_manifest(
             F.round(F.col("rows") / total, 4).alias("share"),
             "churn_rate",
             "id_fingerprint",
+            F.lit(FINGERPRINT_MODE).alias("fingerprint_mode"),
         )
     )
 
 
 def seal_check(df: DataFrame, manifest: DataFrame, id_col: str, part: str = "split") -> DataFrame:
-    """Fingerprint now against fingerprint in the manifest, per part."""
+    """Fingerprint now against fingerprint in the manifest, per part.
+
+    A manifest that names another fingerprint mode is never sealed; use that mode to check it.
+    """
     now = df.groupBy(F.col(part).alias("split")).agg(fingerprint(id_col).alias("actual"))
-    expected = manifest.select("split", F.col("id_fingerprint").alias("expected"))
+    same_mode = F.lit(True)
+    if "fingerprint_mode" in manifest.columns:
+        same_mode = F.col("fingerprint_mode").eqNullSafe(F.lit(FINGERPRINT_MODE))
+    expected = manifest.select(
+        "split", F.col("id_fingerprint").alias("expected"), same_mode.alias("_mode")
+    )
+    equal = F.col("_mode") & F.col("expected").eqNullSafe(F.col("actual"))
     return expected.join(now, "split", "left").select(
-        "split", "expected", "actual", F.col("expected").eqNullSafe(F.col("actual")).alias("sealed")
+        "split", "expected", "actual", equal.alias("sealed")
     )
 
 

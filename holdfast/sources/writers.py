@@ -16,9 +16,12 @@ from holdfast.sources.contract import TELCO, Contract
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table, or None where there is none; one that cannot be read is an error."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
