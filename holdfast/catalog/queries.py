@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -905,7 +906,7 @@ def published_scores(spark, sf_dir):
 @query
 def leakage_audit(spark, sf_dir):
     raw = materialize(subscribers(spark, sf_dir), "audit")
-    return L.leakage_audit(raw, trees=20, depth=10)
+    return L.leakage_audit(raw)
 
 
 # ------------------------------------------------------------------ sinks and streams
@@ -924,6 +925,41 @@ def stream_scores(spark, sf_dir):
     return written.drop("batch", "top_drivers")
 
 
+def _published_rule(spark, sf_dir):
+    """The incumbent rule as a pipeline, saved and loaded again; and all raw records."""
+    parts = materialize(_labelled(spark, sf_dir), "parts")
+    fitted = PipelineModel(stages=[E.ContractRule().fit(_part(parts, "train"))])
+    path = scratch_path(spark, "rule")
+    writers.save_model(fitted, path, spark, {"family": "rule"})
+    return load_scorer(spark, path), parts.drop("split", "label")
+
+
+@query
+def rule_decisions(spark, sf_dir):
+    """Decisions of the published rule for every record."""
+    scorer, records = _published_rule(spark, sf_dir)
+    return scorer.score(records).withColumn("drivers", F.size("top_drivers")).drop("top_drivers")
+
+
+@query
+def rule_stream(spark, sf_dir):
+    """Every record through the stream: decisions of the accepted, errors of the others."""
+    scorer, records = _published_rule(spark, sf_dir)
+    inbox, out = scratch_path(spark, "inbox"), scratch_path(spark, "stream")
+    records.write.parquet(inbox)
+    stream = read_record_stream(spark, inbox)
+    score_stream(stream, scorer.model, out, f"{out}/checkpoint").awaitTermination()
+    good = spark.read.parquet(f"{out}/scored").select(
+        "customerID", "churn_probability", F.lit("").alias("errors")
+    )
+    bad = spark.read.parquet(f"{out}/quarantine").select(
+        "customerID",
+        F.lit(None).cast("double").alias("churn_probability"),
+        F.concat_ws(",", "errors").alias("errors"),
+    )
+    return good.unionByName(bad)
+
+
 @query
 def exports(spark, sf_dir):
     """Rows per exported CSV folder, counted from the files."""
@@ -947,7 +983,7 @@ def loaded_csv(spark, sf_dir):
     raw = readers.read_customers(spark, path)
     stored = scratch_path(spark, "bronze")
     writers.append_checked(raw, stored)
-    return readers.read_customers(spark, f"{stored}/*.parquet", validate=False)
+    return readers.read_customers(spark, stored, validate=False, fmt="parquet")
 
 
 @query

@@ -19,7 +19,7 @@ from holdfast.operators.cumulative import exact_quantiles
 from holdfast.sources.contract import ADDON_COLUMNS, TELCO, Contract
 
 # Feature names in output order.
-NUMERIC_FEATURES = (
+NUMERIC_FEATURES = [
     "tenure",
     "MonthlyCharges",
     "TotalCharges",
@@ -28,8 +28,8 @@ NUMERIC_FEATURES = (
     "avg_charges_per_month",
     "has_internet",
     "is_automatic_payment",
-)
-CATEGORICAL_FEATURES = (
+]
+CATEGORICAL_FEATURES = [
     "gender",
     "Partner",
     "Dependents",
@@ -46,7 +46,7 @@ CATEGORICAL_FEATURES = (
     "PaperlessBilling",
     "PaymentMethod",
     "tenure_bucket",
-)
+]
 
 MAX_LEVELS = 10_000
 

@@ -17,7 +17,7 @@ from holdfast.operators.explain import (
     linear_terms,
     top_drivers,
 )
-from holdfast.operators.features import DomainFeatures, PrepareModel, coerce_records
+from holdfast.operators.features import PrepareModel, coerce_records
 from holdfast.operators.metrics import Costs
 from holdfast.operators.models import positive_probability
 from holdfast.operators.quality import split_valid
@@ -80,15 +80,23 @@ def score_records(
     threshold: float | None = None,
     drivers: int = 5,
 ) -> DataFrame:
-    """Decision record per raw record. Row-wise, so it runs unchanged on a stream."""
-    prepared = records
-    for stage in model.stages[:2]:
-        if isinstance(stage, DomainFeatures | PrepareModel):
-            stage = stage.copy({stage.keep: [id_col]})
-        prepared = stage.transform(prepared)
-    explained = prepared.select("*", _drivers(terms, drivers).alias("top_drivers"))
-    assemble = model.stages[2].copy({model.stages[2].keep: [id_col, "top_drivers"]})
-    scored = model.stages[3].transform(assemble.transform(explained))
+    """Decision record per raw record. Row-wise, so it runs unchanged on a stream.
+
+    Takes any fitted pipeline whose last stage gives probabilities: a tuned model, the
+    incumbent rule or the prior. Stages that name the columns they keep are told to keep the
+    id and the drivers. Drivers are read between preparation and assembly, where the
+    features still have columns of their own.
+    """
+    scored = records
+    for stage in model.stages:
+        if stage.hasParam("keep"):
+            carried = [c for c in (id_col, "top_drivers") if c in scored.columns]
+            stage = stage.copy({stage.keep: carried})
+        scored = stage.transform(scored)
+        if terms and isinstance(stage, PrepareModel):
+            scored = scored.select("*", _drivers(terms, drivers).alias("top_drivers"))
+    if "top_drivers" not in scored.columns:
+        scored = scored.withColumn("top_drivers", _drivers(None, drivers))
     decided = decide(positive_probability(scored), "p", costs, threshold)
     return decided.select(
         id_col,

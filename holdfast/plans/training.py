@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.operators import metrics as M
@@ -15,6 +15,7 @@ from holdfast.operators.explain import LinearTerm, explained_stages, feature_mea
 from holdfast.operators.features import feature_pipeline, with_label
 from holdfast.operators.models import (
     COMPLEXITY,
+    SEARCH_SPACES,
     ContractRule,
     build_estimator,
     class_weight,
@@ -22,11 +23,12 @@ from holdfast.operators.models import (
     one_se_select,
     positive_probability,
     randomized_search,
+    sample_candidates,
     summarize_history,
 )
 from holdfast.operators.split import require_sealed, stratified_folds, stratified_split
 from holdfast.session import materialize
-from holdfast.sources import writers
+from holdfast.sources import readers, writers
 from holdfast.sources.contract import TELCO, Contract
 
 
@@ -70,15 +72,24 @@ def fit_family(
     return TrainedModel(family, fitted, names, terms)
 
 
+def search_space(n_iter: int = 30, seed: int = 42) -> dict[str, list[dict]]:
+    """``n_iter`` settings of each family, drawn from the published distributions."""
+    return {name: sample_candidates(space, n_iter, seed) for name, space in SEARCH_SPACES.items()}
+
+
 def search_and_select(
     train: DataFrame,
-    families: dict[str, Sequence[dict]],
+    families: dict[str, Sequence[dict]] | None = None,
     contract: Contract = TELCO,
     k: int = 5,
     seed: int = 42,
     complexity: dict[str, int] = COMPLEXITY,
 ) -> tuple[DataFrame, DataFrame]:
-    """(history, one-row selection) of a randomized search on the training rows."""
+    """(history, one-row selection) of a randomized search on the training rows.
+
+    Without ``families`` the candidates are drawn by :func:`search_space`.
+    """
+    families = search_space(seed=seed) if families is None else families
     # read by every fit, so it is stored once instead of being recomputed
     folded = materialize(stratified_folds(train, contract.id_column, "label", k, seed), "folds")
     keep = [contract.id_column, "label"]
@@ -125,29 +136,52 @@ def final_evaluation(
     }
 
 
+def split_job(raw: DataFrame, base: str, contract: Contract = TELCO, seed: int = 42) -> DataFrame:
+    """Splits and their seal below ``base``; the manifest. Refuses to touch an existing split."""
+    parts = stratified_split(raw, contract.id_column, contract.target, seed=seed)
+    return writers.save_splits(parts, base, contract, seed)
+
+
 def training_job(
     raw: DataFrame,
     out: str,
-    families: dict[str, Sequence[dict]],
+    families: dict[str, Sequence[dict]] | None = None,
+    contract: Contract = TELCO,
+    costs: M.Costs = M.Costs(),
+    k: int = 5,
+    seed: int = 42,
+) -> dict:
+    """Raw customers to a published model: :func:`split_job`, then :func:`train_on_split`."""
+    split_job(raw, out, contract, seed)
+    return train_on_split(raw.sparkSession, out, out, families, contract, costs, k, seed)
+
+
+def train_on_split(
+    spark: SparkSession,
+    base: str,
+    out: str,
+    families: dict[str, Sequence[dict]] | None = None,
     contract: Contract = TELCO,
     costs: M.Costs = M.Costs(),
     k: int = 5,
     seed: int = 42,
 ) -> dict:
-    """Raw customers to a published model; every artifact lands below ``out``.
+    """Train on the split stored in ``base``; every artifact lands below ``out``.
 
-    Splits and their seal, search history, one logged run per family, the selected
-    pipeline with metadata and explanation background, and the final report. The test
-    part is read once, after its seal was checked.
+    The split is read, and verified against the stored manifest before anything is learned
+    from it and again before its test part is read, once. Search history, one logged run per
+    family, the selected pipeline with metadata and explanation background, and the
+    final report are written. It can be repeated on the same split: runs
+    accumulate, and the selected one takes the next version.
     """
-    spark = raw.sparkSession
-    manifest = writers.save_splits(
-        stratified_split(raw, contract.id_column, contract.target, seed=seed), out, contract, seed
-    )
-    parts = with_label(spark.read.parquet(f"{out}/splits"), contract)
+    manifest = readers.read_manifest(spark, base)
+    stored = readers.read_splits(spark, base, contract)
+    require_sealed(stored, manifest, contract.id_column)
+    parts = with_label(stored, contract)
     train = parts.where(F.col("split") == "train").drop("split")
     val = parts.where(F.col("split") == "val")
     population = parts.count()
+    families = search_space(seed=seed) if families is None else families
 
     history, selection = search_and_select(train, families, contract, k, seed)
     writers.append_history(history, f"{out}/history")

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from holdfast.operators.quality import ContractViolation, require_contract
 from holdfast.operators.split import require_disjoint, split_manifest
+from holdfast.session import materialize
 from holdfast.sources.contract import TELCO, Contract
 
 
@@ -28,16 +29,21 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 def append_checked(df: DataFrame, path: str, contract: Contract = TELCO) -> int:
     """Append rows that meet the table contract, or fail without writing any.
 
-    Keys must be new to the table as well as unique in the batch.
+    Keys must be new to the table as well as unique in the batch. Check and write are two
+    steps, so a table has one writer at a time. The table is a folder of Parquet files;
+    ``read_customers(..., fmt="parquet")`` reads it back.
     """
-    require_contract(df, contract)
+    # the checked rows are the rows written: the input is evaluated once
+    batch = materialize(df, "batch")
+    require_contract(batch, contract)
     stored = _existing(df.sparkSession, path)
     if stored is not None:
-        again = df.join(stored.select(contract.id_column), contract.id_column, "left_semi").count()
+        keys = stored.select(contract.id_column)
+        again = batch.join(keys, contract.id_column, "left_semi").count()
         if again:
             raise ContractViolation(f"{again} keys are already stored in {path}")
-    rows = df.count()
-    df.select(*contract.names).write.mode("append").parquet(path)
+    rows = batch.count()
+    batch.select(*contract.names).write.mode("append").parquet(path)
     return rows
 
 

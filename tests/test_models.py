@@ -176,6 +176,25 @@ def test_training_job_publishes_a_model(spark, raw):
     assert all(r["decision_threshold"] == round(scorer.threshold, 4) for r in rows)
 
 
+def test_training_again_on_a_sealed_split(spark, raw):
+    base, out = scratch_path(spark, "sealed"), scratch_path(spark, "again")
+    training.split_job(raw, base)
+    families = {"logistic_regression": [{"C": 1.0, "class_weight": None, "max_iter": 20}]}
+    for _ in range(2):
+        training.train_on_split(spark, base, out, families, k=2)
+    runs = spark.read.parquet(f"{out}/runs").collect()
+    assert sorted(r["version"] for r in runs) == [1, 2]
+    extra = spark.read.parquet(f"{base}/splits").where("split = 'test'").limit(1)
+    extra.write.mode("append").partitionBy("split").parquet(f"{base}/splits")
+    with pytest.raises(ContractViolation, match="test"):
+        training.train_on_split(spark, base, out, families, k=2)
+
+
+def test_search_space_draws_every_family():
+    space = training.search_space(n_iter=4)
+    assert {name: len(drawn) for name, drawn in space.items()} == dict.fromkeys(E.SEARCH_SPACES, 4)
+
+
 def test_explanations_fall_back_to_train_or_stay_empty(spark, parts, trained):
     path = scratch_path(spark, "nobackground")
     writers.save_model(trained.model, path, spark, {"family": trained.family})
