@@ -64,8 +64,8 @@ def format_conversations(
 
     ``mask`` lists the learned spans as (segment, start, end): code points inside the
     segment-th turn of ``formatted``, counted from 0; one span per assistant turn. ``attachments``
-    has (segment, index, kind, ref, tokens) in order of appearance; the placeholder
-    ``<|kind:segment.index|>`` stands for that part of that turn.
+    has (segment, part, kind, ref, tokens) in order of appearance; the placeholder
+    ``<|kind:segment.part|>`` stands for that part of that turn.
 
     Turns follow ``turn``; equal numbers follow role, then content, so repeated rows are kept side by
     side. Nulls: a turn number sorts first, a role or text is empty, a list of parts has no
@@ -85,7 +85,7 @@ def format_conversations(
     def attachment(part: Column, segment: Column, index: Column) -> Column:
         return F.struct(
             segment.alias("segment"),
-            index.alias("index"),
+            index.alias("part"),
             part["kind"].alias("kind"),
             part["ref"].alias("ref"),
             _expanded(part).alias("tokens"),
