@@ -69,7 +69,8 @@ def _names(sums: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarra
     grams = mix(window_hash(sums, k, BYTE_POWERS))
     names = sliding_min(grams, length - k + 1)
     new = np.ones(len(names), dtype=bool)
-    new[1:] = (names[1:] != names[:-1]) | (grams[: len(names) - 1] == names[:-1])
+    before = names[:-1]
+    new[1:] = (names[1:] != before) | (grams[: len(before)] == before)
     return names, new
 
 
@@ -105,9 +106,11 @@ def _first_round(length: int, k: int):
                 names, begins = _names(sums, length, k)
                 owner = np.repeat(np.arange(piece.rows), np.diff(piece.edges))
                 count = len(names)
-                whole = owner[:count] == owner[length - 1 :] if count else np.zeros(0, bool)
+                if not count:
+                    owner = owner[:0]
+                whole = owner[:count] == owner[length - 1 :]
                 new = whole.copy()
-                new[1:] &= begins[1:] | (owner[1:count] != owner[: count - 1])
+                new[1:] &= begins[1:] | (owner[:count][1:] != owner[:count][:-1])
                 heads = np.flatnonzero(new)
                 # a run ends at the next run of its document or at the last whole window
                 sizes = np.add.reduceat(whole.astype(np.int64), heads) if len(heads) else heads
