@@ -5,12 +5,15 @@ from holdfast.llm.decontaminate import op8_decontamination
 from holdfast.llm.language_id import op7_language_id
 from holdfast.llm.line_templates import op4_line_templates
 from holdfast.llm.minhash import op5_minhash
+from holdfast.llm.oracles import ORACLES
 from holdfast.llm.packing import op9_packing
 from holdfast.llm.simhash import op6_simhash
 from holdfast.llm.substring_dedup import op1_substring_dedup
 from holdfast.llm.suffix_dedup import op10_suffix_dedup
 from holdfast.llm.warc import op3_warc
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -26,4 +29,3 @@ QUERIES = {
         op10_suffix_dedup,
     )
 }
-ORACLES: dict[str, str] = {}

@@ -259,5 +259,9 @@ def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
     return repeated_spans(docs).select(
-        "doc_id", "n_words", removed.alias("n_removed"), "kept_sha256", F.size("spans").alias("n_spans")
+        "doc_id",
+        "n_words",
+        removed.alias("n_removed"),
+        "kept_sha256",
+        F.size("spans").cast("long").alias("n_spans"),
     )

@@ -400,4 +400,4 @@ def op3_warc(spark, sf_dir: str) -> DataFrame:
     records = convert_arc(spark.read.parquet(archives))
     path = scratch_path(spark, "warc")
     write_warc(with_revisits(records), path)
-    return resolved(read_warc(spark, path))
+    return resolved(read_warc(spark, path)).drop("declared_digest", "url")
