@@ -238,8 +238,11 @@ ROWS_PER_FIT_PARTITION = 100_000
 
 
 def for_fitting(df: DataFrame, rows: int) -> DataFrame:
-    """Merge small partitions: an iterative fit pays for each of them in every iteration."""
-    return df.coalesce(max(1, -(-rows // ROWS_PER_FIT_PARTITION)))
+    """Few, even partitions: an iterative fit pays for each of them in every iteration.
+
+    A shuffle, so that the scan and the preparation before it keep their own parallelism.
+    """
+    return df.repartition(max(1, -(-rows // ROWS_PER_FIT_PARTITION)))
 
 
 def average_precisions(scored: DataFrame, by: Sequence[str], rows: int) -> DataFrame:
@@ -368,7 +371,8 @@ def one_se_select(history: DataFrame, complexity: dict[str, int] = COMPLEXITY) -
 
     Works on a search history, one row per candidate and fold.
     """
-    rank = F.lit(99)
+    unknown = F.concat(F.lit("no complexity is given for family "), F.col("family"))
+    rank = F.raise_error(unknown).cast("int")
     for family, order in complexity.items():
         rank = F.when(F.col("family") == family, order).otherwise(rank)
     best_of_family = Window.partitionBy("family").orderBy(F.col("mean_ap").desc(), "candidate")
@@ -386,11 +390,6 @@ def one_se_select(history: DataFrame, complexity: dict[str, int] = COMPLEXITY) -
     )
     within = ranked.where(F.col("mean_ap") >= F.col("t.mean_ap") - F.col("se"))
     chosen = within.orderBy("_complexity", "family").limit(1)
-    simplest = F.col("family") == F.col("t.family")
-
-    def shown(c: Column) -> Column:
-        return F.format_string("%.4f", c)
-
     return chosen.select(
         F.col("family").alias("selected"),
         F.col("candidate"),
@@ -398,20 +397,8 @@ def one_se_select(history: DataFrame, complexity: dict[str, int] = COMPLEXITY) -
         F.col("t.family").alias("top_family"),
         F.round("t.mean_ap", 6).alias("top_ap"),
         F.round("se", 6).alias("standard_error"),
-        F.when(
-            simplest,
-            F.concat(
-                F.lit("highest CV score ("), shown(F.col("t.mean_ap")),
-                F.lit(") and no simpler family is within one standard error"),
-            ),
-        )
-        .otherwise(
-            F.concat(
-                F.col("family"), F.lit(" ("), shown(F.col("mean_ap")),
-                F.lit(") is simpler and within one standard error ("), shown(F.col("se")),
-                F.lit(") of "), F.col("t.family"), F.lit(" ("), shown(F.col("t.mean_ap")), F.lit(")"),
-            )
-        )
+        F.when(F.col("family") == F.col("t.family"), "best mean score")
+        .otherwise("simpler than the best and within one standard error of it")
         .alias("reason"),
     )
 
