@@ -201,9 +201,25 @@ def warehouse_report(spark, sf_dir):
 # ------------------------------------------------------------------ contract
 
 
+#: A row count that the table does not have, so that the rule has something to say.
+EXPECTED_ROWS = 1_000
+
+
 @query
 def contract_report(spark, sf_dir):
-    return quality.check_table(subscribers(spark, sf_dir))
+    return quality.check_table(subscribers(spark, sf_dir), expected_rows=EXPECTED_ROWS)
+
+
+@query
+def stray_fields(spark, sf_dir):
+    """Fields of JSON records that the contract does not know; every fifth has one."""
+    raw = subscribers(spark, sf_dir)
+    stray = F.when(F.col("customerID").cast("bigint") % 5 == 0, F.col("tenure"))
+    lines = raw.select(
+        "customerID", F.to_json(F.struct(*raw.columns, stray.alias("Tenure"))).alias("value")
+    )
+    unknown = quality.unknown_json_fields(F.col("value"))
+    return lines.select("customerID", F.concat_ws(",", unknown).alias("unknown"))
 
 
 @query

@@ -20,7 +20,7 @@ from holdfast.operators.explain import (
 from holdfast.operators.features import PrepareModel, coerce_records
 from holdfast.operators.metrics import Costs
 from holdfast.operators.models import positive_probability
-from holdfast.operators.quality import split_valid
+from holdfast.operators.quality import require_rows, split_valid
 from holdfast.sources.contract import TELCO, Contract
 from holdfast.sources.writers import load_model
 
@@ -119,8 +119,9 @@ def ranked_batch(
     """(ranked worklist of the valid records, quarantine of the others).
 
     With ``coerce``, loosely typed records are cast first; without it they must already
-    meet the record contract.
+    meet the record contract. An empty batch is refused.
     """
+    require_rows(records)
     valid, quarantine = split_valid(coerce_records(records) if coerce else records, contract)
     scored = score_records(valid, model, id_col=contract.id_column, **options)
     return worklist(scored, contract.id_column), quarantine
