@@ -58,6 +58,49 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
 FROM payloads JOIN kept USING (html)
 """
 
+# a space stands for a variable field: no token holds one
+OP4 = """
+WITH split_lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS number FROM documents),
+lines AS (
+  SELECT doc_id, number, line,
+         list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
+                        lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN ' ' ELSE x END) AS tokens
+  FROM split_lines),
+placed AS (
+  SELECT doc_id, number, tokens, len(tokens) AS size, tokens[1:3] AS lead
+  FROM lines WHERE len(tokens) > 0),
+leaves AS (
+  SELECT size, lead FROM placed GROUP BY size, lead HAVING count(DISTINCT doc_id) >= 10),
+shared AS (SELECT * FROM placed SEMI JOIN leaves USING (size, lead)),
+forms AS (SELECT size, lead, tokens, count(*) AS n FROM shared GROUP BY size, lead, tokens),
+cells AS (
+  SELECT size, lead, tokens, n, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place
+  FROM forms),
+constants AS (
+  SELECT size, lead, place, token FROM cells WHERE place > 3 AND token <> ' '
+  GROUP BY size, lead, place, token HAVING sum(n) >= 10),
+fixed AS (
+  SELECT size, lead, tokens, count(*) AS n_fixed,
+         string_agg(place || ':' || token, ' ' ORDER BY place) AS constant
+  FROM cells SEMI JOIN constants USING (size, lead, place, token) GROUP BY size, lead, tokens),
+templates AS (
+  SELECT size, lead, tokens, coalesce(constant, '') AS constant
+  FROM forms LEFT JOIN fixed USING (size, lead, tokens)
+  WHERE coalesce(n_fixed, 0) + len(list_filter(lead, lambda x: x <> ' ')) >= size * CAST(0.6 AS DOUBLE)),
+held AS (SELECT doc_id, number, size, lead, constant FROM shared JOIN templates USING (size, lead, tokens)),
+recurring AS (
+  SELECT size, lead, constant, min(doc_id) AS keeper FROM held
+  GROUP BY size, lead, constant HAVING count(DISTINCT doc_id) >= 10),
+dropped AS (
+  SELECT doc_id, number FROM held JOIN recurring USING (size, lead, constant) WHERE doc_id <> keeper)
+SELECT doc_id, greatest(count(*) FILTER (WHERE d.number IS NULL), 1) AS n_kept,
+       count(d.number) AS n_dropped,
+       coalesce(string_agg(line, chr(10) ORDER BY l.number) FILTER (WHERE d.number IS NULL), '') AS text
+FROM lines l LEFT JOIN dropped d USING (doc_id, number) GROUP BY doc_id
+"""
+
 # two hex digits are a byte; a block holds the strings that start at 400 neighbouring bytes
 OP10 = """
 WITH texts AS (
@@ -94,5 +137,6 @@ ORACLES = {
     "op1_substring_dedup": OP1,
     "op2_chat_format": OP2,
     "op3_warc": OP3,
+    "op4_line_templates": OP4,
     "op10_suffix_dedup": OP10,
 }
