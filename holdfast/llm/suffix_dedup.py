@@ -1,24 +1,25 @@
 """Suffix-array dedup: distributed prefix doubling over byte positions.
 
 A byte is removed if some ``length``-byte string that covers it starts at two positions of
-the corpus. Prefix doubling ranks all positions by prefixes of growing length: the rank of
-a longer prefix is the pair of the ranks of two shorter ones, the second at an offset.
-Positions whose rank is unique are done, positions that share a rank over the full
-length are repeats.
-
-Two things keep the sorted table far smaller than one row per byte:
-
-* **Sampled ranks.** In a round of prefix length k, all windows of ``length`` bytes that hold
-  the same smallest k-byte name are one *run* of positions, named by it. Equal windows have equal
-  names, so a run with a name of its own cannot repeat. Runs are content-defined, hence cut
-  alike in every copy.
-* **Whole runs.** A run whose whole string (first to last window) occurs twice is
-  past the threshold at once. Only one copy of it goes on, as a partner for others.
-
-A round groups (name, whole string) pairs, drops the unique, keeps the repeated, and passes the rest
-on to a longer prefix. The offset between rounds shrinks so that two overlapping prefixes of a round
-make one of the next; in the last round every window left is a row of its own.
-Names of prefixes filter only (64 bits); equality is decided on 128-bit hashes.
+the corpus. Prefix doubling ranks positions by prefixes of growing length: the rank of a
+longer prefix is named after the pair of two shorter ranks, the second at an offset.
+Positions whose rank is unique are done; positions that share a rank over the full length
+are repeats.
+
+Ranks are names (hashes of pairs), so a task ranks its own positions, 1, 2, 4, ... bytes, without
+asking others. Spark then brings equal ranks together, drops what is unique, and what is left
+goes into the next round with a longer prefix. Sorting one row per byte in every
+round would move the corpus many times over, so two things keep the table of ranks small:
+
+* **Sampled ranks.** In a round of prefix length k, neighbouring windows of ``length`` bytes whose
+  smallest k-byte rank is at one and the same place are a *run* of positions, named by that rank. Equal
+  windows have equal names, so a run with a name of its own cannot repeat. Runs depend
+  on content only and are cut alike in every copy.
+* **Whole runs.** A run whose whole string (first to last window) occurs twice is past
+  the threshold at once. Only one copy of it goes on, as a partner for others.
+
+In the last round the prefix is the window, and every window left is a row of its own. Ranks
+only filter (64 bits); equality is decided on 128-bit hashes of the strings.
 """
 
 from __future__ import annotations
@@ -44,13 +45,17 @@ from holdfast.llm.text import (
     signed,
     sliding_min,
     span_hash,
-    window_hash,
 )
 from holdfast.session import materialize
 
 LENGTH = 400
 _KEY = ["_id", "_key"]
 _SECOND = Powers(0xD6E8FEB86659FD93)
+#: Ranks of single bytes, and the factor that tells the first of a pair from the second.
+_OF_BYTE = mix(np.arange(1, 257, dtype=U64))
+_PAIR, _SPREAD = U64(0xC2B2AE3D27D4EB4F), U64(0xFF51AFD7ED558CCD)
+#: Bytes worked on at a time: a dozen arrays of eight times the size then stay in the cache.
+_PIECE = 1 << 17
 _RUN = "struct<name:long,c1:long,c2:long,start:int,size:int,open:boolean>"
 
 
@@ -60,17 +65,33 @@ def rounds(length: int) -> list[int]:
     return sorted(k for k in steps if 1 <= k < length)
 
 
-def _names(sums: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each window of ``length`` bytes its smallest k-byte name, and whether a run begins.
+def ranks(data: np.ndarray, k: int) -> np.ndarray:
+    """Rank of the k-byte prefix at every position that has one, by doubling.
+
+    The offset grows with the length reached; the last step overlaps if k is no power of two.
+    """
+    found, reached = _OF_BYTE[data], 1
+    while reached < k and len(found):
+        offset = min(reached, k - reached)
+        pair = found[: max(len(found) - offset, 0)] * _PAIR
+        pair += found[offset:]
+        pair ^= pair >> U64(29)
+        pair *= _SPREAD
+        found, reached = pair, reached + offset
+    return mix(found)
+
+
+def _names(data: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of ``length`` bytes its smallest k-byte rank, and whether a run begins.
 
     A run ends where the name changes, and where the window that held the name at its first
     byte moves on: then the same name is found at a later place, which is a run of its own.
     """
-    grams = mix(window_hash(sums, k, BYTE_POWERS))
-    names = sliding_min(grams, length - k + 1)
+    found = ranks(data, k)
+    names = sliding_min(found, length - k + 1)
     new = np.ones(len(names), dtype=bool)
     before = names[:-1]
-    new[1:] = (names[1:] != before) | (grams[: len(before)] == before)
+    new[1:] = (names[1:] != before) | (found[: len(before)] == before)
     return names, new
 
 
@@ -100,10 +121,10 @@ def _first_round(length: int, k: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch.column("text")):
+            for piece in pieces(batch.column("text"), _PIECE):
                 values = piece.data.astype(U64)
                 sums, second = prefix(values, BYTE_POWERS), prefix(values, _SECOND)
-                names, begins = _names(sums, length, k)
+                names, begins = _names(piece.data, length, k)
                 owner = np.repeat(np.arange(piece.rows), np.diff(piece.edges))
                 count = len(names)
                 if not count:
@@ -145,12 +166,13 @@ def _next_round(length: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left = batch.column("live")
-            for piece in pieces(batch.column("text")):
+            for piece in pieces(batch.column("text"), _PIECE):
                 columns, starts, sizes_all, opens, edges = [], [], [], [], [0]
                 for row in range(piece.rows):
-                    data = piece.data[piece.edges[row] : piece.edges[row + 1]].astype(U64)
-                    sums, second = prefix(data, BYTE_POWERS), prefix(data, _SECOND)
-                    names, begins = _names(sums, length, k)
+                    data = piece.data[piece.edges[row] : piece.edges[row + 1]]
+                    values = data.astype(U64)
+                    sums, second = prefix(values, BYTE_POWERS), prefix(values, _SECOND)
+                    names, begins = _names(data, length, k)
                     live = left[piece.first + row].values
                     first, size = (live.field(f).to_numpy() for f in ("start", "size"))
                     state = live.field("open").to_numpy(zero_copy_only=False)
@@ -240,6 +262,7 @@ def _ranked(runs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
         .where("total > 1 and undecided > 0")
         .select("name")
     )
+    wanted = materialize(wanted, f"undecided-{k}")
     live = groups.join(wanted, "name").select("one.*", is_open.alias("still"))
     live = live.select(*_KEY, "start", "size", F.col("still").alias("open"))
     past = (
