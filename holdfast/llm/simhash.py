@@ -159,7 +159,9 @@ def linked_fingerprints(prints: DataFrame) -> DataFrame:
         free = (0xFF << (loose * SEGMENT_BITS)) | (0xFF << (last * SEGMENT_BITS))
         kept = ~free & ((1 << 64) - 1)
         masks.append(kept - (1 << 64) if kept >> 63 else kept)
-    keys = distinct.select(
+    # a few megabytes of fingerprints become many rows: spread them before they do
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = distinct.repartition(tasks, "fp").select(
         "fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks)))
     ).toDF("fp", "chain", "bits")
     buckets = (
