@@ -41,9 +41,9 @@ def with_position(
     digest of ``(seed, id)``, then the id. Also adds ``level_start`` (rows strictly
     before this row's level) and ``group_rows`` (rows in the group).
 
-    Ids must be unique. A row without an id is kept too: it takes the digest of its whole
-    content, so such rows spread over the cells, and equal ones are interchangeable.
-    ``names`` are the three added columns.
+    Ids must be unique. Rows without an id are kept too: they come last in their level,
+    in one cell, by their whole content; equal ones are interchangeable. ``names`` are the
+    three added columns.
 
     The base is shuffled and sorted once, by cell: the join with the cell offsets uses the
     same key. Offsets are prefix sums over the cells of one level and over the levels of
@@ -55,15 +55,17 @@ def with_position(
     if rows_per_cell is not None:
         wanted = df.count() if rows is None else rows
         cells = max(1, -(-wanted // rows_per_cell))
-    spare = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))
-    key = F.coalesce(F.col(id_col).cast("string"), spare)
-    keyed = df.withColumn("_digest", shuffle_key(key, seed))
-    keyed = keyed.withColumn("_cell", cell_of(F.col("_digest"), cells))
+    keyed = df.withColumn("_digest", shuffle_key(id_col, seed))
+    # counting needs the id and the levels only, so rows without id get a cell of their own
+    own_cell = F.coalesce(cell_of(F.col("_digest"), cells), F.lit(cells).cast("bigint"))
+    keyed = keyed.withColumn("_cell", own_cell)
     # the group as one struct: equal structs match also where a field is NULL
     keyed = keyed.withColumn("_key", F.struct(*within, *levels, F.lit(0).alias("_")))
 
     # the numeric cell leads, so most comparisons of the sort are of one long
-    in_cell = Window.partitionBy("_cell", "_key").orderBy("_digest", id_col)
+    content = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))
+    without_id = F.when(F.col(id_col).isNull(), content)
+    in_cell = Window.partitionBy("_cell", "_key").orderBy("_digest", id_col, without_id)
     placed = keyed.withColumn("_nth", F.row_number().over(in_cell))
     offsets = _cell_offsets(keyed, order, within)
     position, level_start, group_rows = names
