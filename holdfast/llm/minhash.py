@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import count
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pandas as pd
@@ -17,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.rows import NO_ID, keyed, named_id
+from holdfast.llm.graph import components
+from holdfast.llm.rows import NO_ID, keyed, named_id, packed
 from holdfast.llm.text import (
     U64,
     WORD_POWERS,
@@ -36,6 +39,11 @@ PERMUTATIONS = 128
 BANDS = 32
 SIMILARITY = 0.8
 SEED = 1729
+#: A band's members are compared in blocks of about this many, and all of them at once when there are
+#: at most ``FEW`` open pairs to a member or after ``TURNS`` turns with one leader to a band.
+BLOCK = 256
+FEW = 4
+TURNS = 6
 #: What a text without words has in every place of its signature.
 EMPTY = np.uint16(0xFFFF)
 
@@ -318,6 +326,143 @@ def near_duplicate_links(
     return classes, links
 
 
+def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in pieces(batch.column("text")):
+            hashes, edges = shingles(piece)
+            sets = [np.unique(signed(hashes[i:j])) for i, j in zip(edges[:-1], edges[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("set")[piece.first : piece.first + piece.rows],
+                    list_array(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), pa.int64()),
+                ],
+                names=["set", "shingles"],
+            )
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs(a, b)`` whose shingle sets reach the Jaccard likeness."""
+    left = sets.select(F.col("set").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("set").alias("b"), F.col("shingles").alias("right"))
+    shared = F.size(F.array_intersect("left", "right"))
+    jaccard = shared / (F.size("left") + F.size("right") - shared)
+    return pairs.join(left, "a").join(right, "b").where(jaccard >= similarity)
+
+
+def near_copy_classes(
+    docs: DataFrame,
+    similarity: float = SIMILARITY,
+    bands: int = BANDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``_id, _key, class`` of each row: what is reachable over verified links of ``similarity``.
+
+    Capital ASCII letters count as small ones. Rows with one shingle set are one node; texts without
+    words have the empty set. Members of a band that are connected already need no comparison: a
+    crowded band is first tied to one leader a turn, and what is still apart is compared pair by
+    pair. So classes are those of all pairs of all bands, without making all pairs.
+    """
+    small = F.translate("text", ascii_uppercase, ascii_lowercase)
+    base = keyed(docs, id_col, text_col).withColumn("text", small)
+    sketch = materialize(
+        base.mapInArrow(
+            _sketches(bands),
+            "_id long, _key long, set string, shingles array<long>, bands array<long>",
+        ).select("_id", "_key", "set", F.size("shingles").alias("n"), "bands"),
+        "minhash",
+    )
+    nodes = materialize(
+        sketch.groupBy("set").agg(
+            F.min(F.struct("_id", "_key")).alias("rep"),
+            F.any_value("n").alias("n"),
+            F.any_value("bands").alias("bands"),
+        ),
+        "minhash-sets",
+    )
+    every = nodes.where("n > 0").select("set", "n", F.explode("bands").alias("band"))
+    shared = materialize(
+        every.groupBy("band").count().where("count > 1").select("band"), "shared-bands"
+    )
+    keys = materialize(every.join(shared, "band"), "band-members")
+    members = nodes.join(keys.select("set").distinct(), "set").select("set", "rep.*")
+    members = materialize(members, "candidates")
+    sets = materialize(
+        base.join(members, ["_id", "_key"])
+        .mapInArrow(_shingle_sets, "set string, shingles array<long>")
+        .dropDuplicates(["set"]),
+        "shingle-sets",
+    )
+    labels = members.select("set", F.col("set").alias("class"))
+    for turn in count():
+        parts = materialize(keys.join(labels, "set"), "labelled-members")
+        order = F.struct(F.xxhash64("set", F.lit(turn)).alias("order"), "set", "class", "n")
+        crowds = parts.groupBy("band", "class").agg(F.count("*").alias("m"), F.min(order).alias("lead"))
+        crowds = crowds.groupBy("band").agg(
+            F.sum("m").alias("size"), F.sum(F.col("m") * F.col("m")).alias("own"),
+            F.min("lead").alias("lead"),
+        )
+        crowds = materialize(crowds.where("own < size * size"), "open-bands")
+        size, apart = crowds.agg(
+            F.sum("size"), F.sum((F.col("size").cast("double") * F.col("size") - F.col("own")) / 2)
+        ).first()
+        if not size:
+            break
+        whole = apart <= FEW * size or turn == TURNS
+        # likeness is at most the ratio of the set sizes
+        fits = f"n >= {similarity} * n2 - 0.000001 and n2 >= {similarity} * n - 0.000001"
+        if whole:
+            blocks = F.ceil(F.col("size") / BLOCK)
+            near = parts.join(crowds.select("band", blocks.alias("blocks")), "band")
+            left = near.withColumn("block", F.expr("pmod(xxhash64(set), blocks)")).drop("blocks")
+            right = near.select(
+                "band", F.col("set").alias("set2"), F.col("class").alias("class2"),
+                F.col("n").alias("n2"), F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"),
+            )
+            met = left.join(right, ["band", "block"]).where(f"class < class2 and {fits}")
+        else:
+            met = parts.join(
+                crowds.select(
+                    "band", F.col("lead.set").alias("set2"), F.col("lead.class").alias("class2"),
+                    F.col("lead.n").alias("n2"),
+                ),
+                "band",
+            ).where(f"class <> class2 and {fits}")
+        pairs = met.select(
+            F.col("set").alias("a"), F.col("set2").alias("b"), "class", "class2"
+        ).distinct()
+        pairs = materialize(pairs, "band-pairs")
+        # classes are the nodes, so a turn only works on what it joins
+        links = _alike(pairs, sets, similarity).select("class", "class2")
+        tied = components(links).toDF("class", "root")
+        labels = labels.join(tied, "class", "left")
+        labels = materialize(
+            labels.select("set", F.coalesce("root", "class").alias("class")), "copy-classes"
+        )
+        if whole:
+            break
+    return sketch.join(labels, "set", "left").select(
+        "_id", "_key", F.coalesce("class", "set").alias("class")
+    )
+
+
+def one_of_alike(
+    docs: DataFrame,
+    similarity: float = SIMILARITY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row of each class of ``near_copy_classes``, the one with the smallest id; all columns stay.
+
+    Rows of one id are told apart by text, repeated rows by their other columns, the smallest first.
+    """
+    classes = near_copy_classes(docs, similarity, id_col=id_col, text_col=text_col)
+    keepers = classes.groupBy("class").agg(F.min(F.struct("_id", "_key")).alias("kept"))
+    keepers = materialize(keepers.select("kept.*"), "keepers")
+    rows = packed(docs, id_col, text_col).join(keepers, ["_id", "_key"])
+    return rows.groupBy("_id", "_key").agg(F.min("row").alias("row")).select("row.*")
+
+
 def op5_minhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprints of every whole text of ``documents`` and of its edited text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

@@ -203,3 +203,59 @@ def test_simhash_query_equals_brute_force(spark, sf):
     label = brute_classes(prints)
     got = {tuple(r) for r in S.op6_simhash(spark, sf).collect()}
     assert got == {(d, f"{p:016x}", label[d]) for d, p in prints.items()}
+
+
+def brute_alike(texts: dict) -> dict:
+    """Smallest key reachable over links of a five-word Jaccard of 0.8 or more."""
+    found = {d: sets((t or "").lower()) for d, t in texts.items()}
+    label = {d: d for d in texts}
+
+    def root(d):
+        while label[d] != d:
+            d = label[d]
+        return d
+
+    for a in found:
+        for b in found:
+            if a < b and jaccard(found[a], found[b]) >= 0.8 and root(a) != root(b):
+                low, high = sorted((root(a), root(b)))
+                label[high] = low
+    return {d: root(d) for d in texts}
+
+
+@pytest.mark.parametrize(("crowd", "few"), [(90, M.FEW), (40, 0)])
+def test_one_of_alike_equals_brute_force_jaccard(spark, monkeypatch, crowd, few):
+    """A chain whose ends are unlike, crowds of edited copies, and a crowd that shares only half.
+
+    Without a bound for few open pairs, leaders come first."""
+    monkeypatch.setattr(M, "FEW", few)
+    monkeypatch.setattr(M, "TURNS", 2)
+    rng = random.Random(crowd)
+    words = [f"v{i}" for i in range(3000)]
+    texts, chain, base = {}, rng.choices(words, k=100), rng.choices(words, k=200)
+    for i in range(20):
+        chain[i * 5] = f"c{i}"
+        texts[1000 + i] = " ".join(chain)
+    for i in range(crowd):
+        own = list(base)
+        for _ in range(rng.randrange(8)):
+            own[rng.randrange(200)] = f"e{rng.random()}"
+        texts[i] = " ".join(own)
+        texts[2000 + i] = " ".join(base[:120] + rng.choices(words, k=80))
+    texts |= {3000: texts[5].upper(), 3001: "One", 3002: "one", 3003: "", 3004: None, 3005: " "}
+    docs = list(texts.items())
+    rng.shuffle(docs)
+    label = brute_alike(texts)
+    kept = M.one_of_alike(table(spark, [*docs, *docs[:3]])).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(label.values()))
+    assert all(r.text == texts[r.doc_id] for r in kept)
+    assert M.one_of_alike(table(spark, [])).count() == 0
+
+
+def test_pipeline_stage_drops_every_near_copy(spark, sf):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    kept = corpus_pipeline.without_near_copies(spark, docs, sf).select("doc_id").collect()
+    assert {r.doc_id for r in kept} == set(brute_alike(texts).values())
