@@ -133,10 +133,107 @@ SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed,
 FROM texts LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+# windows of eight words found twice in one text cover the repeated words
+OP11 = f"""
+WITH words AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+every AS (SELECT doc_id, unnest(w) AS word FROM words),
+windows AS (
+  SELECT doc_id, i, md5_number(array_to_string(w[i:i + 7], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM words WHERE len(w) >= 8)),
+again AS (SELECT doc_id, h FROM windows GROUP BY doc_id, h HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM windows SEMI JOIN again USING (doc_id, h))
+  GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM words)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+per_line AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
+         count(*) FILTER (WHERE regexp_matches(line, '^[\x20\x09-\x0D]*[-*]')) AS n_bullets,
+         count(*) FILTER (WHERE regexp_matches(line, '[.][.][.][\x20\x09-\x0D]*$')) AS n_ellipses
+  FROM lines GROUP BY doc_id),
+per_word AS (
+  SELECT doc_id, sum(length(word)) AS word_chars,
+         count(*) FILTER (WHERE regexp_matches(word, '[A-Za-z]') OR NOT regexp_full_match(word, '[\x00-\x7F]*')) AS n_letter
+  FROM every GROUP BY doc_id),
+common AS (
+  SELECT doc_id, max(n) AS n_common FROM (SELECT doc_id, word, count(*) AS n FROM every GROUP BY doc_id, word)
+  GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines, coalesce(n_bullets, 0) AS n_bullets,
+         coalesce(n_ellipses, 0) AS n_ellipses, coalesce(n_letter, 0) AS n_letter, coalesce(n_common, 0) AS n_common
+  FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN per_line USING (doc_id)
+       LEFT JOIN per_word USING (doc_id) LEFT JOIN common USING (doc_id)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+            OR 10 * n_symbols > 3 * n_words OR 10 * n_dup_lines > 3 * n_lines
+            OR 10 * n_letter < 6 * n_words OR 10 * n_bullets > 9 * n_lines
+            OR 10 * n_ellipses > 3 * n_lines OR 10 * n_common > 4 * n_words) AS kept
+FROM judged
+"""
+
+# every order is walked through: what a filter removes fails it and no filter before it
+OP12 = rf"""
+WITH marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+         max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first_id FROM texts GROUP BY text),
+fails AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END)
+         || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END)
+         || (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END)
+         || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+         || (CASE WHEN doc_id > first_id THEN 'E' ELSE '' END) AS failed
+  FROM texts JOIN firsts USING (text) LEFT JOIN marks USING (doc_id)),
+cells AS (
+  SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY ALL),
+parts AS (SELECT part, sum(n) AS n FROM cells GROUP BY part),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a JOIN letters b ON b.f <> a.f JOIN letters c ON c.f NOT IN (a.f, b.f)
+       JOIN letters d ON d.f NOT IN (a.f, b.f, c.f) JOIN letters e ON e.f NOT IN (a.f, b.f, c.f, d.f)),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f,
+         substr(filter_order, 1, step - 1) AS earlier
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+counted AS (
+  SELECT part, filter_order, step, f,
+         sum(CASE WHEN fresh THEN n ELSE 0 END) AS removed, sum(CASE WHEN fresh THEN 0 ELSE n END) AS redundant,
+         sum(CASE WHEN failed = f THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN fresh THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN fresh THEN toxic ELSE 0 END) AS toxic_lost
+  FROM (SELECT *, translate(failed, earlier, '') = failed AS fresh
+        FROM cells JOIN steps ON contains(failed, f))
+  GROUP BY part, filter_order, step, f),
+whole AS (
+  SELECT part, n, filter_order, step, f, coalesce(removed, 0) AS removed, coalesce(redundant, 0) AS redundant,
+         coalesce(unique_fails, 0) AS unique_fails, coalesce(good_lost, 0) AS good_lost,
+         coalesce(toxic_lost, 0) AS toxic_lost
+  FROM parts CROSS JOIN steps LEFT JOIN counted USING (part, filter_order, step, f))
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+       CAST(n - sum(removed) OVER (PARTITION BY part, filter_order ORDER BY step) AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM whole
+"""
+
 ORACLES = {
     "op1_substring_dedup": OP1,
     "op2_chat_format": OP2,
     "op3_warc": OP3,
     "op4_line_templates": OP4,
     "op10_suffix_dedup": OP10,
+    "op11_quality_cascade": OP11,
+    "op12_filter_audit": OP12,
 }

@@ -7,7 +7,7 @@ import pytest
 
 from holdfast.llm.catalog import ORACLES, QUERIES
 
-TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
