@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,7 @@ from holdfast.operators import metrics as M
 from holdfast.operators import models as E
 from holdfast.operators import profile as P
 from holdfast.operators import split as S
+from holdfast.operators.boosting import LeafwiseBoosting
 from holdfast.operators.silver import silver_customers
 from holdfast.plans import training, warehouse
 from holdfast.plans.scoring import load_scorer, ranked_batch, score_records
@@ -919,6 +921,28 @@ def published_scores(spark, sf_dir):
     return scorer.score(FE.coerce_records(raw)).drop("top_drivers")
 
 
+# three features whose every value has a bin of its own
+TREE_FEATURES = ("tenure", "num_addon_services", "SeniorCitizen")
+
+
+@query
+def boosted_leaves(spark, sf_dir):
+    """The first boosted tree over three features, grown best first: rows and value of each leaf."""
+    train = FE.domain_features(_part(_labelled(spark, sf_dir), "train"), ["label"])
+    x = F.array(*(F.col(c) for c in TREE_FEATURES))
+    train = materialize(train.select(array_to_vector(x).alias("features"), "label", x.alias("x")), "tree")
+    booster = LeafwiseBoosting(maxIter=1, maxLeafNodes=4, minSamplesLeaf=20, l2=1.0)
+    leaf = F.lit(None).cast("string")
+    value = F.lit(None).cast("double")
+    for found in booster.fit(train).leaves():
+        steps = [(F.col("x")[f] <= cut) if side == "<=" else (F.col("x")[f] > cut) for f, side, cut in found["path"]]
+        here = reduce(lambda a, b: a & b, steps, F.lit(True))
+        path = " ".join(f"{TREE_FEATURES[f]}{side}{cut:g}" for f, side, cut in found["path"])
+        leaf, value = F.when(here, path).otherwise(leaf), F.when(here, found["value"]).otherwise(value)
+    rows = train.groupBy(leaf.alias("leaf"), F.round(value, 6).alias("value"))
+    return rows.agg(F.count("*").alias("rows"), F.sum(F.col("label").cast("bigint")).alias("churned"))
+
+
 @query
 def leakage_audit(spark, sf_dir):
     raw = materialize(subscribers(spark, sf_dir), "audit")

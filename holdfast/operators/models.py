@@ -9,11 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -21,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from holdfast.operators.boosting import LeafwiseBoosting
 from holdfast.operators.features import feature_pipeline
 from holdfast.operators.metrics import evaluate
 
@@ -157,6 +154,7 @@ SEARCH_SPACES = {
         "max_iter": ("int", 100, 500),
         "max_leaf_nodes": ("int", 8, 64),
         "min_samples_leaf": ("int", 5, 60),
+        "l2_regularization": ("log", 1e-4, 10),
         "class_weight": ("choice", ["balanced", None]),
     },
 }
@@ -218,12 +216,12 @@ def build_estimator(family: str, params: dict, rows: int, seed: int = 42) -> Est
             **weighted,
         )
     if family == "hist_gradient_boosting":
-        return GBTClassifier(
-            stepSize=params["learning_rate"],
+        return LeafwiseBoosting(
+            learningRate=params["learning_rate"],
             maxIter=params["max_iter"],
-            maxDepth=min(DEEPEST_TREE, max(1, math.ceil(math.log2(params["max_leaf_nodes"])))),
-            minInstancesPerNode=params["min_samples_leaf"],
-            seed=seed,
+            maxLeafNodes=params["max_leaf_nodes"],
+            minSamplesLeaf=params["min_samples_leaf"],
+            l2=params.get("l2_regularization", 0.0),
             **weighted,
         )
     raise ValueError(f"unknown family '{family}'")
