@@ -1,7 +1,7 @@
-"""Document fingerprints: MinHash signatures, likeness, and near-duplicate links.
+"""Document fingerprints: MinHash signatures, likeness, and near-duplicate classes.
 
 A signature holds, for each of ``PERMUTATIONS`` universal hash functions, the smallest value over the
-text's word shingles, computed for all shingles of a piece of text at once. Links are found by
+text's word shingles, computed for all shingles of a piece of text at once. Near copies are found by
 joining equal bands of signatures in Spark and verifying the Jaccard likeness of the shingle
 sets themselves.
 """
@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import count
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
@@ -36,14 +35,15 @@ from holdfast.session import materialize
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 128
-BANDS = 32
+#: Signatures for links: a pair of likeness 0.8 shares one of 25 bands of 5 values but for one in 20,000.
+BANDS, BAND_ROWS = 25, 5
 SIMILARITY = 0.8
+#: A pair is verified if its signatures' likeness, with a standard error of 0.036, is not this far below.
+MARGIN = 0.15
 SEED = 1729
-#: A band's members are compared in blocks of about this many, and all of them at once when there are
-#: at most ``FEW`` open pairs to a member or after ``TURNS`` turns with one leader to a band.
-BLOCK = 256
-FEW = 4
-TURNS = 6
+#: Members in a block, and pairs that a class of a cell may name in the first turn.
+BLOCK = 2048
+QUOTA = 8
 #: What a text without words has in every place of its signature.
 EMPTY = np.uint16(0xFFFF)
 
@@ -231,101 +231,42 @@ def _slots(cuts: list[int]):
     return of
 
 
-# --- near-duplicate links ----------------------------------------------------------------
+# --- near-duplicate classes --------------------------------------------------------------
 
 
-def _sketches(bands: int):
-    """Shingle set, its size and its band values for each row."""
+def _sketches(bands: int, rows: int):
+    """Digest and size of each row's shingle set, its signature and its band values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        functions = permutations()
+        functions = permutations(bands * rows)
+        salt = mix(np.arange(1, bands + 1).astype(U64))
         for batch in batches:
             for piece in pieces(batch.column("text")):
                 hashes, edges = shingles(piece)
                 found = signatures(hashes, edges, functions)
-                width = found.shape[1] // bands
-                parts = [found[:, b * width : (b + 1) * width].tobytes() for b in range(bands)]
-                values = [
-                    [
-                        int.from_bytes(
-                            hashlib.blake2b(
-                                bytes([b]) + parts[b][2 * width * r : 2 * width * (r + 1)],
-                                digest_size=8,
-                            ).digest(),
-                            "big",
-                            signed=True,
-                        )
-                        for b in range(bands)
-                    ]
-                    for r in range(piece.rows)
-                ]
-                sets = [np.unique(signed(hashes[i:j])) for i, j in zip(edges[:-1], edges[1:])]
+                values = np.zeros((piece.rows, bands), dtype=U64) + salt
+                for k in range(rows):
+                    values = mix(values * U64(0x9E3779B97F4A7C15) + found[:, k::rows].astype(U64))
+                sets = [np.unique(hashes[i:j]) for i, j in zip(edges[:-1], edges[1:])]
                 part = slice(piece.first, piece.first + piece.rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(c)[part] for c in ("_id", "_key")),
-                        pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in sets]),
+                        pa.array([hashlib.sha256(x.tobytes()).digest()[:16] for x in sets]),
+                        pa.array(list(map(len, sets)), pa.int32()),
+                        pa.array([row.tobytes() for row in found], pa.binary()),
                         list_array(
-                            np.concatenate(sets), np.cumsum([0, *map(len, sets)]), pa.int64()
+                            signed(values.ravel()),
+                            bands * np.arange(piece.rows + 1),
+                            pa.int64(),
                         ),
-                        pa.array(values, pa.list_(pa.int64())),
                     ],
-                    names=["_id", "_key", "set", "shingles", "bands"],
+                    names=["_id", "_key", "set", "n", "signature", "bands"],
                 )
 
     return run
 
 
-def near_duplicate_links(
-    docs: DataFrame,
-    similarity: float = SIMILARITY,
-    bands: int = BANDS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> tuple[DataFrame, DataFrame]:
-    """Class of each document, and the verified links between class representatives.
-
-    A class holds all documents with one shingle set; its number is their smallest id. The second
-    table has (a, b, jaccard) for representatives of different classes that share a band and reach
-    ``similarity``. Bands of 4 values find a pair of likeness 0.8 but for one in ten million.
-    """
-    sketch = materialize(
-        keyed(docs, id_col, text_col).mapInArrow(
-            _sketches(bands),
-            "_id long, _key long, set string, shingles array<long>, bands array<long>",
-        ),
-        "minhash",
-    )
-    reps = materialize(
-        sketch.groupBy("set").agg(
-            F.min("_id").alias("rep"), F.min_by("shingles", "_id").alias("shingles"),
-            F.min_by("bands", "_id").alias("bands"),
-        ),
-        "minhash-classes",
-    )
-    keys = reps.where(F.size("shingles") > 0).select("set", F.explode("bands").alias("band"))
-    pairs = (
-        keys.join(keys.withColumnRenamed("set", "other"), "band")
-        .where("set < other")
-        .select("set", "other")
-        .distinct()
-    )
-    left = reps.select("set", F.col("rep").alias("a"), F.col("shingles").alias("left"))
-    right = reps.select(F.col("set").alias("other"), F.col("rep").alias("b"), F.col("shingles").alias("right"))
-    shared = F.size(F.array_intersect("left", "right"))
-    jaccard = shared / (F.size("left") + F.size("right") - shared)
-    links = (
-        pairs.join(left, "set")
-        .join(right, "other")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), jaccard.alias("jaccard"))
-        .where(F.col("jaccard") >= similarity)
-    )
-    classes = sketch.join(reps.select("set", "rep"), "set").select(
-        named_id(id_col), F.when(F.col("rep") != F.lit(NO_ID), F.col("rep")).alias("class_id")
-    )
-    return classes, links
-
-
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch.column("text")):
@@ -340,107 +281,225 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The ``pairs(a, b)`` whose shingle sets reach the Jaccard likeness."""
-    left = sets.select(F.col("set").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("set").alias("b"), F.col("shingles").alias("right"))
-    shared = F.size(F.array_intersect("left", "right"))
-    jaccard = shared / (F.size("left") + F.size("right") - shared)
-    return pairs.join(left, "a").join(right, "b").where(jaccard >= similarity)
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Signatures of a binary column as rows."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(len(column), -1)
+
+
+def _hopeful(floor: float):
+    """The pairs whose signatures agree in a share of at least ``floor``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                near = likeness(_matrix(batch.column("left")), _matrix(batch.column("right")))
+                yield batch.select(["a", "b"]).filter(pa.array(near >= floor))
+
+    return run
+
+
+def best_ties(
+    low: np.ndarray, low_class: np.ndarray, high: np.ndarray, high_class: np.ndarray, floor: float, quota: int
+) -> tuple[np.ndarray, np.ndarray, bool]:
+    """(place in low, place in high) of each low class's ``quota`` most alike pairs with other classes.
+
+    Arguments are signatures and class numbers. The last value is False if a class has more pairs
+    that reach ``floor`` than it may name.
+    """
+    left, right, whole = [], [], True
+    for label in np.unique(low_class):
+        other = np.flatnonzero(high_class != label)
+        found, near = [], []
+        for at in np.flatnonzero(low_class == label):
+            alike = (high[other] == low[at]).mean(axis=1)
+            close = np.flatnonzero(alike >= floor)
+            found.append(np.stack([np.full(len(close), at), other[close]]))
+            near.append(alike[close])
+            if sum(map(len, near)) > 4 * quota + 4096:
+                found, near, whole = _best(found, near, quota, whole)
+        found, near, whole = _best(found, near, quota, whole)
+        left.append(found[0][0])
+        right.append(found[0][1])
+    return np.concatenate(left), np.concatenate(right), whole
+
+
+def _best(found: list, near: list, quota: int, whole: bool):
+    pairs, alike = np.concatenate(found, axis=1), np.concatenate(near)
+    if len(alike) <= quota:
+        return [pairs], [alike], whole
+    best = np.lexsort((pairs[1], pairs[0], -alike))[:quota]
+    return [pairs[:, best]], [alike[best]], False
+
+
+def _ties(floor: float, quota: int):
+    """Ties inside cells; a cell that could not name all its pairs says so by a row without ``a``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            band, a, b = [], [], []
+            for cell in batch.to_pylist():
+                members = cell["members"]
+                width = len(members[0]["signature"])
+                prints = np.frombuffer(
+                    b"".join(m["signature"] for m in members), dtype=np.uint16
+                ).reshape(-1, width // 2)
+                _, label = np.unique([m["class"].hex() for m in members], return_inverse=True)
+                block = np.array([m["block"] for m in members])
+                low = np.flatnonzero(block == cell["low"])
+                high = np.flatnonzero(block == cell["high"])
+                if not len(low) or not len(high):
+                    continue
+                x, y, whole = best_ties(prints[low], label[low], prints[high], label[high], floor, quota)
+                band += [cell["band"]] * (len(x) + (not whole))
+                a += [members[i]["set"] for i in low[x]] + [None] * (not whole)
+                b += [members[i]["set"] for i in high[y]] + [None] * (not whole)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(band, pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary())],
+                names=["band", "a", "b"],
+            )
+
+    return run
+
+
+def _cells(parts: DataFrame, block: int) -> DataFrame:
+    """``band, low, high, members``: the blocks of each open band in which all its open pairs meet.
+
+    The members of a band's largest class are open towards the others only. So these, the minor
+    ones, are cut into blocks that meet every block; the major ones meet blocks of minor ones. A band
+    with few minor members has as many rows as members, however large its main class is.
+    """
+    crowd = parts.groupBy("band", "class").agg(F.count("*").alias("m"))
+    crowd = crowd.groupBy("band").agg(
+        F.sum("m").alias("size"), F.max(F.struct("m", "class")).alias("major")
+    )
+    minors = F.col("size") - F.col("major.m")
+    crowd = crowd.where(minors > 0).select(
+        "band",
+        F.col("major.class").alias("major"),
+        F.ceil(minors / block).cast("int").alias("small"),
+        F.ceil(F.col("major.m") / block).cast("int").alias("large"),
+    )
+    near = parts.join(crowd, "band").withColumn("minor", F.col("class") != F.col("major"))
+    drawn = F.xxhash64("set", "band")
+    near = near.withColumn(
+        "block",
+        F.when(F.col("minor"), F.pmod(drawn, F.col("small"))).otherwise(
+            F.col("small") + F.pmod(drawn, F.col("large"))
+        ).cast("int"),
+    )
+    last = F.when(F.col("minor"), F.col("small") + F.col("large") - 1).otherwise(F.col("small") - 1)
+    met = near.withColumn("met", F.explode(F.sequence(F.lit(0), last)))
+    return (
+        met.select(
+            "band",
+            F.least("block", "met").alias("low"),
+            F.greatest("block", "met").alias("high"),
+            F.struct("set", "class", "signature", "block").alias("member"),
+        )
+        .groupBy("band", "low", "high")
+        .agg(F.collect_list("member").alias("members"))
+    )
 
 
 def near_copy_classes(
     docs: DataFrame,
     similarity: float = SIMILARITY,
     bands: int = BANDS,
+    rows: int = BAND_ROWS,
+    block: int = BLOCK,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """``_id, _key, class`` of each row: what is reachable over verified links of ``similarity``.
 
     Capital ASCII letters count as small ones. Rows with one shingle set are one node; texts without
-    words have the empty set. Members of a band that are connected already need no comparison: a
-    crowded band is first tied to one leader a turn, and what is still apart is compared pair by
-    pair. So classes are those of all pairs of all bands, without making all pairs.
+    words have the empty set. Members of a band that are connected need no comparison. First each
+    meets the one leader of its band. Then, in turns, the bands that still hold several classes are cut into
+    blocks, and each class names its most alike pairs with other classes by signature; these
+    are verified and join classes. A band is done when every class could name all its pairs, so the result
+    is that of all pairs of all bands, while rows are made for the pairs that were named only.
     """
     small = F.translate("text", ascii_uppercase, ascii_lowercase)
     base = keyed(docs, id_col, text_col).withColumn("text", small)
     sketch = materialize(
         base.mapInArrow(
-            _sketches(bands),
-            "_id long, _key long, set string, shingles array<long>, bands array<long>",
-        ).select("_id", "_key", "set", F.size("shingles").alias("n"), "bands"),
-        "minhash",
-    )
-    nodes = materialize(
-        sketch.groupBy("set").agg(
-            F.min(F.struct("_id", "_key")).alias("rep"),
-            F.any_value("n").alias("n"),
-            F.any_value("bands").alias("bands"),
+            _sketches(bands, rows),
+            "_id long, _key long, set binary, n int, signature binary, bands array<long>",
         ),
-        "minhash-sets",
+        "minhash",
     )
-    every = nodes.where("n > 0").select("set", "n", F.explode("bands").alias("band"))
-    shared = materialize(
-        every.groupBy("band").count().where("count > 1").select("band"), "shared-bands"
+    nodes = sketch.groupBy("set").agg(
+        F.min(F.struct("_id", "_key")).alias("rep"),
+        F.any_value("n").alias("n"),
+        F.any_value("signature").alias("signature"),
+        F.any_value("bands").alias("bands"),
     )
+    nodes = materialize(nodes.where("n > 0"), "minhash-sets")
+    every = nodes.select("set", F.explode("bands").alias("band"))
+    shared = every.groupBy("band").agg(F.count("*").alias("m"), F.min("set").alias("leader"))
+    shared = materialize(shared.where("m > 1").select("band", "leader"), "shared-bands")
     keys = materialize(every.join(shared, "band"), "band-members")
-    members = nodes.join(keys.select("set").distinct(), "set").select("set", "rep.*")
+    members = nodes.join(keys.select("set").distinct(), "set").select("set", "rep", "n", "signature")
     members = materialize(members, "candidates")
     sets = materialize(
-        base.join(members, ["_id", "_key"])
-        .mapInArrow(_shingle_sets, "set string, shingles array<long>")
+        base.join(members.select("set", "rep.*"), ["_id", "_key"])
+        .mapInArrow(_shingle_sets, "set binary, shingles array<long>")
         .dropDuplicates(["set"]),
         "shingle-sets",
     )
-    labels = members.select("set", F.col("set").alias("class"))
-    for turn in count():
-        parts = materialize(keys.join(labels, "set"), "labelled-members")
-        order = F.struct(F.xxhash64("set", F.lit(turn)).alias("order"), "set", "class", "n")
-        crowds = parts.groupBy("band", "class").agg(F.count("*").alias("m"), F.min(order).alias("lead"))
-        crowds = crowds.groupBy("band").agg(
-            F.sum("m").alias("size"), F.sum(F.col("m") * F.col("m")).alias("own"),
-            F.min("lead").alias("lead"),
+    floor = similarity - MARGIN
+    prints = members.select("set", "n", "signature")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """The ``pairs(a, b)`` whose shingle sets reach the likeness."""
+        left = sets.select(F.col("set").alias("a"), F.col("shingles").alias("left"))
+        right = sets.select(F.col("set").alias("b"), F.col("shingles").alias("right"))
+        shared = F.size(F.array_intersect("left", "right"))
+        jaccard = shared / (F.size("left") + F.size("right") - shared)
+        joined = pairs.join(left, "a").join(right, "b")
+        return joined.where(jaccard >= similarity).select("a", "b")
+
+    def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+        """``set, class`` after the classes of linked sets have become one."""
+        ends = links.join(labels.toDF("a", "from"), "a").join(labels.toDF("b", "to"), "b")
+        tied = components(ends.select("from", "to")).toDF("class", "root")
+        return materialize(
+            labels.join(tied, "class", "left").select("set", F.coalesce("root", "class").alias("class")),
+            "copy-classes",
         )
-        crowds = materialize(crowds.where("own < size * size"), "open-bands")
-        size, apart = crowds.agg(
-            F.sum("size"), F.sum((F.col("size").cast("double") * F.col("size") - F.col("own")) / 2)
-        ).first()
-        if not size:
+
+    first = keys.where("set <> leader").select(F.col("set").alias("a"), F.col("leader").alias("b"))
+    # likeness is at most the ratio of the set sizes
+    fits = f"n >= {similarity} * m - 0.000001 and m >= {similarity} * n - 0.000001"
+    hopeful = (
+        first.distinct()
+        .join(prints.toDF("a", "n", "left"), "a")
+        .join(prints.toDF("b", "m", "right"), "b")
+        .where(fits)
+        .mapInArrow(_hopeful(floor), "a binary, b binary")
+    )
+    labels = members.select("set", F.col("set").alias("class"))
+    labels = joined(labels, alike(materialize(hopeful, "leader-pairs")))
+    # leaders have met all members of their bands
+    pending = keys.where("set <> leader").select("band", "set")
+    quota = QUOTA
+    while True:
+        parts = pending.join(labels, "set")
+        mixed = parts.groupBy("band").agg(F.min("class").alias("c"), F.max("class").alias("d"))
+        parts = parts.join(mixed.where("c <> d").select("band"), "band")
+        parts = materialize(parts.join(prints.drop("n"), "set"), "open-members")
+        if parts.isEmpty():
             break
-        whole = apart <= FEW * size or turn == TURNS
-        # likeness is at most the ratio of the set sizes
-        fits = f"n >= {similarity} * n2 - 0.000001 and n2 >= {similarity} * n - 0.000001"
-        if whole:
-            blocks = F.ceil(F.col("size") / BLOCK)
-            near = parts.join(crowds.select("band", blocks.alias("blocks")), "band")
-            left = near.withColumn("block", F.expr("pmod(xxhash64(set), blocks)")).drop("blocks")
-            right = near.select(
-                "band", F.col("set").alias("set2"), F.col("class").alias("class2"),
-                F.col("n").alias("n2"), F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"),
-            )
-            met = left.join(right, ["band", "block"]).where(f"class < class2 and {fits}")
-        else:
-            met = parts.join(
-                crowds.select(
-                    "band", F.col("lead.set").alias("set2"), F.col("lead.class").alias("class2"),
-                    F.col("lead.n").alias("n2"),
-                ),
-                "band",
-            ).where(f"class <> class2 and {fits}")
-        pairs = met.select(
-            F.col("set").alias("a"), F.col("set2").alias("b"), "class", "class2"
-        ).distinct()
-        pairs = materialize(pairs, "band-pairs")
-        # classes are the nodes, so a turn only works on what it joins
-        links = _alike(pairs, sets, similarity).select("class", "class2")
-        tied = components(links).toDF("class", "root")
-        labels = labels.join(tied, "class", "left")
-        labels = materialize(
-            labels.select("set", F.coalesce("root", "class").alias("class")), "copy-classes"
+        named = _cells(parts, block).mapInArrow(_ties(floor, quota), "band long, a binary, b binary")
+        named = materialize(named, "named-pairs")
+        pairs = named.where("a is not null").select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
         )
-        if whole:
-            break
+        pairs = pairs.distinct()
+        labels = joined(labels, alike(pairs))
+        again = named.where("a is null").select("band").distinct()
+        pending = materialize(parts.select("band", "set").join(again, "band"), "pending-members")
+        quota *= 16
     return sketch.join(labels, "set", "left").select(
         "_id", "_key", F.coalesce("class", "set").alias("class")
     )

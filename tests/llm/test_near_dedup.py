@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -170,33 +171,6 @@ def test_registered_query_covers_every_document(spark, sf):
     assert len(got) == len(docs) and sum(errors) / len(errors) < 0.03
 
 
-def test_links_are_all_pairs_of_similar_texts(spark):
-    rng = random.Random(4)
-    words = [f"v{i}" for i in range(500)]
-    docs = []
-    for group in range(6):
-        base = rng.choices(words, k=200)
-        for copy in range(5):
-            own = list(base)
-            for _ in range(copy * 3):
-                own[rng.randrange(200)] = f"e{rng.random()}"
-            docs.append((group * 10 + copy, " ".join(own)))
-    docs += [(90, docs[0][1]), (91, None), (92, "")]
-    classes, links = M.near_duplicate_links(table(spark, docs))
-    member = {r.doc_id: r.class_id for r in classes.collect()}
-    assert member[90] == member[0] and member[91] == member[92]
-    texts = {d: sets(t or "") for d, t in docs if member[d] == d}
-    want = {
-        (a, b)
-        for a in texts
-        for b in texts
-        if a < b and texts[a] and texts[b] and jaccard(texts[a], texts[b]) >= 0.8
-    }
-    found = {(r.a, r.b): r.jaccard for r in links.collect()}
-    assert set(found) == want and want
-    assert all(abs(j - jaccard(texts[a], texts[b])) < 1e-9 for (a, b), j in found.items())
-
-
 def test_simhash_query_equals_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("text")).collect()
     prints = {r.doc_id: brute_print(r.text) for r in docs}
@@ -223,13 +197,19 @@ def brute_alike(texts: dict) -> dict:
     return {d: root(d) for d in texts}
 
 
-@pytest.mark.parametrize(("crowd", "few"), [(90, M.FEW), (40, 0)])
-def test_one_of_alike_equals_brute_force_jaccard(spark, monkeypatch, crowd, few):
+def edits(rng, base, most):
+    own = list(base)
+    for _ in range(rng.randrange(most)):
+        own[rng.randrange(len(own))] = f"e{rng.random()}"
+    return own
+
+
+@pytest.mark.parametrize(("crowd", "block", "quota"), [(90, 2048, 8), (40, 7, 1), (60, 16, 2)])
+def test_one_of_alike_equals_brute_force_jaccard(spark, monkeypatch, crowd, block, quota):
     """A chain whose ends are unlike, crowds of edited copies, and a crowd that shares only half.
 
-    Without a bound for few open pairs, leaders come first."""
-    monkeypatch.setattr(M, "FEW", few)
-    monkeypatch.setattr(M, "TURNS", 2)
+    Small blocks and quotas take more turns to the same classes."""
+    monkeypatch.setattr(M, "QUOTA", quota)
     rng = random.Random(crowd)
     words = [f"v{i}" for i in range(3000)]
     texts, chain, base = {}, rng.choices(words, k=100), rng.choices(words, k=200)
@@ -237,21 +217,50 @@ def test_one_of_alike_equals_brute_force_jaccard(spark, monkeypatch, crowd, few)
         chain[i * 5] = f"c{i}"
         texts[1000 + i] = " ".join(chain)
     for i in range(crowd):
-        own = list(base)
-        for _ in range(rng.randrange(8)):
-            own[rng.randrange(200)] = f"e{rng.random()}"
-        texts[i] = " ".join(own)
+        texts[i] = " ".join(edits(rng, base, 8))
         texts[2000 + i] = " ".join(base[:120] + rng.choices(words, k=80))
+        texts[4000 + i] = " ".join(edits(rng, base[100:] + base[:100], 16))  # at the threshold
     texts |= {3000: texts[5].upper(), 3001: "One", 3002: "one", 3003: "", 3004: None, 3005: " "}
     docs = list(texts.items())
     rng.shuffle(docs)
     label = brute_alike(texts)
+    classes = M.near_copy_classes(table(spark, [*docs, *docs[:3]]), block=block).collect()
+    assert len(classes) == len(docs) + 3
+    assert len({(r["class"], label[r["_id"]]) for r in classes}) == len(set(label.values()))
     kept = M.one_of_alike(table(spark, [*docs, *docs[:3]])).collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(label.values()))
     assert all(r.text == texts[r.doc_id] for r in kept)
     assert M.one_of_alike(table(spark, [])).count() == 0
 
 
+def test_a_thousand_near_copies_and_a_thousand_that_share_a_passage(spark):
+    rng = random.Random(6)
+    words = [f"v{i}" for i in range(5000)]
+    base, passage = rng.choices(words, k=150), rng.choices(words, k=110)
+    texts = {i: " ".join(edits(rng, base, 6)) for i in range(1000)}
+    texts |= {2000 + i: " ".join(passage + rng.choices(words, k=60)) for i in range(1000)}
+    kept = {r.doc_id for r in M.one_of_alike(table(spark, list(texts.items()))).collect()}
+    label = brute_alike({d: t for d, t in texts.items() if d < 1000})
+    assert kept == set(label.values()) | {d for d in texts if d >= 2000}
+
+
+def test_a_class_names_its_most_alike_pairs(spark):
+    rng = np.random.default_rng(3)
+    prints = rng.integers(0, 3, (30, 50)).astype(np.uint16)
+    label = rng.integers(0, 4, 30)
+    high, high_label = prints[10:], label[10:]
+    for quota in (1, 5, 1000):
+        x, y, whole = M.best_ties(prints[:10], label[:10], high, high_label, 0.3, quota)
+        every = [
+            (label[i], -(prints[i] == high[j]).mean(), i, j)
+            for i in range(10) for j in range(20)
+            if label[i] != high_label[j] and (prints[i] == high[j]).mean() >= 0.3
+        ]
+        want = {(i, j) for c in set(label[:10]) for _, _, i, j in sorted(e for e in every if e[0] == c)[:quota]}
+        assert set(zip(x.tolist(), y.tolist())) == want
+        assert whole == (len(want) == len(every))
+
+
 def test_pipeline_stage_drops_every_near_copy(spark, sf):
     import corpus_pipeline
 
