@@ -6,7 +6,9 @@ minus item position). Shared q-grams are counted in bands of 2 (e + 1) diagonals
 so one band holds them all. Bands that reach the bound are verified by banded alignment.
 
 Items are a stated query set: they are taken in blocks of bounded size, each broadcast as one
-q-gram index, and every document is held against every block.
+q-gram index, and every document is held against every block. Besides the whole item its first,
+middle and last half are looked for where a half has ``MIN_PART`` characters; any run of three
+quarters of an item holds one of them.
 """
 
 from __future__ import annotations
@@ -20,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.rows import keyed, named_id
+from holdfast.llm.rows import NO_ID, keyed, named_id
 from holdfast.llm.text import BYTE_POWERS, U64, mix, prefix, window_hash
 
 Q = 12
 EDIT_SHARE = 0.05
+#: Least characters of half an item that counts by itself.
+MIN_PART = 60
 #: Characters of items in one broadcast block; an item longer than that is a block of its own.
 BLOCK_CHARS = 1 << 20
 _FILTER_BITS = 22
@@ -50,11 +54,21 @@ def grams(values: np.ndarray, q: int) -> np.ndarray:
     return mix(window_hash(prefix(values.astype(U64), BYTE_POWERS), q, BYTE_POWERS))
 
 
+def halves(text: np.ndarray, least: int = MIN_PART) -> list[tuple[float, np.ndarray]]:
+    """The item with share 1, then its halves with share 0.5 where they are long enough."""
+    half, quarter = len(text) // 2, len(text) // 4
+    parts = [(1.0, text)]
+    if half >= least:
+        parts += [(0.5, text[at : at + half]) for at in (0, quarter, len(text) - half)]
+    return parts
+
+
 @dataclass
 class Block:
-    """Some items and the sorted index of their q-grams."""
+    """Some items or parts of items, and the sorted index of their q-grams."""
 
     ids: list[int]
+    parts: list[float]
     items: list[np.ndarray]
     q: int
     share: float
@@ -171,8 +185,9 @@ def _search(shared):
                         pa.array([keys[at + r].as_py() for r, _, _ in hits], pa.int64()),
                         pa.array([block.ids[k] for _, k, _ in hits], pa.int64()),
                         pa.array([e for _, _, e in hits], pa.int64()),
+                        pa.array([block.parts[k] for _, k, _ in hits], pa.float64()),
                     ],
-                    names=["_id", "_key", "item_id", "edits"],
+                    names=["_id", "_key", "item_id", "edits", "part"],
                 )
                 at += len(texts)
 
@@ -180,26 +195,31 @@ def _search(shared):
 
 
 def item_blocks(
-    benchmark: DataFrame, size: int = BLOCK_CHARS
-) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """Ids and texts of items in ascending id, at most ``size`` characters or one item at a time.
+    benchmark: DataFrame, size: int = BLOCK_CHARS, least: int = MIN_PART
+) -> Iterator[tuple[list[int], list[float], list[np.ndarray]]]:
+    """Ids, shares and texts of items and their halves in ascending id, at most ``size`` characters
+    or one item at a time.
 
-    Items without text, blank or null, cannot occur and are left out; so are items without id.
+    Items without text, blank or null, cannot occur and are left out. Items without id are one id.
     """
-    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
-    ids, items, chars = [], [], 0
+    known = F.coalesce(F.col("item_id").cast("bigint"), F.lit(NO_ID)).alias("item_id")
+    rows = benchmark.where("text IS NOT NULL").select(known, "text")
+    block, chars = ([], [], []), 0
     for item in rows.orderBy("item_id", "text").toLocalIterator():
         text = codes(normalise(item.text))
         if not len(text):
             continue
-        if ids and chars + len(text) > size:
-            yield ids, items
-            ids, items, chars = [], [], 0
-        ids.append(item.item_id)
-        items.append(text)
-        chars += len(text)
-    if ids:
-        yield ids, items
+        parts = halves(text, least)
+        more = sum(len(x) for _, x in parts)
+        if chars and chars + more > size:
+            yield block
+            block, chars = ([], [], []), 0
+        for share, part in parts:
+            for column, value in zip(block, (item.item_id, share, part)):
+                column.append(value)
+        chars += more
+    if chars:
+        yield block
 
 
 def contaminated(
@@ -210,22 +230,30 @@ def contaminated(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``_id, _key, item_id, edits``: every pair of a document and an item that occurs in it whole.
+    """``_id, _key, item_id, edits, part``: every pair of a document and an item that occurs in it.
 
-    ``edits`` is the smallest number of edits of any occurrence. A null text holds nothing;
-    repeated items of one id count once, with the fewest edits. Without items the result is empty.
+    ``part`` is 1 if the item occurs whole, 0.5 if only one of its halves does; ``edits`` is the
+    smallest number of edits of any such occurrence. A null text holds nothing. Repeated items of one id
+    count once, with the largest part and then the fewest edits, as do repeated rows of one
+    document; items without id are one item whose id is null. Without items the result is empty.
     """
     spark = docs.sparkSession
     base = keyed(docs, id_col, text_col)
-    schema = "_id long, _key long, item_id long, edits long"
+    schema = "_id long, _key long, item_id long, edits long, part double"
     found = [
         base.mapInArrow(_search(spark.sparkContext.broadcast((*block, q, share))), schema)
         for block in item_blocks(benchmark)
     ]
     if not found:
         return spark.createDataFrame([], schema)
-    return reduce(DataFrame.union, found).groupBy("_id", "_key", "item_id").agg(
-        F.min("edits").alias("edits")
+    best = F.max(F.struct("part", (-F.col("edits")).alias("kept")))
+    pairs = reduce(DataFrame.union, found).groupBy("_id", "_key", "item_id").agg(best.alias("best"))
+    return pairs.select(
+        "_id",
+        "_key",
+        F.when(F.col("item_id") != F.lit(NO_ID), F.col("item_id")).alias("item_id"),
+        (-F.col("best.kept")).alias("edits"),
+        F.col("best.part").alias("part"),
     )
 
 
@@ -233,4 +261,4 @@ def op8_decontamination(spark, sf_dir: str) -> DataFrame:
     """All pairs of ``documents`` and ``benchmark`` items found in them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return contaminated(docs, items).select(named_id(), "item_id", "edits")
+    return contaminated(docs, items).select(named_id(), "item_id", "edits", "part")

@@ -7,6 +7,11 @@ a line becomes by that is its template. A template is recurring if it is in ``MI
 most of its tokens are constants; its lines stay in the document with the smallest id
 and go from all others, so a text that exists in copies is never lost as a whole.
 
+A long line that stands word for word, digits included, in two documents is recurring by itself if its
+neighbours differ: somewhere another line comes before it and another one after it. In copies
+and near copies of a whole document the neighbours are the same; those are left to the
+operators that remove documents.
+
 All statistics are aggregates over all documents and do not depend on any order of arrival.
 Equal lines are counted together before their tokens are looked at.
 """
@@ -22,12 +27,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.rows import keyed, packed
-from holdfast.llm.text import U64, Piece, list_array, mix, pieces, signed
+from holdfast.llm.text import (
+    U64,
+    WORD_POWERS,
+    Piece,
+    list_array,
+    mix,
+    pieces,
+    prefix,
+    signed,
+    span_hash,
+)
 from holdfast.session import materialize
 
 DEPTH = 3
 MIN_DOCS = 10
 MIN_CONSTANT = 0.6
+#: Tokens from which an identical line counts from the second document.
+LONG_LINE = 10
 #: Stands for a variable field.
 VARIABLE = U64(0x2A)
 _KEY = ["_id", "_key"]
@@ -37,9 +54,11 @@ _NEWLINE = 10
 
 
 def _lines(piece: Piece, depth: int):
-    """Of all lines with a token: row, number in the row, first token (and the end), path, tokens."""
+    """Of all lines with a token: row, number in the row, first token (and the end), path, tokens,
+    and a hash of the line as it is."""
     starts, ends, first = piece.words()
     tokens = piece.word_hashes(starts, ends)
+    sums = prefix(tokens, WORD_POWERS[0])
     digits = np.concatenate([[0], np.cumsum(_DIGIT[piece.data])])
     tokens[digits[ends] > digits[starts]] = VARIABLE
     breaks = np.concatenate([[0], np.cumsum(piece.data == _NEWLINE)])
@@ -54,27 +73,64 @@ def _lines(piece: Piece, depth: int):
         deep = count > level
         path[deep] = mix(path[deep] * U64(0x9E3779B97F4A7C15) + tokens[heads[deep] + level])
     owner = row[heads]
-    return owner, number[heads] - breaks[piece.edges[owner]], edges, path, tokens
+    whole = mix(span_hash(sums, heads, edges[1:], WORD_POWERS[0]) + count.astype(U64))
+    return owner, number[heads] - breaks[piece.edges[owner]], edges, path, tokens, whole
+
+
+def _neighbours(owner: np.ndarray, whole: np.ndarray, rows: np.ndarray):
+    """Hashes of the lines before and after each line.
 
+    The first and last line of a row have a neighbour that is the row's own, ``rows``; an only line none.
+    """
+    begins = np.ones(len(owner), dtype=bool)
+    begins[1:] = owner[1:] != owner[:-1]
+    ends = np.ones(len(owner), dtype=bool)
+    ends[:-1] = begins[1:]
+    before, after = np.roll(whole, 1), np.roll(whole, -1)
+    before[begins], after[ends] = rows[owner[begins]], rows[owner[ends]]
+    only = begins & ends
+    before[only] = after[only] = 0
+    return before, after
+
+
+_LONG = pa.struct(
+    [("number", pa.int32()), ("line", pa.int64()), ("before", pa.int64()), ("after", pa.int64())]
+)
 
-def _paths(depth: int):
-    """The distinct paths of each document, and its number of lines."""
+
+def _paths(depth: int, long_line: int):
+    """The distinct paths of each document, its number of lines, and its long lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch.column("text")):
-                owner, _, _, path, _ = _lines(piece, depth)
+                owner, number, line_edges, path, _, whole = _lines(piece, depth)
+                part = slice(piece.first, piece.first + piece.rows)
+                rows = [
+                    batch.column(c)[part].to_numpy(zero_copy_only=False).view(U64) for c in _KEY
+                ]
+                before, after = _neighbours(owner, whole, mix(rows[0] * VARIABLE + rows[1]))
+                long = np.flatnonzero(np.diff(line_edges) >= long_line)
+                long_edges = np.searchsorted(owner[long], np.arange(piece.rows + 1))
+                values = pa.StructArray.from_arrays(
+                    [
+                        pa.array(number[long].astype(np.int32)),
+                        *(pa.array(signed(x[long])) for x in (whole, before, after)),
+                    ],
+                    fields=list(_LONG),
+                )
+                longs = pa.ListArray.from_arrays(pa.array(long_edges.astype(np.int32)), values)
                 each = np.unique(np.stack([owner.astype(U64), path], axis=1), axis=0)
                 edges = np.searchsorted(each[:, 0], np.arange(piece.rows + 1).astype(U64))
                 breaks = np.concatenate([[0], np.cumsum(piece.data == _NEWLINE)])
-                part = slice(piece.first, piece.first + piece.rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(c)[part] for c in _KEY),
                         pa.array(np.diff(breaks[piece.edges]) + 1),
                         list_array(signed(each[:, 1]), edges, pa.int64()),
+                        longs,
                     ],
-                    names=[*_KEY, "n_lines", "paths"],
+                    names=[*_KEY, "n_lines", "paths", "longs"],
                 )
 
     return run
@@ -97,7 +153,7 @@ def _shared_lines(depth: int):
         for batch in batches:
             wanted = batch.column("wanted")
             for piece in pieces(batch.column("text")):
-                owner, number, edges, path, tokens = _lines(piece, depth)
+                owner, number, edges, path, tokens, _ = _lines(piece, depth)
                 part = slice(piece.first, piece.first + piece.rows)
                 asked = np.unique(wanted[part].flatten().to_numpy(zero_copy_only=False))
                 rows = [[] for _ in range(piece.rows)]
@@ -129,17 +185,22 @@ def template_lines(
     min_docs: int = MIN_DOCS,
     min_constant: float = MIN_CONSTANT,
     depth: int = DEPTH,
+    long_line: int = LONG_LINE,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> tuple[DataFrame, DataFrame]:
     """``_id, _key, n_lines`` of each row, and ``_id, _key, dropped`` (line numbers) where some go.
 
-    Repeated rows count as documents of their own for the support of a template, and share their
-    dropped lines. A null text is one empty line; a null id is smaller than any other.
+    Repeated rows count as documents of their own for the support of a template, not for a long line,
+    and share their dropped lines. A null text is one empty line; a null id is smaller than any other.
     """
     base = keyed(docs, id_col, text_col)
     sketch = materialize(
-        base.mapInArrow(_paths(depth), "_id long, _key long, n_lines long, paths array<long>"),
+        base.mapInArrow(
+            _paths(depth, long_line),
+            "_id long, _key long, n_lines long, paths array<long>,"
+            " longs array<struct<number:int,line:long,before:long,after:long>>",
+        ),
         "line-paths",
     )
     paths = sketch.select(*_KEY, F.explode("paths").alias("path"))
@@ -196,9 +257,27 @@ def template_lines(
         .where(F.col("docs") >= min_docs)
     )
     recurring = materialize(support, "recurring-templates")
+    copies = lines.join(recurring.select("template", "keeper"), "template")
+    # smallest and largest differ where there are two of them, and combine before the shuffle
+    longs = sketch.select(*_KEY, F.inline("longs"))
+    me = F.struct(*_KEY)
+    ends = [
+        f(x).alias(f"{name}_{end}")
+        for name, x in (("doc", me), ("before", F.col("before")), ("after", F.col("after")))
+        for f, end in ((F.min, "low"), (F.max, "high"))
+    ]
+    repeated = materialize(
+        longs.groupBy("line")
+        .agg(*ends)
+        .where("doc_low <> doc_high and before_low <> before_high and after_low <> after_high")
+        .select("line", F.col("doc_low").alias("keeper")),
+        "repeated-lines",
+    )
+    gone = copies.select(*_KEY, "number", "keeper").union(
+        longs.join(repeated, "line").select(*_KEY, "number", "keeper")
+    )
     dropped = (
-        lines.join(recurring.select("template", "keeper"), "template")
-        .where(F.struct(*_KEY) != F.col("keeper"))
+        gone.where(F.struct(*_KEY) != F.col("keeper"))
         .groupBy(*_KEY)
         .agg(F.collect_set("number").alias("dropped"))
     )

@@ -93,8 +93,25 @@ held AS (SELECT doc_id, number, size, lead, constant FROM shared JOIN templates
 recurring AS (
   SELECT size, lead, constant, min(doc_id) AS keeper FROM held
   GROUP BY size, lead, constant HAVING count(DISTINCT doc_id) >= 10),
+words AS (
+  SELECT doc_id, number, array_to_string(said, ' ') AS said, len(said) AS size
+  FROM (SELECT doc_id, number, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS said FROM split_lines)
+  WHERE len(said) > 0),
+flanked AS (
+  SELECT doc_id, number, said, size,
+         lag(said) OVER (PARTITION BY doc_id ORDER BY number) AS before,
+         lead(said) OVER (PARTITION BY doc_id ORDER BY number) AS after FROM words),
+longs AS (
+  SELECT doc_id, number, said,
+         CASE WHEN before IS NULL AND after IS NULL THEN '' ELSE coalesce(before, chr(10) || doc_id) END AS before,
+         CASE WHEN before IS NULL AND after IS NULL THEN '' ELSE coalesce(after, chr(10) || doc_id) END AS after
+  FROM flanked WHERE size >= 10),
+repeated AS (
+  SELECT said, min(doc_id) AS keeper FROM longs GROUP BY said
+  HAVING count(DISTINCT doc_id) > 1 AND count(DISTINCT before) > 1 AND count(DISTINCT after) > 1),
 dropped AS (
-  SELECT doc_id, number FROM held JOIN recurring USING (size, lead, constant) WHERE doc_id <> keeper)
+  SELECT doc_id, number FROM held JOIN recurring USING (size, lead, constant) WHERE doc_id <> keeper
+  UNION SELECT doc_id, number FROM longs JOIN repeated USING (said) WHERE doc_id <> keeper)
 SELECT doc_id, greatest(count(*) FILTER (WHERE d.number IS NULL), 1) AS n_kept,
        count(d.number) AS n_dropped,
        coalesce(string_agg(line, chr(10) ORDER BY l.number) FILTER (WHERE d.number IS NULL), '') AS text

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -23,7 +24,30 @@ def table(spark, docs):
 # --- line templates ----------------------------------------------------------------------
 
 
-def brute_templates(docs, min_docs, share, depth):
+def brute_long_lines(rows, size):
+    """(row, line number) of long identical lines with other neighbours elsewhere; the first row keeps its own."""
+    seen = defaultdict(list)
+    for row in set(rows):
+        lines = [(k, " ".join(words)) for k, x in enumerate(row[1].split("\n")) if (words := spaced(x))]
+        for at, (number, said) in enumerate(lines):
+            if len(said.split(" ")) < size:
+                continue
+            before = lines[at - 1][1] if at else ("edge", row)
+            after = lines[at + 1][1] if at + 1 < len(lines) else ("edge", row)
+            if len(lines) == 1:
+                before = after = None
+            seen[said].append((row, number, before, after))
+    for found in seen.values():
+        if all(len({x[k] for x in found}) > 1 for k in (0, 2, 3)):
+            keeper = min(row for row, *_ in found)
+            yield from ((row, number) for row, number, *_ in found if row != keeper)
+
+
+def spaced(line):
+    return [w for w in re.split("[\x20\x09-\x0d]+", line) if w]
+
+
+def brute_templates(docs, min_docs, share, depth, long_line=10):
     """Line numbers that go, for each (id, text)."""
     rows = [(-1 if d is None else d, t or "") for d, t in docs]
     leaves = defaultdict(lambda: defaultdict(int))  # path -> tokens -> rows that have them
@@ -68,6 +92,8 @@ def brute_templates(docs, min_docs, share, depth):
             keeper = min(rows[o][0] for o in owners[t])
             if rows[n][0] != keeper:
                 gone[rows[n]].add(number)
+    for row, number in brute_long_lines(rows, long_line):
+        gone[row].add(number)
     return gone
 
 
@@ -107,6 +133,26 @@ def test_templates_equal_brute_force(spark, min_docs, share, depth):
     assert rows[0].row.asDict().keys() == dict.fromkeys(table(spark, []).columns).keys()
 
 
+def test_long_lines_count_from_the_second_document_but_not_in_copies(spark):
+    rng = random.Random(11)
+    line = lambda: " ".join(rng.choices([f"w{i}" for i in range(900)], k=12))
+    notice, number = "call 555 1234 or 555 1235 " * 3, line()
+    docs = [(1, "\n".join([line(), notice, line()])), (2, "\n".join([line(), line(), notice, line()]))]
+    whole = [line() for _ in range(6)]
+    docs += [(3, "\n".join(whole)), (4, "\n".join(whole))]  # a copy
+    docs += [(5, "\n".join([*whole[:2], line(), *whole[3:]]))]  # a near copy
+    docs += [(6, number), (7, number), (8, "\n".join([line(), number])), (9, "x\n" + whole[1] + "\ny")]
+    docs += [(None, notice), (10, "short line\n" + line()), (11, "a\nshort line")]
+    options = {"min_docs": 10, "min_constant": 0.6, "depth": 3}
+    rows = L.drop_template_lines(table(spark, docs), **options).collect()
+    gone = brute_templates(docs, 10, 0.6, 3)
+    found = {(r.row.doc_id, r.row.text, r.n_dropped) for r in rows}
+    assert found == {(d, L.without_lines(t, gone[-1 if d is None else d, t]), len(gone[-1 if d is None else d, t])) for d, t in docs}
+    dropped = {r.row.doc_id: r.n_dropped for r in rows}
+    assert dropped[2] == dropped[9] == 1 and dropped[3] == 0
+    assert dropped[4] == dropped[5] == 1  # only the line that stands elsewhere, in document 9
+
+
 def test_no_documents_have_no_templates(spark):
     assert L.drop_template_lines(table(spark, [])).count() == 0
 
@@ -199,7 +245,7 @@ def edit_distance_inside(item: str, text: str) -> int:
 def test_edited_items_are_found_as_brute_force_says(spark):
     rng = random.Random(12)
     letters = "abcdefghij klmno"
-    items = [(i, "".join(rng.choices(letters, k=rng.randrange(60, 140)))) for i in range(6)]
+    items = [(i, "".join(rng.choices(letters, k=rng.randrange(60, 180)))) for i in range(6)]
     items += [(50, "short one"), (51, " "), (52, None), (None, "no id here"), (0, items[0][1])]
     docs = []
     for n in range(40):
@@ -215,28 +261,35 @@ def test_edited_items_are_found_as_brute_force_says(spark):
             else:
                 del own[at]
         around = ["".join(rng.choices(letters, k=rng.randrange(0, 80))) for _ in range(2)]
+        if n % 5 == 0:
+            own = own[: len(own) * 2 // 3]
         docs.append((n, around[0] + "".join(own).upper() + around[1]))
+    docs += [(95, "there is no id here at all")]
     docs += [(90, None), (91, ""), (92, "a SHORT  \n one b"), (None, items[1][1]), (93, items[2][1]), (93, items[2][1])]
     docs += [(94, "z" * 400_000 + items[3][1])]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     found = D.contaminated(table(spark, docs), benchmark).collect()
-    got = {(None if r._1 == -(1 << 63) else r._1, r.item_id): r.edits for r in
-           spark.createDataFrame([(r["_id"], r["item_id"], r["edits"]) for r in found],
-                                 "_1 long, item_id long, edits long").collect()}
+    got = {(None if r["_id"] == -(1 << 63) else r["_id"], r.item_id): (r.part, r.edits) for r in found}
     want = {}
     for d, t in docs[:-1]:
         for i, item in items:
-            whole = D.normalise(item or "")
-            if i is not None and whole:
-                edits = edit_distance_inside(whole, D.normalise(t or ""))
-                if edits <= D.budget(len(whole)):
-                    want[d, i] = edits
-    want[94, 3] = 0
-    assert got == want and any(want.values())
+            for share, part in D.halves(D.codes(D.normalise(item or ""))):
+                text = part.tobytes().decode("utf-32-le")
+                if not text:
+                    continue
+                edits = edit_distance_inside(text, D.normalise(t or ""))
+                if edits <= D.budget(len(text)):
+                    key = (d, i)
+                    want[key] = max(want.get(key, (0, 0)), (share, -edits))
+    want = {k: (share, -edits) for k, (share, edits) in want.items()}
+    assert {k: v for k, v in got.items() if k[0] != 94} == want
+    assert got[94, 3] == (1.0, 0)
+    assert {share for share, _ in want.values()} == {0.5, 1.0}
+    assert any(i is None for _, i in want)
 
 
 def test_items_come_in_blocks(spark):
-    items = spark.createDataFrame([(i, "x" * 30) for i in range(5)], "item_id long, text string")
+    items = spark.createDataFrame([(i, "x" * 30) for i in (0, 1, 2, 3, 4)], "item_id long, text string")
     blocks = list(D.item_blocks(items, size=70))
     assert [b[0] for b in blocks] == [[0, 1], [2, 3], [4]]
     assert D.contaminated(table(spark, [(1, "a")]), items.limit(0)).count() == 0
@@ -248,11 +301,14 @@ def test_query_finds_every_planted_item(spark, sf):
     items = [(r.item_id, D.normalise(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     planted = {(d, i) for d, t in docs for i, x in items if x in t}
     rows = D.op8_decontamination(spark, sf).collect()
-    assert planted and {(r.doc_id, r.item_id) for r in rows if r.edits == 0} == planted
+    assert planted and {(r.doc_id, r.item_id) for r in rows if (r.part, r.edits) == (1, 0)} == planted
     texts, wanted = dict(docs), dict(items)
     for r in rows:
+        parts = [p.tobytes().decode("utf-32-le") for s, p in D.halves(D.codes(wanted[r.item_id])) if s == r.part]
         if r.edits:
-            assert edit_distance_inside(wanted[r.item_id], texts[r.doc_id]) == r.edits
+            assert min(edit_distance_inside(p, texts[r.doc_id]) for p in parts) == r.edits
+        else:
+            assert any(p in texts[r.doc_id] for p in parts)
 
 
 # --- packing -----------------------------------------------------------------------------
