@@ -25,7 +25,7 @@ from holdfast.operators.silver import silver_customers
 from holdfast.plans import training, warehouse
 from holdfast.plans.scoring import load_scorer, ranked_batch, score_records
 from holdfast.session import materialize, scratch_path
-from holdfast.sources import readers, writers
+from holdfast.sources import commits, readers, writers
 from holdfast.sources.contract import ADDON_COLUMNS, TELCO
 from holdfast.sources.testtables import (
     scored_documents,
@@ -335,6 +335,26 @@ def broken_seal(spark, sf_dir):
     )
 
 
+@query
+def split_tree(spark, sf_dir):
+    """Roots of the trees of digests that seal the splits, checked after a shuffle of the rows."""
+    parts = _splits(spark, sf_dir)
+    manifest = S.split_manifest(parts, "customerID", "Churn", "Yes", mode=S.MERKLE_MODE)
+    checked = S.seal_check(parts.repartition(5), manifest, "customerID")
+    return manifest.join(checked.select("split", "sealed"), "split")
+
+
+@query
+def split_tree_difference(spark, sf_dir):
+    """The blocks that tell where a customer has left the test part and another came into training."""
+    parts = _splits(spark, sf_dir)
+    gone = parts.where("split = 'test'").agg(F.min("customerID")).scalar()
+    left = parts.where(F.col("customerID") != gone).select("customerID", "split")
+    came = parts.limit(1).select(F.lit("a new one").alias("customerID"), F.lit("train").alias("split"))
+    blocks = (S.merkle_blocks(p, "customerID", "split") for p in (left.unionByName(came), parts))
+    return S.merkle_difference(*blocks)
+
+
 @query
 def split_missing_ids(spark, sf_dir):
     """Sizes of the split when a part of the customers has no id."""
@@ -582,7 +602,7 @@ def confusion_gaps(spark, sf_dir):
 
 @query
 def threshold_sweep_gaps(spark, sf_dir):
-    return M.threshold_sweep(_gappy(spark, sf_dir), "label", "score")
+    return M.threshold_sweep(_gappy(spark, sf_dir), "label", "score").drop("n")
 
 
 @query
@@ -631,12 +651,12 @@ def calibration_lineitem(spark, sf_dir):
 
 @query
 def threshold_sweep(spark, sf_dir):
-    return M.threshold_sweep(scored_subscribers(spark, sf_dir), "label", "score")
+    return M.threshold_sweep(scored_subscribers(spark, sf_dir), "label", "score").drop("n")
 
 
 @query
 def threshold_sweep_lineitem(spark, sf_dir):
-    return M.threshold_sweep(scored_lineitems(spark, sf_dir), "label", "score")
+    return M.threshold_sweep(scored_lineitems(spark, sf_dir), "label", "score").drop("n")
 
 
 @query
@@ -661,7 +681,7 @@ def _shown(df: DataFrame, column: str) -> DataFrame:
 @query
 def operating_threshold(spark, sf_dir):
     sweep = M.threshold_sweep(scored_subscribers(spark, sf_dir), "label", "score")
-    return _shown(D.operating_threshold(sweep), "operating_threshold")
+    return _shown(D.operating_threshold(sweep).drop("contacted", "n"), "operating_threshold")
 
 
 @query
@@ -840,7 +860,8 @@ def _rule_history(spark, sf_dir):
 @query
 def cv_history(spark, sf_dir):
     history = _rule_history(spark, sf_dir)
-    return history.select("family", "fold", "train_ap", "test_ap")
+    aps = (F.round(c, M.METRIC_DIGITS).alias(c) for c in ("train_ap", "test_ap"))
+    return history.select("family", "fold", *aps)
 
 
 @query
@@ -1023,7 +1044,31 @@ def loaded_csv(spark, sf_dir):
     raw = readers.read_customers(spark, path)
     stored = scratch_path(spark, "bronze")
     writers.append_checked(raw, stored)
-    return readers.read_customers(spark, stored, validate=False, fmt="parquet")
+    return commits.read_committed(spark, stored, TELCO.schema).drop("_version")
+
+
+@query
+def committed_batches(spark, sf_dir):
+    """Rows per published version after two good appends, a bad one and a late one between them."""
+    raw = materialize(subscribers(spark, sf_dir), "raw")
+    third = F.col("customerID").cast("bigint") % 3
+    path = scratch_path(spark, "committed")
+    writers.append_checked(raw.where(third == 0), path)
+    late, _ = commits.stage(raw.where(third == 2), path)
+    for bad in (raw.where(third == 2).withColumn("Churn", F.lit("Maybe")), raw.where(third == 0)):
+        try:
+            writers.append_checked(bad, path)
+        except quality.ContractViolation:
+            pass
+    writers.append_checked(raw.where(third == 1), path)
+    try:
+        commits.publish(spark, path, late, 0, 1)
+    except commits.LateWriter:
+        pass
+    rows = commits.read_committed(spark, path, TELCO.schema)
+    return rows.groupBy(F.col("_version").alias("version")).agg(
+        F.count("*").alias("rows"), F.sum("MonthlyCharges").alias("charges")
+    )
 
 
 @query
@@ -1037,7 +1082,7 @@ def run_log(spark, sf_dir):
         found = M.evaluate(scored, "label", "p", levels=2).first().asDict()
         metrics = {k: found[k] for k in ("pr_auc", "roc_auc", "recall", "value_per_1000")}
         writers.log_run(spark, path, "rule", {"tenureBelow": t}, metrics, register=register)
-    runs = spark.read.parquet(path)
+    runs = writers.read_runs(spark, path)
     return runs.select(
         "family",
         F.col("params")["tenureBelow"].alias("tenure_below"),

@@ -28,14 +28,17 @@ def operating_threshold(sweep: DataFrame) -> DataFrame:
     """The threshold of highest value (the lowest one on a tie) and its gain over 0.5.
 
     Works on the rows of a sweep, one per grid point. The threshold is the grid's own
-    number: rounded, it would flag other rows than the sweep did.
+    number: rounded, it would flag other rows than the sweep did. Counts of the sweep, where it
+    has them, come along.
     """
+    counts = [c for c in ("contacted", "n") if c in sweep.columns]
     best = F.min(
         F.struct(
             (-F.col("value_per_1000")).alias("loss"),
             F.col("threshold"),
             F.col("contacted_share"),
             F.col("recall"),
+            *counts,
         )
     )
     default = F.min(
@@ -52,6 +55,7 @@ def operating_threshold(sweep: DataFrame) -> DataFrame:
         F.col("b.recall").alias("recall"),
         F.col("d.value").alias("value_at_half"),
         F.round(-F.col("b.loss") - F.col("d.value"), METRIC_DIGITS).alias("gain_over_half"),
+        *(F.col(f"b.{c}").alias(c) for c in counts),
     )
 
 
@@ -97,12 +101,13 @@ def sensitivity(
 
 
 def capacity_binding(best: DataFrame, costs: Costs, population: Column) -> DataFrame:
-    """Does the flagged share exceed what the team can contact?"""
+    """Does the flagged share exceed what the team can contact? Shares are rounded for display only."""
     share = F.lit(float(costs.capacity)) / population
+    more = F.col("contacted") * population > F.lit(costs.capacity).cast("bigint") * F.col("n")
     return best.select(
         F.col("contacted_share").alias("flagged_share"),
         F.round(share, METRIC_DIGITS).alias("capacity_share"),
-        (F.col("contacted_share") > F.round(share, METRIC_DIGITS)).alias("capacity_binds"),
+        more.alias("capacity_binds"),
     )
 
 

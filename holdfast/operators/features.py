@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.customer import band, collapse, count_yes
 from holdfast.functions.numeric import lenient_number
-from holdfast.operators.cumulative import exact_quantiles
+from holdfast.operators.cumulative import column_quantiles
 from holdfast.sources.contract import ADDON_COLUMNS, TELCO, Contract
 
 # Feature names in output order.
@@ -159,8 +159,7 @@ def numeric_pairs(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
 
 def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact interpolated medians of all columns together, without a per-column sort."""
-    found = exact_quantiles(numeric_pairs(df, columns), "value", [0.5], by=["feature"])
-    return {r["feature"]: r["q0"] for r in found.collect()}
+    return {r["feature"]: r["q0"] for r in column_quantiles(df, columns, [0.5]).collect()}
 
 
 def fit_moments(df: DataFrame, fills: dict[str, float]) -> dict[str, tuple[float, float]]:

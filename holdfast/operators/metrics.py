@@ -130,8 +130,9 @@ def evaluate(
     by: Sequence[str] = (),
     rows_per_slab: int = ROWS_PER_SLAB,
     levels: int | None = None,
+    digits: int | None = METRIC_DIGITS,
 ) -> DataFrame:
-    """One metric row per group.
+    """One metric row per group, rounded for display unless ``digits`` is None.
 
     ROC-AUC gives tied pairs half credit and is NULL for a group with one class.
     PR-AUC is average precision (a step sum, no interpolation). ``precision_at_k``
@@ -140,7 +141,7 @@ def evaluate(
     bound on distinct scores passed as ``levels`` saves counting the rows.
     """
     curve = _curve_of(df, label, score, by, rows_per_slab, levels)
-    return evaluate_curve(curve, costs, threshold, population, by)
+    return evaluate_curve(curve, costs, threshold, population, by, digits)
 
 
 def evaluate_curve(
@@ -149,6 +150,7 @@ def evaluate_curve(
     threshold: float | None = None,
     population: int | None = None,
     by: Sequence[str] = (),
+    digits: int | None = METRIC_DIGITS,
 ) -> DataFrame:
     threshold = costs.break_even if threshold is None else threshold
     pos, neg, score = F.col("pos"), F.col("neg"), F.col("score")
@@ -179,7 +181,7 @@ def evaluate_curve(
     value = tp * F.lit(costs.gain_per_hit) + fp * F.lit(costs.gain_per_miss)
 
     def rounded(expr: Column, name: str) -> Column:
-        return F.round(expr, METRIC_DIGITS).alias(name)
+        return (expr if digits is None else F.round(expr, digits)).alias(name)
 
     return sums.select(
         *by,
@@ -413,6 +415,7 @@ def sweep_values(
         rounded(ratio(caught, F.greatest(F.col("positives"), one)), "recall"),
         rounded(ratio(caught, F.greatest(contacted, one)), "precision"),
         rounded(ratio(value * 1000.0, F.col("n")), "value_per_1000"),
+        "n",
     )
 
 

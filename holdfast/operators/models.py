@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from holdfast.operators.boosting import LeafwiseBoosting
+from holdfast.operators.boosting import LeafwiseBoosting, LeafwiseModel, boost
 from holdfast.operators.features import feature_pipeline
 from holdfast.operators.metrics import evaluate
 
@@ -189,6 +191,14 @@ def class_weight(df: DataFrame, label: str = "label") -> DataFrame:
     return df.withColumn("weight", F.when(F.col(label) == 1, of_pos).otherwise(of_neg))
 
 
+def class_weighting(params: dict) -> str | None:
+    """How a candidate weighs its classes: not at all, balanced, or balanced inside each tree's sample."""
+    wanted = params.get("class_weight")
+    if wanted not in (None, "balanced", "balanced_subsample"):
+        raise ValueError(f"unknown class_weight '{wanted}'")
+    return wanted
+
+
 def build_estimator(family: str, params: dict, rows: int, seed: int = 42) -> Estimator:
     """The pyspark.ml estimator of one candidate, on ``features``/``label``/``weight``.
 
@@ -196,7 +206,7 @@ def build_estimator(family: str, params: dict, rows: int, seed: int = 42) -> Est
     the loss, hence the division by the number of training rows. Features are already
     scaled, so the library's own standardization is off.
     """
-    weighted = {"weightCol": "weight"} if params.get("class_weight") else {}
+    weighted = {"weightCol": "weight"} if class_weighting(params) else {}
     if family == "logistic_regression":
         return LogisticRegression(
             regParam=1.0 / (params["C"] * rows),
@@ -244,16 +254,29 @@ def for_fitting(df: DataFrame, rows: int) -> DataFrame:
 
 
 def average_precisions(scored: DataFrame, by: Sequence[str], rows: int) -> DataFrame:
-    """Average precision of every (model, fold, part) group from one histogram."""
-    return evaluate(scored, "label", "p", by=by, levels=rows).select(*by, "pr_auc")
+    """Average precision, unrounded, of every (model, fold, part) group from one histogram."""
+    found = evaluate(scored, "label", "p", by=by, levels=rows, digits=None)
+    return found.select(*by, "pr_auc")
 
 
-def _long_scores(model: Model, df: DataFrame, part: Column, **labels) -> DataFrame:
-    """Scores of one fitted model, labelled by part and candidate."""
-    scored = positive_probability(model.transform(df.withColumn("part", part)))
-    return scored.select(
-        *(F.lit(v).alias(k) for k, v in labels.items()), "part", "label", "p"
-    )
+def scores_of_many(models: dict[tuple, Model], df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``keep, scores``: the probabilities of all models for a row, as one array in the order of ``models``.
+
+    One pass over the rows, however many models there are.
+    """
+    scored = df
+    for i, model in enumerate(models.values()):
+        extra = [c for c in ("rawPrediction", "probability", "prediction") if c in scored.columns]
+        scored = positive_probability(model.transform(scored.drop(*extra)), f"_p{i}")
+    return scored.select(*keep, F.array(*(F.col(f"_p{i}") for i in range(len(models)))).alias("scores"))
+
+
+def unfolded(scored: DataFrame, models: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """One row per (row, model) with the model's key in the columns ``names``; counted, not stored."""
+    keys = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, key))) for key in models))
+    rest = [c for c in scored.columns if c != "scores"]
+    each = scored.select(*rest, F.posexplode("scores").alias("_at", "p"))
+    return each.withColumn("_key", F.get(keys, F.col("_at"))).select(*rest, "p", "_key.*")
 
 
 HISTORY_SCHEMA = (
@@ -290,18 +313,55 @@ def cross_validate(
     scored = None
     for fold in range(k):
         train = df.where(F.col(fold_col) != fold)
-        for name, estimator in estimators.items():
-            one = _long_scores(
-                estimator.fit(train), df, _part_of(fold_col, fold),
-                family=name, candidate=0, fold=fold,
-            )
-            scored = one if scored is None else scored.unionByName(one)
+        models = {(name, 0, fold): e.fit(train) for name, e in estimators.items()}
+        parted = df.withColumn("part", _part_of(fold_col, fold))
+        one = unfolded(
+            scores_of_many(models, parted, ["part", "label"]), list(models), ["family", "candidate", "fold"]
+        )
+        scored = one if scored is None else scored.unionByName(one)
     rows_scored = df.count() * k * len(estimators)
     aps = average_precisions(scored, ["family", "candidate", "fold", "part"], rows_scored)
     rows = [(f, c, i, {}, *pair) for (f, c, i), pair in sorted(_paired(aps).items())]
     return _history(df.sparkSession, rows)
 
 
+def fit_candidates(
+    weighted: DataFrame, rows: int, tasks: Sequence[tuple], parallelism: int, seed: int
+) -> dict[tuple, Model]:
+    """(family, index) -> model of every candidate, on ``features``, ``label`` and ``weight``.
+
+    All boosting settings grow together and share each pass over the rows; the other
+    families are fitted one candidate at a time, as concurrent Spark jobs.
+    """
+    boosted = [t for t in tasks if t[0] == "hist_gradient_boosting"]
+    single = [t for t in tasks if t[0] != "hist_gradient_boosting"]
+
+    def fit(task):
+        family, _, params = task
+        return build_estimator(family, params, rows, seed).fit(weighted)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        models = dict(zip([t[:2] for t in single], pool.map(fit, single), strict=True))
+    if boosted:
+        factors = {
+            (r["y"] == 1): r["w"]
+            for r in weighted.groupBy((F.col("label") == 1).cast("int").alias("y"))
+            .agg(F.max("weight").alias("w"))
+            .collect()
+        }
+        balanced = (factors.get(False, 1.0), factors.get(True, 1.0))
+        runs = [
+            replace(
+                build_estimator(family, params, rows, seed).run(),
+                factors=balanced if class_weighting(params) else (1.0, 1.0),
+            )
+            for family, _, params in boosted
+        ]
+        learned = boost(weighted, runs)
+        models |= {t[:2]: LeafwiseModel(learned=json.dumps(m)) for t, m in zip(boosted, learned)}
+    return models
+
+
 def randomized_search(
     df: DataFrame,
     families: dict[str, Sequence[dict]],
@@ -314,8 +374,8 @@ def randomized_search(
     """History of every candidate on every fold, preprocessing refitted per fold.
 
     The preparation depends on the fold only, so it is fitted once per fold and its
-    result shared by all candidates. Candidates of a fold are fitted as concurrent Spark
-    jobs and evaluated together; only their scores per part come back.
+    result shared by all candidates. A fold's rows are scored by all candidates in one pass, as an
+    array, and evaluated together; only two numbers per candidate come back.
     """
     rows: list[tuple] = []
     tasks = [
@@ -329,23 +389,12 @@ def randomized_search(
         stages = feature_pipeline([*keep, fold_col]).fit(train)
         matrix = for_fitting(stages.transform(df), rows_in).persist()
         weighted = class_weight(matrix.where(F.col(fold_col) != fold)).persist()
-        n = weighted.count()
-
-        def fit(task, weighted=weighted, n=n):
-            family, _, params = task
-            return build_estimator(family, params, n, seed).fit(weighted)
-
-        with ThreadPoolExecutor(parallelism) as pool:
-            models = list(pool.map(fit, tasks))
-        scored = None
-        for (family, index, _), model in zip(tasks, models, strict=True):
-            one = _long_scores(
-                model, matrix, _part_of(fold_col, fold),
-                family=family, candidate=index, fold=fold,
-            )
-            scored = one if scored is None else scored.unionByName(one)
+        models = fit_candidates(weighted, weighted.count(), tasks, parallelism, seed)
+        parted = matrix.withColumn("part", _part_of(fold_col, fold))
+        scored = scores_of_many(models, parted, ["part", "label"])
+        each = unfolded(scored, [(*key, fold) for key in models], ["family", "candidate", "fold"])
         groups = ["family", "candidate", "fold", "part"]
-        pairs = _paired(average_precisions(scored, groups, rows_in * len(tasks)))
+        pairs = _paired(average_precisions(each, groups, rows_in * len(tasks)))
         for family, index, params in tasks:
             shown = {name: str(value) for name, value in params.items()}
             rows.append((family, index, fold, shown, *pairs[(family, index, fold)]))

@@ -41,30 +41,23 @@ def with_position(
     digest of ``(seed, id)``, then the id. Also adds ``level_start`` (rows strictly
     before this row's level) and ``group_rows`` (rows in the group).
 
-    Ids must be unique. Rows without an id are kept too: they come last in their level,
-    in one cell, by their whole content; equal ones are interchangeable. ``names`` are the
-    three added columns.
+    Ids must be unique. Rows without an id are kept too: they come last in their level, by
+    the digest of their whole content and then the content, and are cut into as many cells
+    of their own; equal ones are interchangeable. ``names`` are the three added columns.
 
     The base is shuffled and sorted once, by cell: the join with the cell offsets uses the
     same key. Offsets are prefix sums over the cells of one level and over the levels of
     one group, never over both at once. ``rows_per_cell`` with a known row count ``rows``
     asks for fewer cells.
     """
-    levels = [name for name, _ in order]
     cells = CELLS
     if rows_per_cell is not None:
         wanted = df.count() if rows is None else rows
         cells = max(1, -(-wanted // rows_per_cell))
-    keyed = df.withColumn("_digest", shuffle_key(id_col, seed))
-    # counting needs the id and the levels only, so rows without id get a cell of their own
-    own_cell = F.coalesce(cell_of(F.col("_digest"), cells), F.lit(cells).cast("bigint"))
-    keyed = keyed.withColumn("_cell", own_cell)
-    # the group as one struct: equal structs match also where a field is NULL
-    keyed = keyed.withColumn("_key", F.struct(*within, *levels, F.lit(0).alias("_")))
+    keyed = _in_cells(df, id_col, order, within, seed, cells)
 
     # the numeric cell leads, so most comparisons of the sort are of one long
-    content = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))
-    without_id = F.when(F.col(id_col).isNull(), content)
+    without_id = F.when(F.col(id_col).isNull(), _content(df))
     in_cell = Window.partitionBy("_cell", "_key").orderBy("_digest", id_col, without_id)
     placed = keyed.withColumn("_nth", F.row_number().over(in_cell))
     offsets = _cell_offsets(keyed, order, within)
@@ -77,16 +70,57 @@ def with_position(
     )
 
 
-def _cell_offsets(
+def _content(df: DataFrame) -> Column:
+    return F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))
+
+
+def _in_cells(
+    df: DataFrame,
+    id_col: str,
+    order: Sequence[tuple[str, str]],
+    within: Sequence[str],
+    seed: int | str,
+    cells: int,
+) -> DataFrame:
+    """Rows with ``_digest``, ``_cell`` and ``_key``, their group and level as one struct."""
+    missing = F.col(id_col).isNull()
+    own = F.coalesce(shuffle_key(id_col, seed), F.when(missing, F.md5(_content(df))))
+    keyed = df.withColumn("_digest", own)
+    # a second range of cells, after the first, for rows without id
+    after = F.when(missing, cells).otherwise(0)
+    keyed = keyed.withColumn("_cell", cell_of(F.col("_digest"), cells) + after)
+    # equal structs match also where a field is NULL
+    return keyed.withColumn("_key", F.struct(*within, *(name for name, _ in order), F.lit(0).alias("_")))
+
+
+def _cell_counts(
     keyed: DataFrame, order: Sequence[tuple[str, str]], within: Sequence[str]
 ) -> DataFrame:
-    """``_cell, _key, _before, _start, _group`` for every occupied cell."""
-    levels = [name for name, _ in order]
-    counts = (
+    fields = [*within, *(name for name, _ in order)]
+    return (
         keyed.groupBy("_cell", "_key")
         .agg(F.count("*").alias("_rows"))
-        .select("_cell", "_key", "_rows", *(F.col(f"_key.{f}").alias(f) for f in [*within, *levels]))
+        .select("_cell", "_key", "_rows", *(F.col(f"_key.{f}").alias(f) for f in fields))
     )
+
+
+def group_sizes(
+    df: DataFrame, id_col: str, within: Sequence[str], seed: int | str = 0, rows: str = "rows"
+) -> DataFrame:
+    """Rows of each ``within`` group, from the cells that :func:`with_position` counts.
+
+    Beside a ``with_position`` of the same rows and arguments the counts are made once.
+    """
+    counts = _cell_counts(_in_cells(df, id_col, (), within, seed, CELLS), (), within)
+    return counts.groupBy(*within).agg(F.sum("_rows").alias(rows))
+
+
+def _cell_offsets(
+    keyed: DataFrame, order: Sequence[tuple[str, str]], within: Sequence[str]
+) -> DataFrame:
+    """``_cell, _key, _before, _start, _group`` for every occupied cell."""
+    levels = [name for name, _ in order]
+    counts = _cell_counts(keyed, order, within)
     in_level = Window.partitionBy(*within, *levels).orderBy("_cell")
     before = F.sum("_rows").over(in_level.rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.withColumn("_inside", F.coalesce(before, F.lit(0)))

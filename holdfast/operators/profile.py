@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from holdfast.functions.customer import count_yes
 from holdfast.functions.numeric import rate, rate_where, ratio
-from holdfast.operators.cumulative import quantiles_of, slab_edges, value_histogram
+from holdfast.operators.cumulative import column_quantiles
 from holdfast.operators.features import category_counts, numeric_pairs
 from holdfast.operators.position import null_safe_join
 from holdfast.sources.contract import ADDON_COLUMNS
@@ -204,25 +204,55 @@ def histogram(df: DataFrame, columns: Sequence[str], group: str, bins: int = 30)
 def box_stats(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
     """Quartiles, and the farthest values within 1.5 interquartile ranges, per group.
 
-    Quartiles, whiskers and outliers all come from one histogram of the values.
+    The quartiles are exact; whiskers and outliers then come from one aggregate over the rows, with no
+    row per (row, column). A column without values in a group has no row.
     """
-    pairs = numeric_pairs(df, columns, by=[group])
-    keys = ["feature", group]
-    hist = value_histogram(pairs, "value", keys)
-    quartiles = quantiles_of(hist, "value", [0.25, 0.5, 0.75], slab_edges(pairs, "value"), keys)
+    quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75], by=[group])
     reach = 1.5 * (F.col("q2") - F.col("q0"))
-    inside = F.col("value").between(F.col("q0") - reach, F.col("q2") + reach)
-    value = F.col("value")
-    return (
-        null_safe_join(hist, quartiles.withColumnRenamed("n", "rows"), keys)
-        .groupBy(*keys)
-        .agg(
-            F.max("rows").alias("rows"),
-            F.round(F.min(F.when(inside, value)), DIGITS).alias("whisker_low"),
-            F.round(F.max("q0"), DIGITS).alias("q1"),
-            F.round(F.max("q1"), DIGITS).alias("median"),
-            F.round(F.max("q2"), DIGITS).alias("q3"),
-            F.round(F.max(F.when(inside, value)), DIGITS).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
+    place = F.create_map(*(F.lit(x) for i, c in enumerate(columns) for x in (c, i)))
+    # one row per group and column
+    found = quartiles.withColumns(
+        {"_low": F.col("q0") - reach, "_high": F.col("q2") + reach, "_at": place[F.col("feature")]}
+    )
+    fences = found.groupBy(group).agg(
+        *(
+            F.max(F.when(F.col("_at") == i, F.col(end))).alias(f"{end}{i}")
+            for i in range(len(columns))
+            for end in ("_low", "_high")
+        )
+    )
+    fenced = null_safe_join(df, F.broadcast(fences), [group])
+    sides = []
+    for i, c in enumerate(columns):
+        x = F.col(f"`{c}`").cast("double")
+        value = F.when(~F.isnan(x), x)
+        inside = value.between(F.col(f"_low{i}"), F.col(f"_high{i}"))
+        sides += [
+            F.min(F.when(inside, value)).alias(f"_from{i}"),
+            F.max(F.when(inside, value)).alias(f"_to{i}"),
+            F.count_if(value.isNotNull() & ~inside).alias(f"_out{i}"),
+        ]
+    wide = fenced.groupBy(group).agg(*sides)
+    cells = F.array(
+        *(
+            F.struct(
+                F.lit(c).alias("feature"),
+                F.col(f"_from{i}").alias("low"),
+                F.col(f"_to{i}").alias("high"),
+                F.col(f"_out{i}").alias("outliers"),
+            )
+            for i, c in enumerate(columns)
         )
     )
+    whiskers = wide.select(group, F.inline(cells))
+    return null_safe_join(quartiles, whiskers, ["feature", group]).select(
+        "feature",
+        group,
+        F.col("n").alias("rows"),
+        F.round("low", DIGITS).alias("whisker_low"),
+        F.round("q0", DIGITS).alias("q1"),
+        F.round("q1", DIGITS).alias("median"),
+        F.round("q2", DIGITS).alias("q3"),
+        F.round("high", DIGITS).alias("whisker_high"),
+        "outliers",
+    )

@@ -15,14 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from holdfast.functions.hashing import digest_number, shuffle_key, slot_of
+from holdfast.functions.hashing import cell_of, digest_number, shuffle_key, slot_of
 from holdfast.functions.numeric import rate
-from holdfast.operators.position import PRIVATE, null_safe_join, with_position
+from holdfast.operators.position import CELLS, PRIVATE, group_sizes, null_safe_join, with_position
 from holdfast.operators.quality import ContractViolation
 
 #: How a manifest's fingerprints were made: sums of sha256 lanes, see :func:`fingerprint`.
 FINGERPRINT_MODE = "sha256-lane-sums"
-EXACT_FINGERPRINT_ROWS = 1_000_000
+#: Levels of the tree of digests: 16**4 blocks, some 150,000 ids each at ten billion.
+MERKLE_DEPTH = 4
+MERKLE_MODE = f"sha256-tree-{MERKLE_DEPTH}"
+MODES = (FINGERPRINT_MODE, MERKLE_MODE)
 
 
 def allocate(counts: Mapping, wanted: int) -> dict:
@@ -54,9 +57,8 @@ def _share_out(strata: str, size: str, wanted: Column, name: str, table: DataFra
     )
 
 
-def split_quotas(df: DataFrame, strata: str, test: float, val: float) -> DataFrame:
-    """``strata, _in_test, _in_val`` rows of every stratum; one row per class label."""
-    counts = df.groupBy(strata).agg(F.count("*").alias("_n"))
+def split_quotas(counts: DataFrame, strata: str, test: float, val: float) -> DataFrame:
+    """``strata, _in_test, _in_val`` of every stratum, from its rows ``_n``; one row per class label."""
     rows = F.sum("_n").over(Window.partitionBy())
     n_test = F.ceil(F.lit(float(test)) * rows)
     n_val = F.ceil(F.lit(val / (1.0 - test)) * (rows - n_test))
@@ -83,7 +85,9 @@ def stratified_split(
     stratum, joined to the placed rows. Rows without an id are split like any other.
     """
     placed = with_position(df, id_col, within=[strata], seed=seed, names=PRIVATE, **cells)
-    joined = null_safe_join(placed, split_quotas(df, strata, test, val), [strata])
+    # the cells that were counted for the positions also give the strata's sizes
+    counts = group_sizes(df, id_col, [strata], seed, "_n")
+    joined = null_safe_join(placed, split_quotas(counts, strata, test, val), [strata])
     part = (
         F.when(F.col("_position") < F.col("_in_test"), "test")
         .when(F.col("_position") < F.col("_in_test") + F.col("_in_val"), "val")
@@ -103,8 +107,18 @@ def stratified_folds(
 
 
 def sample_n(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly n rows (or all), the same ones for any partitioning of the input."""
-    placed = with_position(df, id_col, seed=f"sample-{seed}", names=PRIVATE)
+    """Exactly n rows (or all), the same ones for any partitioning of the input.
+
+    A histogram of the digests, of fixed size, tells the cell in which the n-th smallest lies. Only rows up to it
+    are shuffled and placed: n, and at most the rows of one cell more.
+    """
+    name = f"sample-{seed}"
+    cell = F.coalesce(cell_of(shuffle_key(id_col, name), CELLS), F.lit(CELLS))
+    counts = df.groupBy(cell.alias("_cell")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_cell")) - F.col("_n")  # over CELLS rows
+    last = counts.withColumn("_before", before).where(F.col("_before") < n).agg(F.max("_cell"))
+    near = df.where(cell <= last.scalar())
+    placed = with_position(near, id_col, seed=name, names=PRIVATE)
     return placed.where(F.col("_position") < n).drop(*PRIVATE)
 
 
@@ -205,59 +219,116 @@ def fingerprint(id_col: str) -> Column:
     return F.substring(F.sha2(parts, 256), 1, 16)
 
 
-def exact_fingerprint(df: DataFrame, id_col: str) -> str:
-    """sha256 over the sorted ids joined by ``|``, first 16 hex digits.
+def merkle_blocks(df: DataFrame, id_col: str, part: str, depth: int = MERKLE_DEPTH) -> DataFrame:
+    """``split, block, rows, digest``: the ids of each part in 16**depth blocks by their sha256.
 
-    sha256 reads its input in order, so this form cannot be distributed. It is offered
-    for manifests written elsewhere and refuses splits beyond a million ids; larger
-    splits are sealed with :func:`fingerprint`.
+    A block's digest is the sha256 of its ids in ascending order, joined by ``|``; missing
+    ids count as an empty one. Which block an id belongs to depends on the id alone, and a
+    block holds its share of the ids whatever they look like.
     """
-    rows = df.count()
-    if rows > EXACT_FINGERPRINT_ROWS:
-        raise ValueError(f"{rows} ids: use fingerprint() beyond {EXACT_FINGERPRINT_ROWS}")
-    ids = F.sort_array(F.collect_list(F.col(id_col).cast("string")))
-    text = F.concat_ws("|", ids)
-    return df.agg(F.substring(F.sha2(text, 256), 1, 16).alias("f")).first()["f"]
+    own = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    ids = df.select(F.col(part).alias("split"), own.alias("id"))
+    block = F.substring(F.sha2("id", 256), 1, depth)
+    digest = F.sha2(F.concat_ws("|", F.sort_array(F.collect_list("id"))), 256)
+    return ids.groupBy("split", block.alias("block")).agg(
+        F.count("*").alias("rows"), digest.alias("digest")
+    )
+
+
+def merkle_roots(blocks: DataFrame, depth: int = MERKLE_DEPTH) -> DataFrame:
+    """``split, rows, root``: digests of sixteen children at a time, up to one per part.
+
+    A node is the sha256 of its occupied children, each as its hex digit and digest, in order.
+    """
+    level = blocks.withColumnRenamed("digest", "root")
+    for length in range(depth - 1, -1, -1):
+        child = F.struct(
+            F.substring("block", length + 1, 1).alias("digit"), F.col("root").alias("root")
+        )
+        children = F.sort_array(F.collect_list(child))  # sixteen at most
+        text = F.concat_ws("", F.transform(children, lambda c: F.concat(c["digit"], c["root"])))
+        level = level.groupBy("split", F.substring("block", 1, length).alias("block")).agg(
+            F.sum("rows").alias("rows"), F.sha2(text, 256).alias("root")
+        )
+    return level.select("split", "rows", F.substring("root", 1, 16).alias("root"))
+
+
+def merkle_difference(now: DataFrame, then: DataFrame) -> DataFrame:
+    """``split, block, rows_then, rows_now`` of the blocks whose ids are not the same any more."""
+    before = then.select("split", "block", F.col("rows").alias("rows_then"), F.col("digest").alias("then"))
+    after = now.select("split", "block", F.col("rows").alias("rows_now"), F.col("digest").alias("now"))
+    both = before.join(after, ["split", "block"], "full")
+    return both.where(~F.col("then").eqNullSafe(F.col("now"))).select(
+        "split",
+        "block",
+        *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("rows_then", "rows_now")),
+    )
+
+
+def _fingerprints(df: DataFrame, id_col: str, part: str, mode: str) -> DataFrame:
+    """``split, id_fingerprint`` of every part in one of the two modes."""
+    if mode == MERKLE_MODE:
+        roots = merkle_roots(merkle_blocks(df, id_col, part))
+        return roots.select("split", F.col("root").alias("id_fingerprint"))
+    if mode != FINGERPRINT_MODE:
+        raise ValueError(f"unknown fingerprint mode '{mode}'")
+    return df.groupBy(F.col(part).alias("split")).agg(fingerprint(id_col).alias("id_fingerprint"))
 
 
 def split_manifest(
-    df: DataFrame, id_col: str, target: str, positive: str, part: str = "split"
+    df: DataFrame,
+    id_col: str,
+    target: str,
+    positive: str,
+    part: str = "split",
+    mode: str = FINGERPRINT_MODE,
 ) -> DataFrame:
-    """Rows, share, positive rate and fingerprint per part: one aggregate."""
+    """Rows, share, positive rate and fingerprint per part.
+
+    One aggregate in the default mode. :data:`MERKLE_MODE` seals with the root of a tree, whose blocks
+    (:func:`merkle_blocks`) name the part of a split that has changed.
+    """
     total = F.sum("rows").over(Window.partitionBy())
-    return (
-        df.groupBy(part)
-        .agg(
-            F.count("*").alias("rows"),
-            F.round(rate(F.col(target) == positive), 4).alias("churn_rate"),
-            fingerprint(id_col).alias("id_fingerprint"),
-        )
-        .select(
-            F.col(part).alias("split"),
-            "rows",
-            F.round(F.col("rows") / total, 4).alias("share"),
-            "churn_rate",
-            "id_fingerprint",
-            F.lit(FINGERPRINT_MODE).alias("fingerprint_mode"),
-        )
+    own = [fingerprint(id_col).alias("id_fingerprint")] if mode == FINGERPRINT_MODE else []
+    table = df.groupBy(F.col(part).alias("split")).agg(
+        F.count("*").alias("rows"),
+        F.round(rate(F.col(target) == positive), 4).alias("churn_rate"),
+        *own,
+    )
+    if not own:
+        table = null_safe_join(table, _fingerprints(df, id_col, part, mode), ["split"])
+    return table.select(
+        "split",
+        "rows",
+        F.round(F.col("rows") / total, 4).alias("share"),
+        "churn_rate",
+        "id_fingerprint",
+        F.lit(mode).alias("fingerprint_mode"),
     )
 
 
 def seal_check(df: DataFrame, manifest: DataFrame, id_col: str, part: str = "split") -> DataFrame:
-    """Fingerprint now against fingerprint in the manifest, per part.
+    """Fingerprint now against fingerprint in the manifest, per part, in the manifest's own mode.
 
-    A manifest that names another fingerprint mode is never sealed; use that mode to check it.
+    A manifest without a mode has the default one; a part with an unknown mode is never sealed.
     """
-    now = df.groupBy(F.col(part).alias("split")).agg(fingerprint(id_col).alias("actual"))
-    same_mode = F.lit(True)
+    mode = F.lit(FINGERPRINT_MODE)
     if "fingerprint_mode" in manifest.columns:
-        same_mode = F.col("fingerprint_mode").eqNullSafe(F.lit(FINGERPRINT_MODE))
-    expected = manifest.select(
-        "split", F.col("id_fingerprint").alias("expected"), same_mode.alias("_mode")
-    )
-    equal = F.col("_mode") & F.col("expected").eqNullSafe(F.col("actual"))
-    return expected.join(now, "split", "left").select(
-        "split", "expected", "actual", equal.alias("sealed")
+        mode = F.col("fingerprint_mode")
+    expected = manifest.select("split", F.col("id_fingerprint").alias("expected"), mode.alias("_mode"))
+    now = None
+    # a manifest has one row per part
+    for found in sorted({r["_mode"] for r in expected.select("_mode").collect()} & set(MODES)):
+        one = _fingerprints(df, id_col, part, found).select(
+            "split", F.col("id_fingerprint").alias("actual"), F.lit(found).alias("_mode")
+        )
+        now = one if now is None else now.unionByName(one)
+    if now is None:
+        return expected.select(
+            "split", "expected", F.lit(None).cast("string").alias("actual"), F.lit(False).alias("sealed")
+        )
+    return expected.join(now, ["split", "_mode"], "left").select(
+        "split", "expected", "actual", F.col("expected").eqNullSafe(F.col("actual")).alias("sealed")
     )
 
 

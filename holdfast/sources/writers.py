@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from holdfast.operators.quality import ContractViolation, require_contract
 from holdfast.operators.split import require_disjoint, split_manifest
-from holdfast.session import materialize
+from holdfast.sources import commits
 from holdfast.sources.contract import TELCO, Contract
 
 
@@ -27,23 +27,23 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def append_checked(df: DataFrame, path: str, contract: Contract = TELCO) -> int:
-    """Append rows that meet the table contract, or fail without writing any.
+    """Append rows that meet the table contract, or fail without a visible row.
 
-    Keys must be new to the table as well as unique in the batch. Check and write are two
-    steps, so a table has one writer at a time. The table is a folder of Parquet files;
-    ``read_customers(..., fmt="parquet")`` reads it back.
+    The rows are staged, checked as they were written, and published by one commit (see
+    :mod:`holdfast.sources.commits`). Keys must be new to the table as well as unique in the
+    batch; a writer that others overtook between check and commit is refused with
+    ``LateWriter`` and may try again. ``read_committed`` reads the table.
     """
-    # the checked rows are the rows written: the input is evaluated once
-    batch = materialize(df, "batch")
+    spark = df.sparkSession
+    seen = commits.version(spark, path)
+    name, batch = commits.stage(df.select(*contract.names), path)
     require_contract(batch, contract)
-    stored = _existing(df.sparkSession, path)
-    if stored is not None:
-        keys = stored.select(contract.id_column)
-        again = batch.join(keys, contract.id_column, "left_semi").count()
-        if again:
-            raise ContractViolation(f"{again} keys are already stored in {path}")
+    stored = commits.read_committed(spark, path, contract.schema, seen)
+    again = batch.join(stored.select(contract.id_column), contract.id_column, "left_semi").count()
+    if again:
+        raise ContractViolation(f"{again} keys are already stored in {path}")
     rows = batch.count()
-    batch.select(*contract.names).write.mode("append").parquet(path)
+    commits.publish(spark, path, name, rows, seen)
     return rows
 
 
@@ -138,20 +138,32 @@ def log_run(
     tags: dict | None = None,
     register: bool = False,
 ) -> str:
-    """Append one training run; a registered run gets the next version number."""
-    version = None
-    if register:
-        stored = _existing(spark, path)
-        last = stored.agg(F.max("version")).first()[0] if stored is not None else None
-        version = (last or 0) + 1
-    run_id = uuid.uuid4().hex
-    row = (
-        run_id,
-        family,
-        {k: str(v) for k, v in (tags or {}).items()},
-        {k: str(v) for k, v in params.items()},
-        {k: float(v) for k, v in metrics.items() if v is not None},
-        version,
-    )
-    spark.createDataFrame([row], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(path)
-    return run_id
+    """Append one training run; a registered run gets the next version number.
+
+    Numbers are never given twice: a writer that another one overtook looks again.
+    """
+    while True:
+        seen = commits.version(spark, path)
+        number = None
+        if register:
+            last = commits.read_committed(spark, path, RUN_SCHEMA, seen).agg(F.max("version")).first()[0]
+            number = (last or 0) + 1
+        run_id = uuid.uuid4().hex
+        row = (
+            run_id,
+            family,
+            {k: str(v) for k, v in (tags or {}).items()},
+            {k: str(v) for k, v in params.items()},
+            {k: float(v) for k, v in metrics.items() if v is not None},
+            number,
+        )
+        name, _ = commits.stage(spark.createDataFrame([row], RUN_SCHEMA).coalesce(1), path)
+        try:
+            commits.publish(spark, path, name, 1, seen)
+        except commits.LateWriter:
+            continue
+        return run_id
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    return commits.read_committed(spark, path, RUN_SCHEMA).drop("_version")

@@ -15,7 +15,7 @@ from holdfast.operators.features import coerce_records
 from holdfast.plans import training, warehouse
 from holdfast.plans.scoring import load_scorer, ranked_batch, score_records
 from holdfast.session import scratch_path, shared_dir
-from holdfast.sources import readers, writers
+from holdfast.sources import commits, readers, writers
 from holdfast.sources.contract import TELCO
 from holdfast.streaming import score as stream
 
@@ -307,7 +307,21 @@ def test_checked_append_refuses_bad_and_repeated_rows(spark, table_of):
     with pytest.raises(ContractViolation, match="Churn"):
         writers.append_checked(table_of(customer(customerID="3", Churn="Maybe")), path)
     assert writers.append_checked(table_of(customer(customerID="3")), path) == 1
-    assert spark.read.parquet(path).count() == 3
+    rows = commits.read_committed(spark, path, TELCO.schema)
+    assert {(r["customerID"], r["_version"]) for r in rows.collect()} == {("1", 1), ("2", 1), ("3", 2)}
+    assert commits.read_committed(spark, path, TELCO.schema, 1).count() == 2
+    assert commits.read_committed(spark, path + "-none", TELCO.schema).count() == 0
+
+
+def test_a_late_writer_is_refused_by_name(spark, table_of):
+    path = scratch_path(spark, "late")
+    name, _ = commits.stage(table_of(customer(customerID="8")), path)
+    assert writers.append_checked(table_of(customer(customerID="1")), path) == 1
+    with pytest.raises(commits.LateWriter, match="version 1"):
+        commits.publish(spark, path, name, 1, 0)
+    assert [c["rows"] for c in commits.commits(spark, path)] == [1]
+    assert commits.publish(spark, path, name, 1, 1) == 2 == commits.version(spark, path)
+    assert commits.read_committed(spark, path, TELCO.schema).count() == 2
 
 
 def test_csv_is_read_verbatim(spark, raw):
@@ -338,7 +352,7 @@ def test_run_log_numbers_registered_versions(spark):
     writers.log_run(spark, path, "a", {"C": 1}, {"ap": 0.5})
     writers.log_run(spark, path, "a", {"C": 2}, {"ap": 0.6}, register=True)
     writers.log_run(spark, path, "b", {"C": 3}, {"ap": 0.7}, register=True)
-    runs = spark.read.parquet(path)
+    runs = writers.read_runs(spark, path)
     assert sorted(r["version"] for r in runs.collect() if r["version"]) == [1, 2]
     assert runs.select("run_id").distinct().count() == 3
 

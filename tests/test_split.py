@@ -82,11 +82,49 @@ def test_sample_is_exact_and_stable(base):
     assert large.count() == 7043
 
 
-def test_exact_fingerprint_is_the_published_form(base):
-    ids = sorted(r["id"] for r in base.collect())
-    want = hashlib.sha256("|".join(ids).encode()).hexdigest()[:16]
-    assert S.exact_fingerprint(base, "id") == want
-    assert S.exact_fingerprint(base.repartition(7), "id") == want
+def test_sample_shuffles_only_the_cells_it_needs(spark, base):
+    plan = S.sample_n(base, "id", 200)
+    rows = sorted(base.collect(), key=lambda r: hashlib.md5(f"sample-42:{r['id']}".encode()).hexdigest())
+    assert {r["id"] for r in plan.collect()} == {r["id"] for r in rows[:200]}
+    assert S.sample_n(base, "id", 0).count() == 0 and S.sample_n(base.limit(0), "id", 5).count() == 0
+    mixed = base.withColumn("id", F.when(F.col("id") > "5", F.col("id")))
+    assert S.sample_n(mixed, "id", 6000).count() == 6000
+
+
+def tree_root(ids, depth=4):
+    """Plain form of the tree of digests."""
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    level = {}
+    for i in ids:
+        level.setdefault(digest(i)[:depth], []).append(i)
+    level = {block: digest("|".join(sorted(own))) for block, own in level.items()}
+    for length in range(depth - 1, -1, -1):
+        above = {}
+        for block in sorted(level):
+            above.setdefault(block[:length], []).append(block[length] + level[block])
+        level = {block: digest("".join(own)) for block, own in above.items()}
+    return level[""][:16]
+
+
+def test_tree_seal_names_the_block_that_changed(parts):
+    manifest = S.split_manifest(parts, "id", "y", "Yes", mode=S.MERKLE_MODE).cache()
+    ids = {}
+    for r in parts.collect():
+        ids.setdefault(r["split"], []).append(r["id"])
+    assert {r["split"]: r["id_fingerprint"] for r in manifest.collect()} == {k: tree_root(v) for k, v in ids.items()}
+    S.require_sealed(parts.repartition(5), manifest, "id")
+    gone = ids["test"][0]
+    lost = parts.where(F.col("id") != gone)
+    with pytest.raises(ContractViolation, match="test"):
+        S.require_sealed(lost, manifest, "id")
+    blocks = [S.merkle_blocks(p, "id", "split") for p in (lost, parts)]
+    (found,) = S.merkle_difference(*blocks).collect()
+    assert (found["split"], found["block"]) == ("test", hashlib.sha256(gone.encode()).hexdigest()[:4])
+    assert found["rows_then"] == found["rows_now"] + 1
+    unknown = manifest.withColumn("fingerprint_mode", F.lit("other"))
+    assert not any(r["sealed"] for r in S.seal_check(parts, unknown, "id").collect())
+    with pytest.raises(ValueError, match="unknown fingerprint mode"):
+        S.split_manifest(parts, "id", "y", "Yes", mode="other")
 
 
 def test_seal_breaks_when_one_id_changes(parts):
