@@ -21,6 +21,7 @@ from holdfast.operators import models as E
 from holdfast.operators import profile as P
 from holdfast.operators import split as S
 from holdfast.operators.boosting import LeafwiseBoosting
+from holdfast.operators.levels import fit_levels_table
 from holdfast.operators.silver import silver_customers
 from holdfast.plans import training, warehouse
 from holdfast.plans.scoring import load_scorer, ranked_batch, score_records
@@ -536,6 +537,22 @@ def box_stats_lineitem(spark, sf_dir):
     return P.box_stats(table(spark, sf_dir, "lineitem"), columns, "l_returnflag")
 
 
+@query
+def sparse_levels(spark, sf_dir):
+    """Positions of every line item's levels: learned from lines 1 to 6, with prices in cents as levels."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string").alias("price"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag"),
+        F.col("l_linestatus").alias("status"),
+    )
+    encoder = fit_levels_table(lines.where("l_linenumber < 7"), ["flag", "price", "status"])
+    return encoder.indices(lines).select(
+        "l_orderkey", "l_linenumber", F.concat_ws(" ", F.col("indices").cast("array<string>")).alias("indices")
+    )
+
+
 # ------------------------------------------------------------------ metrics
 
 

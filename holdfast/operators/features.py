@@ -132,12 +132,16 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_levels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS) -> dict:
-    """``column -> (most frequent value, sorted values)``; the smaller value wins a tie."""
+    """``column -> (most frequent value, sorted values)``; the smaller value wins a tie.
+
+    For a column per level, which suits some thousand levels; :mod:`holdfast.operators.levels`
+    encodes any number of them.
+    """
     found = category_counts(df, columns).where(F.col("value").isNotNull())
     allowed = limit * len(columns)
     rows = found.limit(allowed + 1).collect()
     if len(rows) > allowed:
-        raise ValueError("categorical columns hold too many values to encode one by one")
+        raise ValueError("too many values for a column each: use holdfast.operators.levels")
     out = {}
     for c in columns:
         counts = {r["value"]: r["rows"] for r in rows if r["column"] == c}

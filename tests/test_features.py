@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from holdfast.operators import features as FE
 from holdfast.operators import profile as P
+from holdfast.operators.levels import LevelEncoder, fit_levels_table
 from holdfast.plans.training import labelled_split
+from holdfast.session import scratch_path
 
 
 def features_of(df):
@@ -160,3 +162,35 @@ def test_paradox_turns_when_conditioned(table_of):
     }
     assert out[0]["rate_all"] < out[1]["rate_all"]
     assert out[0]["rate_subset"] > out[1]["rate_subset"]
+
+
+# ------------------------------------------------------------------ many levels
+
+
+def test_levels_are_placed_in_order_whatever_their_number(spark):
+    df = spark.range(30_000).select(
+        F.concat(F.lit("v"), (F.col("id") % 25_000).cast("string")).alias("many"),
+        F.when(F.col("id") % 3 > 0, F.when(F.col("id") % 3 == 1, "yes").otherwise("no")).alias("two"),
+        F.lit(None).cast("string").alias("none"),
+    )
+    encoder = fit_levels_table(df, ["many", "two", "none"])
+    assert encoder.sizes == {"many": 25_000, "two": 2, "none": 0} and encoder.size == 25_001
+    places = {r["value"]: r["place"] for r in encoder.levels.where("column = 'many'").collect()}
+    assert [v for v, _ in sorted(places.items(), key=lambda x: x[1])] == sorted(f"v{i}" for i in range(25_000))
+    assert sorted(places.values()) == list(range(25_000))
+    assert encoder.modes == {"many": "v0", "two": "no", "none": None}
+
+
+def test_sparse_vectors_have_ones_at_the_indices(spark):
+    rows = [(1, "a", "x"), (2, "b", "y"), (3, None, "x"), (4, "c", None), (5, "b", "x")]
+    df = spark.createDataFrame(rows, "id int, letter string, two string")
+    encoder = fit_levels_table(df, ["letter", "two"])
+    path = scratch_path(spark, "levels")
+    encoder.save(path)
+    again = LevelEncoder.load(spark, path)
+    fresh = spark.createDataFrame([*rows, (6, "zz", "y"), (7, "a", "other")], df.schema)
+    want = {1: [0], 2: [1, 3], 3: [1], 4: [2], 5: [1], 6: [3], 7: [0]}
+    for e in (encoder, again):
+        assert {r["id"]: r["indices"] for r in e.indices(fresh).collect()} == want
+        vectors = {r["id"]: r["features"] for r in e.transform(fresh).collect()}
+        assert all(v.size == 4 and [i for i in range(4) if v[i]] == want[k] for k, v in vectors.items())

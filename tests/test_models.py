@@ -163,7 +163,7 @@ def test_training_job_publishes_a_model(spark, raw):
         "random_forest": [{"n_estimators": 3, "max_depth": 2, "min_samples_leaf": 5}],
     }
     facts = training.training_job(raw, out, families, k=2)
-    runs = spark.read.parquet(f"{out}/runs").collect()
+    runs = writers.read_runs(spark, f"{out}/runs").collect()
     assert {r["family"] for r in runs} == set(families)
     assert [r["family"] for r in runs if r["version"] == 1] == [facts["family"]]
     assert spark.read.parquet(f"{out}/history").count() == 4
@@ -182,7 +182,7 @@ def test_training_again_on_a_sealed_split(spark, raw):
     families = {"logistic_regression": [{"C": 1.0, "class_weight": None, "max_iter": 20}]}
     for _ in range(2):
         training.train_on_split(spark, base, out, families, k=2)
-    runs = spark.read.parquet(f"{out}/runs").collect()
+    runs = writers.read_runs(spark, f"{out}/runs").collect()
     assert sorted(r["version"] for r in runs) == [1, 2]
     extra = spark.read.parquet(f"{base}/splits").where("split = 'test'").limit(1)
     extra.write.mode("append").partitionBy("split").parquet(f"{base}/splits")
