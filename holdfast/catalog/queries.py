@@ -950,7 +950,7 @@ def ranked_batch_scores(spark, sf_dir):
 
 @query
 def published_scores(spark, sf_dir):
-    """The whole training job, then the published model scoring every record."""
+    """The training job on two linear candidates, then the published model scoring every record."""
     raw = materialize(subscribers(spark, sf_dir), "raw")
     out = scratch_path(spark, "training")
     linear = {"logistic_regression": SMALL_SEARCH["logistic_regression"]}
@@ -981,6 +981,115 @@ def boosted_leaves(spark, sf_dir):
     return rows.agg(F.count("*").alias("rows"), F.sum(F.col("label").cast("bigint")).alias("churned"))
 
 
+LOGISTIC_SETTINGS = (("balanced", 1.0), (None, 1.0), ("balanced", 0.01), (None, 0.001))
+
+
+@query
+def logistic_weights(spark, sf_dir):
+    """Coefficient tables of the linear family at four settings: one feature, penalised, to convergence."""
+    train = FE.domain_features(_part(_labelled(spark, sf_dir), "train"), ["label"])
+    x = array_to_vector(F.array(F.col("tenure") / F.lit(72.0)))
+    weighted = materialize(E.class_weight(train.select(x.alias("features"), "label")), "weighted")
+    rows, out = weighted.count(), None
+    for kind, c in LOGISTIC_SETTINGS:
+        fitted = E.build_estimator("logistic_regression", {"C": c, "class_weight": kind}, rows).fit(weighted)
+        table = X.coefficient_table(spark, X.linear_terms(fitted, ["tenure"], {}))
+        one = table.select(
+            F.lit(kind or "none").alias("class_weight"),
+            F.lit(c).alias("C"),
+            "feature",
+            *(F.round(n, 3).alias(n) for n in ("coefficient", "odds_ratio", "abs_coefficient")),
+            F.round(F.lit(float(fitted.intercept)), 3).alias("intercept"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def coerced_records(spark, sf_dir):
+    """Loosely typed records, as a form sends them, cast to the types that scoring takes."""
+    key = F.col("customerID").cast("bigint")
+    loose = subscribers(spark, sf_dir).select(
+        "customerID",
+        F.when(key % 13 == 0, "abc").otherwise(F.col("tenure").cast("string")).alias("tenure"),
+        F.when(key % 11 == 0, "yes").otherwise(F.col("SeniorCitizen").cast("string")).alias("SeniorCitizen"),
+        F.when(key % 7 == 0, "n/a").otherwise(F.col("TotalCharges")).alias("TotalCharges"),
+    )
+    return FE.coerce_records(loose)
+
+
+@query
+def column_check(spark, sf_dir):
+    """Columns that a table with a lost and a renamed column lacks, or has beyond the contract."""
+    raw = subscribers(spark, sf_dir).drop("tenure").withColumnRenamed("Churn", "churned")
+    problems = [("missing", c) for c in quality.missing_columns(raw)]
+    problems += [("unknown", c) for c in quality.unknown_columns(raw)]
+    cells = F.array(*(F.struct(F.lit(p).alias("problem"), F.lit(c).alias("column")) for p, c in problems))
+    return raw.agg(F.count("*").alias("rows")).select("rows", F.inline(cells))
+
+
+@query
+def batch_refusals(spark, sf_dir):
+    """Which batches, by their number of lapsed months, are refused as empty before scoring."""
+    scorer, records = _published_rule(spark, sf_dir)
+    rows = None
+    for months in (0, 36, 72, 73):
+        batch = records.where(F.col("tenure") >= months)
+        try:
+            ranked, _ = ranked_batch(batch, scorer.model)
+            one = ranked.agg(F.count("*").alias("ranked")).withColumn("refused", F.lit(False))
+        except quality.ContractViolation:
+            one = batch.agg(F.count("*").alias("ranked")).withColumn("refused", F.lit(True))
+        one = one.withColumn("from_month", F.lit(months))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
+@query
+def saved_report(spark, sf_dir):
+    """A nested report written as JSON and read back."""
+    by = subscribers(spark, sf_dir).groupBy("Contract", "PaymentMethod").agg(
+        F.count("*").alias("customers"), F.count_if(_hit()).alias("churned")
+    )
+    cell = F.struct("PaymentMethod", "customers", "churned")
+    report = by.groupBy("Contract").agg(
+        F.struct(F.sum("customers").alias("customers"), F.max("churned").alias("worst")).alias("summary"),
+        F.sort_array(F.collect_list(cell)).alias("methods"),
+    )
+    path = scratch_path(spark, "report")
+    writers.write_report(report, path)
+    stored = spark.read.schema(report.schema).json(path)
+    return stored.select("Contract", "summary.customers", "summary.worst", F.inline("methods").alias("method", "n", "lost"))
+
+
+@query
+def saved_history(spark, sf_dir):
+    """A search history appended in two batches and read back."""
+    history = _rule_history(spark, sf_dir)
+    path = scratch_path(spark, "history")
+    writers.append_history(history, path)
+    writers.append_history(history.where("family = 'prior'").withColumn("family", F.lit("again")), path)
+    stored = spark.read.schema(E.HISTORY_SCHEMA).parquet(path)
+    return stored.groupBy("family").agg(
+        F.count("*").alias("folds"), F.round(F.max("test_ap"), M.METRIC_DIGITS).alias("best_ap")
+    )
+
+
+@query
+def background_means(spark, sf_dir):
+    """The means that explanations need, stored beside a model and loaded with it."""
+    parts = materialize(_labelled(spark, sf_dir), "parts")
+    train = _part(parts, "train")
+    means = X.feature_means(FE.domain_features(train), FE.NUMERIC_FEATURES)
+    path = scratch_path(spark, "background")
+    fitted = PipelineModel(stages=[E.ContractRule().fit(train)])
+    writers.save_model(fitted, path, spark, {"family": "rule"}, means)
+    _, facts, loaded = writers.load_model(spark, path)
+    rows = [(feature, facts["family"], mean) for feature, mean in loaded.items()]
+    table = spark.createDataFrame(rows, "feature string, family string, mean double")
+    return table.withColumn("mean", F.round("mean", 6))
+
+
 @query
 def leakage_audit(spark, sf_dir):
     raw = materialize(subscribers(spark, sf_dir), "audit")
