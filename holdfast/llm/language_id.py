@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.llm.text import U64
+from holdfast.session import materialize
 
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 16
@@ -143,11 +144,14 @@ def train(labelled: DataFrame, label_col: str = "lang", text_col: str = "text")
         ).alias("cell"),
     )
     counted = cells.groupBy("label", "cell.bucket").agg(F.sum("cell.n").alias("n"))
+    counted = materialize(counted, "language-counts")
+    most = MODEL_BYTES >> (BUCKET_BITS + 2)
+    # labels are counted before any of their rows comes to the driver
+    if counted.select("label").distinct().limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} languages are too many for one broadcast model")
     # at most languages x buckets rows
     table = counted.toPandas()
     languages = sorted(table["label"].unique())
-    if len(languages) * 4 << BUCKET_BITS > MODEL_BYTES:
-        raise ValueError(f"{len(languages)} languages are too many for one broadcast model")
     counts = np.zeros((len(languages), 1 << BUCKET_BITS))
     docs = np.zeros(len(languages))
     place = table["label"].map({name: k for k, name in enumerate(languages)}).to_numpy(dtype=int)

@@ -1,8 +1,10 @@
 """Line templates (op4), language (op7), decontamination (op8) and packing (op9)."""
 
 import itertools
+import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -230,6 +232,60 @@ def test_held_out_accuracy(spark, sf):
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.95
 
 
+def plain_buckets(text):
+    """Buckets of all n-grams of one text, one character at a time."""
+    folded = []
+    for c in text.lower():
+        c = " " if ord(c) < 128 and not c.isalpha() else c
+        if c != " " or folded[-1:] != [" "]:
+            folded.append(c)
+    word = (1 << 64) - 1
+    for order in N.ORDERS:
+        for at in range(len(folded) - order + 1):
+            mixed = order
+            for k in range(order):
+                mixed += ord(folded[at + k]) * pow(0x9E3779B97F4A7C15, k + 1, 1 << 64)
+            mixed &= word
+            mixed = (mixed ^ mixed >> 31) * 0xBF58476D1CE4E5B9 & word
+            yield mixed >> 64 - N.BUCKET_BITS
+
+
+def test_language_query_equals_plain_bayes(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()
+    counts, docs = defaultdict(Counter), Counter()
+    for r in rows:
+        if zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and r.lang is not None:
+            docs[r.lang] += 1
+            counts[r.lang].update(plain_buckets(r.text or ""))
+    names, size = sorted(docs), 1 << N.BUCKET_BITS
+    totals = {x: sum(counts[x].values()) + N.SMOOTHING * size for x in names}
+    found = {r.doc_id: r for r in N.op7_language_id(spark, sf).collect()}
+    assert len(found) == len(rows)
+    for r in rows:
+        grams = Counter(plain_buckets(r.text or ""))
+        odds = {
+            x: math.log(docs[x] / sum(docs.values()))
+            + sum(n * math.log((counts[x][b] + N.SMOOTHING) / totals[x]) for b, n in grams.items())
+            for x in names
+        }
+        got, best = found[r.doc_id], max(odds.values())
+        assert got.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (got.lang_pred, got.score) == ("und", 0.0)
+            continue
+        assert best - odds[got.lang_pred] < 0.01
+        want = 1 / sum(math.exp(x - odds[got.lang_pred]) for x in odds.values())
+        assert abs(got.score - want) < 1e-3
+
+
+def test_too_many_labels_are_refused_before_they_are_collected(spark, monkeypatch):
+    monkeypatch.setattr(N, "MODEL_BYTES", 3 << (N.BUCKET_BITS + 2))
+    docs = table(spark, [(i, "laka muka", f"l{i}") for i in range(4)])
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        N.train(docs)
+    assert len(N.train(docs.where("doc_id < 3")).languages) == 3
+
+
 # --- decontamination ---------------------------------------------------------------------
 
 
