@@ -15,7 +15,7 @@ from string import ascii_lowercase, ascii_uppercase
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.graph import components
@@ -41,9 +41,8 @@ SIMILARITY = 0.8
 #: A pair is verified if its signatures' likeness, with a standard error of 0.036, is not this far below.
 MARGIN = 0.15
 SEED = 1729
-#: Members in a block, and pairs that a class of a cell may name in the first turn.
-BLOCK = 2048
-QUOTA = 8
+#: Members in a block; where their sets are compared, with so many shingles each on average.
+BLOCK, BLOCK_SHINGLES = 2048, 512
 #: What a text without words has in every place of its signature.
 EMPTY = np.uint16(0xFFFF)
 
@@ -281,9 +280,8 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """Signatures of a binary column as rows."""
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(len(column), -1)
+def _matrix(prints: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(prints), dtype=np.uint16).reshape(len(prints), -1)
 
 
 def _hopeful(floor: float):
@@ -292,46 +290,41 @@ def _hopeful(floor: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                near = likeness(_matrix(batch.column("left")), _matrix(batch.column("right")))
+                near = likeness(*(_matrix(batch.column(c).to_pylist()) for c in ("left", "right")))
                 yield batch.select(["a", "b"]).filter(pa.array(near >= floor))
 
     return run
 
 
 def best_ties(
-    low: np.ndarray, low_class: np.ndarray, high: np.ndarray, high_class: np.ndarray, floor: float, quota: int
+    low: np.ndarray, low_class: np.ndarray, high: np.ndarray, high_class: np.ndarray, floor: float
 ) -> tuple[np.ndarray, np.ndarray, bool]:
-    """(place in low, place in high) of each low class's ``quota`` most alike pairs with other classes.
+    """(place in low, place in high) of each low class's most alike pair with another class.
 
-    Arguments are signatures and class numbers. The last value is False if a class has more pairs
-    that reach ``floor`` than it may name.
+    Arguments are signatures and class numbers. The last value is False if a class has more than
+    one pair that reaches ``floor``.
     """
     left, right, whole = [], [], True
     for label in np.unique(low_class):
         other = np.flatnonzero(high_class != label)
-        found, near = [], []
+        best = (floor, None, None)
+        found = 0
         for at in np.flatnonzero(low_class == label):
+            if not len(other):
+                break
             alike = (high[other] == low[at]).mean(axis=1)
-            close = np.flatnonzero(alike >= floor)
-            found.append(np.stack([np.full(len(close), at), other[close]]))
-            near.append(alike[close])
-            if sum(map(len, near)) > 4 * quota + 4096:
-                found, near, whole = _best(found, near, quota, whole)
-        found, near, whole = _best(found, near, quota, whole)
-        left.append(found[0][0])
-        right.append(found[0][1])
-    return np.concatenate(left), np.concatenate(right), whole
-
-
-def _best(found: list, near: list, quota: int, whole: bool):
-    pairs, alike = np.concatenate(found, axis=1), np.concatenate(near)
-    if len(alike) <= quota:
-        return [pairs], [alike], whole
-    best = np.lexsort((pairs[1], pairs[0], -alike))[:quota]
-    return [pairs[:, best]], [alike[best]], False
-
-
-def _ties(floor: float, quota: int):
+            found += int((alike >= floor).sum())
+            top = int(alike.argmax())
+            if alike[top] > best[0] or best[1] is None and alike[top] >= floor:
+                best = (alike[top], at, other[top])
+        if best[1] is not None:
+            left.append(best[1])
+            right.append(best[2])
+        whole &= found < 2
+    return np.array(left, dtype=int), np.array(right, dtype=int), whole
+
+
+def _ties(floor: float):
     """Ties inside cells; a cell that could not name all its pairs says so by a row without ``a``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,17 +332,12 @@ def _ties(floor: float, quota: int):
             band, a, b = [], [], []
             for cell in batch.to_pylist():
                 members = cell["members"]
-                width = len(members[0]["signature"])
-                prints = np.frombuffer(
-                    b"".join(m["signature"] for m in members), dtype=np.uint16
-                ).reshape(-1, width // 2)
-                _, label = np.unique([m["class"].hex() for m in members], return_inverse=True)
+                prints = _matrix([m["signature"] for m in members])
+                label = _numbers([m["class"] for m in members])
                 block = np.array([m["block"] for m in members])
                 low = np.flatnonzero(block == cell["low"])
                 high = np.flatnonzero(block == cell["high"])
-                if not len(low) or not len(high):
-                    continue
-                x, y, whole = best_ties(prints[low], label[low], prints[high], label[high], floor, quota)
+                x, y, whole = best_ties(prints[low], label[low], prints[high], label[high], floor)
                 band += [cell["band"]] * (len(x) + (not whole))
                 a += [members[i]["set"] for i in low[x]] + [None] * (not whole)
                 b += [members[i]["set"] for i in high[y]] + [None] * (not whole)
@@ -361,14 +349,74 @@ def _ties(floor: float, quota: int):
     return run
 
 
-def _cells(parts: DataFrame, block: int) -> DataFrame:
-    """``band, low, high, members``: the blocks of each open band in which all its open pairs meet.
+def exact_ties(
+    ids: np.ndarray, edges: np.ndarray, label: np.ndarray, low: np.ndarray, high: np.ndarray, similarity: float
+) -> list[tuple[int, int]]:
+    """Pairs (of low, of high) that join classes: their sets, numbered shingles, reach the likeness.
+
+    Every pair of different classes is looked at until it is joined, so the ties connect what all similar
+    pairs would; there are fewer of them than classes.
+    """
+    label, sizes = label.copy(), np.diff(edges)
+    held = np.concatenate([ids[edges[i] : edges[i + 1]] for i in high])
+    starts = np.cumsum(sizes[high]) - sizes[high]
+    mark = np.zeros(ids.max() + 1, dtype=bool)
+    ties = []
+    for at in low:
+        apart = label[high] != label[at]
+        if not apart.any():
+            continue
+        own = ids[edges[at] : edges[at + 1]]
+        mark[own] = True
+        shared = np.add.reduceat(mark[held], starts, dtype=np.int64)
+        mark[own] = False
+        alike = shared / (sizes[at] + sizes[high] - shared) >= similarity
+        for to in high[apart & alike]:
+            if label[to] != label[at]:
+                ties.append((int(at), int(to)))
+                label[label == label[to]] = label[at]
+    return ties
+
+
+def _exact(similarity: float):
+    def run(cell: pa.Table) -> pa.Table:
+        sets = cell.column("shingles").combine_chunks()
+        edges = sets.offsets.to_numpy().astype(np.int64)
+        ids = np.unique(sets.values.to_numpy()[edges[0] : edges[-1]], return_inverse=True)[1]
+        block = cell.column("block").to_numpy()
+        low, high = (
+            np.flatnonzero(block == cell.column(side)[0].as_py()) for side in ("low", "high")
+        )
+        ties = []
+        if len(low) and len(high):
+            label = _numbers(cell.column("class").to_pylist())
+            ties = exact_ties(ids, edges - edges[0], label, low, high, similarity)
+        names = cell.column("set").to_pylist()
+        return pa.table(
+            {
+                "a": pa.array([names[i] for i, _ in ties], pa.binary()),
+                "b": pa.array([names[j] for _, j in ties], pa.binary()),
+            }
+        )
+
+    return run
+
+
+def _numbers(classes: list[bytes]) -> np.ndarray:
+    """The same number for the same class."""
+    seen: dict[bytes, int] = {}
+    return np.array([seen.setdefault(c, len(seen)) for c in classes])
+
+
+def _in_cells(parts: DataFrame, weight: Column, block: int) -> DataFrame:
+    """``parts`` with ``low, high, block``, once for each cell of its band that a row belongs to.
 
     The members of a band's largest class are open towards the others only. So these, the minor
     ones, are cut into blocks that meet every block; the major ones meet blocks of minor ones. A band
-    with few minor members has as many rows as members, however large its main class is.
+    with few minor members has as many rows as members, however large its main class is. A block
+    holds members of about ``block`` in ``weight``.
     """
-    crowd = parts.groupBy("band", "class").agg(F.count("*").alias("m"))
+    crowd = parts.groupBy("band", "class").agg(F.sum(weight).alias("m"))
     crowd = crowd.groupBy("band").agg(
         F.sum("m").alias("size"), F.max(F.struct("m", "class")).alias("major")
     )
@@ -389,15 +437,11 @@ def _cells(parts: DataFrame, block: int) -> DataFrame:
     )
     last = F.when(F.col("minor"), F.col("small") + F.col("large") - 1).otherwise(F.col("small") - 1)
     met = near.withColumn("met", F.explode(F.sequence(F.lit(0), last)))
-    return (
-        met.select(
-            "band",
-            F.least("block", "met").alias("low"),
-            F.greatest("block", "met").alias("high"),
-            F.struct("set", "class", "signature", "block").alias("member"),
-        )
-        .groupBy("band", "low", "high")
-        .agg(F.collect_list("member").alias("members"))
+    return met.select(
+        *parts.columns,
+        "block",
+        F.least("block", "met").alias("low"),
+        F.greatest("block", "met").alias("high"),
     )
 
 
@@ -414,10 +458,11 @@ def near_copy_classes(
 
     Capital ASCII letters count as small ones. Rows with one shingle set are one node; texts without
     words have the empty set. Members of a band that are connected need no comparison. First each
-    meets the one leader of its band. Then, in turns, the bands that still hold several classes are cut into
-    blocks, and each class names its most alike pairs with other classes by signature; these
-    are verified and join classes. A band is done when every class could name all its pairs, so the result
-    is that of all pairs of all bands, while rows are made for the pairs that were named only.
+    meets the one leader of its band. Bands that still hold several classes are cut into blocks, and
+    each class names its most alike pair with another class by signature; these pairs are verified
+    and join classes. Where a class had more than one such pair and classes are still apart, the
+    blocks' shingle sets are compared in the task, which returns the ties that join classes. So the
+    result is that of all pairs of all bands, and no step makes a row per pair.
     """
     small = F.translate("text", ascii_uppercase, ascii_lowercase)
     base = keyed(docs, id_col, text_col).withColumn("text", small)
@@ -480,26 +525,31 @@ def near_copy_classes(
     )
     labels = members.select("set", F.col("set").alias("class"))
     labels = joined(labels, alike(materialize(hopeful, "leader-pairs")))
+    def still_open(bands: DataFrame) -> DataFrame:
+        """``band, set, class`` of the members of bands that hold several classes."""
+        parts = bands.join(labels, "set")
+        mixed = parts.groupBy("band").agg(F.min("class").alias("c"), F.max("class").alias("d"))
+        return parts.join(mixed.where("c <> d").select("band"), "band")
+
     # leaders have met all members of their bands
     pending = keys.where("set <> leader").select("band", "set")
-    quota = QUOTA
-    while True:
-        parts = pending.join(labels, "set")
-        mixed = parts.groupBy("band").agg(F.min("class").alias("c"), F.max("class").alias("d"))
-        parts = parts.join(mixed.where("c <> d").select("band"), "band")
-        parts = materialize(parts.join(prints.drop("n"), "set"), "open-members")
-        if parts.isEmpty():
-            break
-        named = _cells(parts, block).mapInArrow(_ties(floor, quota), "band long, a binary, b binary")
-        named = materialize(named, "named-pairs")
-        pairs = named.where("a is not null").select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-        )
-        pairs = pairs.distinct()
-        labels = joined(labels, alike(pairs))
-        again = named.where("a is null").select("band").distinct()
-        pending = materialize(parts.select("band", "set").join(again, "band"), "pending-members")
-        quota *= 16
+    parts = materialize(still_open(pending).join(prints.drop("n"), "set"), "open-members")
+    cells = (
+        _in_cells(parts, F.lit(1), block)
+        .groupBy("band", "low", "high")
+        .agg(F.collect_list(F.struct("set", "class", "signature", "block")).alias("members"))
+    )
+    named = materialize(cells.mapInArrow(_ties(floor), "band long, a binary, b binary"), "named-pairs")
+    pairs = named.where("a is not null").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    )
+    labels = joined(labels, alike(pairs.distinct()))
+    again = named.where("a is null").select("band").distinct()
+    parts = still_open(parts.select("band", "set").join(again, "band"))
+    parts = materialize(parts.join(sets, "set"), "unsettled-members")
+    cells = _in_cells(parts, F.size("shingles").cast("long"), block * BLOCK_SHINGLES)
+    ties = cells.groupBy("band", "low", "high").applyInArrow(_exact(similarity), "a binary, b binary")
+    labels = joined(labels, ties)
     return sketch.join(labels, "set", "left").select(
         "_id", "_key", F.coalesce("class", "set").alias("class")
     )

@@ -1,9 +1,10 @@
 """SimHash classes (op6), components, and MinHash fingerprints (op5) against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -204,12 +205,12 @@ def edits(rng, base, most):
     return own
 
 
-@pytest.mark.parametrize(("crowd", "block", "quota"), [(90, 2048, 8), (40, 7, 1), (60, 16, 2)])
-def test_one_of_alike_equals_brute_force_jaccard(spark, monkeypatch, crowd, block, quota):
+@pytest.mark.parametrize(("crowd", "block"), [(70, 2048), (40, 7)])
+def test_one_of_alike_equals_brute_force_jaccard(spark, monkeypatch, crowd, block):
     """A chain whose ends are unlike, crowds of edited copies, and a crowd that shares only half.
 
-    Small blocks and quotas take more turns to the same classes."""
-    monkeypatch.setattr(M, "QUOTA", quota)
+    Small blocks meet in more cells and give the same classes."""
+    monkeypatch.setattr(M, "BLOCK_SHINGLES", 100)
     rng = random.Random(crowd)
     words = [f"v{i}" for i in range(3000)]
     texts, chain, base = {}, rng.choices(words, k=100), rng.choices(words, k=200)
@@ -244,21 +245,44 @@ def test_a_thousand_near_copies_and_a_thousand_that_share_a_passage(spark):
     assert kept == set(label.values()) | {d for d in texts if d >= 2000}
 
 
-def test_a_class_names_its_most_alike_pairs(spark):
+def test_a_class_names_its_most_alike_pair():
     rng = np.random.default_rng(3)
     prints = rng.integers(0, 3, (30, 50)).astype(np.uint16)
     label = rng.integers(0, 4, 30)
-    high, high_label = prints[10:], label[10:]
-    for quota in (1, 5, 1000):
-        x, y, whole = M.best_ties(prints[:10], label[:10], high, high_label, 0.3, quota)
-        every = [
-            (label[i], -(prints[i] == high[j]).mean(), i, j)
-            for i in range(10) for j in range(20)
-            if label[i] != high_label[j] and (prints[i] == high[j]).mean() >= 0.3
-        ]
-        want = {(i, j) for c in set(label[:10]) for _, _, i, j in sorted(e for e in every if e[0] == c)[:quota]}
-        assert set(zip(x.tolist(), y.tolist())) == want
-        assert whole == (len(want) == len(every))
+    for floor in (0.3, 0.5, 0.9):
+        x, y, whole = M.best_ties(prints[:10], label[:10], prints[10:], label[10:], floor)
+        every = defaultdict(list)
+        for i, j in itertools.product(range(10), range(10, 30)):
+            alike = (prints[i] == prints[j]).mean()
+            if label[i] != label[j] and alike >= floor:
+                every[label[i]].append(alike)
+        assert {label[i]: (prints[i] == prints[10 + j]).mean() for i, j in zip(x, y)} == {
+            c: max(found) for c, found in every.items()
+        }
+        assert len(x) == len(every) and whole == all(len(found) < 2 for found in every.values())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_exact_ties_connect_what_all_similar_pairs_connect(seed):
+    rng = random.Random(seed)
+    bases = [rng.sample(range(400), 30) for _ in range(3)]
+    found = [sorted({rng.randrange(400) if rng.random() < 0.12 else v for v in rng.choice(bases)}) for _ in range(40)]
+    edges = np.cumsum([0, *map(len, found)])
+    label = np.array([rng.randrange(20) for _ in found])
+    low, high = np.arange(0, 15), np.arange(10, 40)
+    ties = M.exact_ties(np.concatenate(found), edges, label, low, high, 0.8)
+    sets = list(map(set, found))
+    similar = [(i, j) for i in low for j in high if jaccard(sets[i], sets[j]) >= 0.8]
+
+    def joined(pairs):
+        root = {c: c for c in label}
+        for i, j in pairs:
+            a, b = root[label[i]], root[label[j]]
+            root = {c: a if r == b else r for c, r in root.items()}
+        return {frozenset(c for c in root if root[c] == r) for r in root.values()}
+
+    assert similar and set(ties) <= set(similar) and len(ties) < 20
+    assert joined(ties) == joined(similar)
 
 
 def test_pipeline_stage_drops_every_near_copy(spark, sf):
