@@ -17,13 +17,14 @@ from __future__ import annotations
 import heapq
 import json
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import cloudpickle, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -34,6 +35,9 @@ from pyspark.sql.window import Window
 
 from holdfast.session import materialize
 
+# task functions travel by value: executors need no installed copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_BINS = 255
 BLOCK_ROWS = 1 << 14
 #: Least sum of hessians on each side of a split.

@@ -1,9 +1,12 @@
 """Leaf-wise boosting against a plain search over all splits."""
 
 import math
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -156,3 +159,13 @@ def test_bins_of_many_values_are_quantiles(spark):
     assert len(cuts[0]) == B.MAX_BINS - 1 and cuts[1] == []
     assert max(np.diff(cuts[0])) <= 2 * 5000 / 254
     assert B.bin_cuts(df.where("id < 4"), "x", 1) == [[0.0, 1.0, 2.0]]
+
+
+def test_task_functions_need_no_installed_package(tmp_path):
+    grown = [B.Growth(B.Run(), 0.0)]
+    wanted = {0: grown[0].begin()}
+    made = [B._blocks([[1.0]]), B._with_margins(1, grown), B._histograms(1, grown, wanted, 1.0)]
+    file = tmp_path / "functions"
+    file.write_bytes(cloudpickle.dumps(made))
+    code = f"import pickle; pickle.load(open({str(file)!r}, 'rb'))"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": ""}, check=True)
