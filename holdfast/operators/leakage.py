@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import lenient_number, ratio
 from holdfast.operators.features import dummies
+from holdfast.operators.forest import forest_scores
 from holdfast.operators.metrics import evaluate
-from holdfast.operators.models import positive_probability
 from holdfast.operators.split import oversample, seen_in_training, stratified_split
+from holdfast.session import materialize
 
 # Inputs of the audit model.
 NUMERIC = ("tenure", "MonthlyCharges", "TotalCharges", "SeniorCitizen")
@@ -45,13 +46,9 @@ def split_then_balance(df: DataFrame, id_col: str, label: str = "label", seed: i
 def _forest_scores(df: DataFrame, trees: int, depth: int, seed: int) -> DataFrame:
     names = [c for c in df.columns if c not in ("customerID", "label", "draw", "row_key", "split")]
     matrix = VectorAssembler(inputCols=names, outputCol="features").transform(df)
-    matrix = matrix.select("label", "split", "features").persist()
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
-    model = forest.fit(matrix.where(F.col("split") == "train"))
-    scored = positive_probability(model.transform(matrix.where(F.col("split") == "test")))
-    out = evaluate(scored.select("label", "p"), "label", "p").select("roc_auc", "pr_auc").first()
-    matrix.unpersist()
-    return out
+    matrix = matrix.select("label", "split", vector_to_array("features").alias("x"))
+    scored = forest_scores(matrix, "x", "label", "split", trees, depth, seed)
+    return evaluate(scored, "label", "p").select("roc_auc", "pr_auc").first()
 
 
 def leakage_audit(
@@ -64,8 +61,9 @@ def leakage_audit(
     seed: int = 42,
 ) -> DataFrame:
     """One row: contamination of the leaky split and the scores of both arms."""
-    features = audit_features(raw, id_col, target, positive)
-    leaky_rows = balance_then_split(features, id_col, seed=seed)
+    # both arms read these rows several times, so they are stored once
+    features = materialize(audit_features(raw, id_col, target, positive), "audit-features")
+    leaky_rows = materialize(balance_then_split(features, id_col, seed=seed), "leaky-rows")
     honest = _forest_scores(split_then_balance(features, id_col, seed=seed), trees, depth, seed)
     leaky = _forest_scores(leaky_rows, trees, depth, seed)
 

@@ -2,12 +2,14 @@
 
 import json
 
+import numpy as np
 import pytest
 from conftest import customer
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from holdfast.operators import explain as X
+from holdfast.operators import forest as FO
 from holdfast.operators import models as E
 from holdfast.operators import split as S
 from holdfast.operators.quality import ContractViolation, split_valid
@@ -387,3 +389,71 @@ def test_layers_answer_sql_and_the_report_has_six_sections(spark, raw):
 def test_scratch_follows_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def brute_tree(bins, pos, neg, depth):
+    """P(positive) of each row by a plain recursive tree over all features."""
+    out = np.zeros(len(bins))
+
+    def purity(rows):
+        return (pos[rows].sum() ** 2 + neg[rows].sum() ** 2) / (pos[rows].sum() + neg[rows].sum())
+
+    def grow(rows, left):
+        out[rows] = pos[rows].sum() / (pos[rows].sum() + neg[rows].sum())
+        best = (1e-9, None)
+        for f in range(bins.shape[1]) if left else ():
+            for cut in range(bins[rows, f].max()):
+                low, high = rows[bins[rows, f] <= cut], rows[bins[rows, f] > cut]
+                if (pos + neg)[low].sum() and (pos + neg)[high].sum():
+                    drop = purity(low) + purity(high) - purity(rows)
+                    if drop > best[0] + 1e-9:
+                        best = (drop, (low, high))
+        if best[1]:
+            for side in best[1]:
+                grow(side, left - 1)
+
+    grow(np.arange(len(bins)), depth)
+    return out
+
+
+@pytest.mark.parametrize("depth", [0, 1, 3, 30])
+def test_forest_tree_equals_recursive_tree(depth):
+    draw = np.random.default_rng(depth)
+    # drops that are no whole numbers, so that no two splits tie
+    bins = draw.integers(0, 6, (60, 3)).astype(np.uint8)
+    pos, neg = draw.integers(0, 999, 60), draw.integers(0, 999, 60)
+    pos[:5] = neg[:5] = 0
+    pos[5:30:2] = 0
+    found = FO.tree_probabilities(bins, pos, neg, depth, 3, np.random.default_rng(1))
+    # small nodes can tie, which only shows in rows that do not count
+    counted = pos + neg > 0 if depth == 30 else slice(None)
+    np.testing.assert_allclose(found[counted], brute_tree(bins, pos, neg, depth)[counted])
+
+
+def test_forest_scores_separate_classes_and_ignore_partitions(spark):
+    rows = spark.range(600).selectExpr(
+        "CAST(id % 2 AS INT) AS label",
+        "IF(id % 5 = 0, 'test', 'train') AS split",
+        "array(double(id % 2) * 40 + id % 11, double(id % 7), double(id % 3)) AS x",
+    )
+    scored = FO.forest_scores(rows, "x", "label", "split", trees=7, depth=30)
+    again = FO.forest_scores(rows.repartition(5), "x", "label", "split", trees=7, depth=30)
+    found = sorted((r.label, r.p) for r in scored.collect())
+    assert found == sorted((r.label, r.p) for r in again.collect())
+    assert len(found) == 120 and all((p > 0.5) == (y == 1) for y, p in found)
+
+
+def test_leakage_audit_jobs_do_not_grow_with_depth_or_trees(spark, sf):
+    from holdfast.operators import leakage
+    from holdfast.session import materialize
+    from holdfast.sources.testtables import subscribers
+
+    raw = materialize(subscribers(spark, sf), "audit")
+    tracker, found = spark.sparkContext.statusTracker(), {}
+    for trees, depth in ((4, 2), (40, 30)):
+        spark.sparkContext.setJobGroup(f"audit-{trees}", "audit")
+        leakage.leakage_audit(raw, trees=trees, depth=depth).collect()
+        found[trees] = len(tracker.getJobIdsForGroup(f"audit-{trees}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # adaptive joins cost a job more or less
+    assert abs(found[40] - found[4]) <= 6
