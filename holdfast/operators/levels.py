@@ -18,6 +18,12 @@ from pyspark.sql.window import Window
 from holdfast.operators.features import category_counts
 from holdfast.session import materialize
 
+#: Columns of up to so many levels, and levels of so many rows, find their rows by a broadcast: a shuffle by a
+#: column of few values, or of one frequent value, would bring most rows to a few tasks.
+FEW_LEVELS = 10_000
+MANY_ROWS = 100_000
+_SCATTER = 1_000
+
 LEVEL_SCHEMA = "column string, value string, rows long, place long"
 
 
@@ -62,13 +68,35 @@ class LevelEncoder:
         for i, c in enumerate(self.columns):
             two = self.sizes[c] == 2
             own = self.levels.where(F.col("column") == c).select(
-                F.col("value").alias(f"_value{i}"), (F.col("place") - (1 if two else 0)).alias(f"_place{i}")
+                F.col("value").alias(f"_value{i}"),
+                (F.col("place") - (1 if two else 0)).alias(f"_place{i}"),
+                F.col("rows").alias("_rows"),
             )
             filled = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(self.modes[c]))
             out = out.withColumn(f"_filled{i}", filled)
-            out = out.join(own, F.col(f"_filled{i}") == F.col(f"_value{i}"), "left")
-            known = F.col(f"_place{i}")
-            out = out.withColumn(f"_place{i}", F.when(known >= 0, known)).drop(f"_filled{i}", f"_value{i}")
+            same = F.col(f"_filled{i}") == F.col(f"_value{i}")
+            if self.sizes[c] <= FEW_LEVELS:
+                out = out.join(F.broadcast(own.drop("_rows")), same, "left")
+                known = F.col(f"_place{i}")
+            else:
+                common = own.where(F.col("_rows") >= MANY_ROWS).select(
+                    F.col(f"_value{i}").alias("_common"), F.col(f"_place{i}").alias("_found")
+                )
+                rest = own.where(F.col("_rows") < MANY_ROWS).select(
+                    f"_value{i}", f"_place{i}", F.lit(0).cast("bigint").alias("_at")
+                )
+                out = out.join(F.broadcast(common), F.col(f"_filled{i}") == F.col("_common"), "left")
+                # rows that found their level, and those without a value, are spread and match nothing
+                spread = F.pmod(F.xxhash64(*(F.col(f"`{n}`") for n in df.columns)), F.lit(_SCATTER)) + 1
+                waits = F.col("_found").isNull() & F.col(f"_filled{i}").isNotNull()
+                out = out.withColumns({
+                    f"_filled{i}": F.coalesce(F.col(f"_filled{i}"), F.lit("")),
+                    "_to": F.when(waits, F.lit(0)).otherwise(spread).cast("bigint"),
+                })
+                out = out.join(rest, same & (F.col("_to") == F.col("_at")), "left")
+                known = F.coalesce(F.col("_found"), F.col(f"_place{i}"))
+            out = out.withColumn(f"_place{i}", F.when(known >= 0, known))
+            out = out.drop(f"_filled{i}", f"_value{i}", "_common", "_found", "_to", "_at")
         return out
 
     def indices(self, df: DataFrame, name: str = "indices") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast.operators import features as FE
 from holdfast.operators import profile as P
+from holdfast.operators import levels
 from holdfast.operators.levels import LevelEncoder, fit_levels_table
 from holdfast.plans.training import labelled_split
 from holdfast.session import scratch_path
@@ -194,3 +195,23 @@ def test_sparse_vectors_have_ones_at_the_indices(spark):
         assert {r["id"]: r["indices"] for r in e.indices(fresh).collect()} == want
         vectors = {r["id"]: r["features"] for r in e.transform(fresh).collect()}
         assert all(v.size == 4 and [i for i in range(4) if v[i]] == want[k] for k, v in vectors.items())
+
+
+def test_few_levels_are_joined_without_a_shuffle_of_the_rows(spark):
+    df = spark.range(40).selectExpr("CAST(id % 3 AS STRING) AS letter", "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with a large table of levels
+    try:
+        plan = fit_levels_table(df, ["letter"]).indices(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_frequent_levels_have_the_same_places_as_by_one_join(spark, monkeypatch):
+    df = spark.range(60).selectExpr("IF(id % 2 = 0, 'most', IF(id % 11 = 0, NULL, CAST(id AS STRING))) AS v", "id")
+    encoder = fit_levels_table(df.where("id < 50"), ["v"])
+    want = sorted(map(str, encoder.indices(df).collect()))
+    monkeypatch.setattr(levels, "FEW_LEVELS", 0)
+    for many in (1, 10, 100):
+        monkeypatch.setattr(levels, "MANY_ROWS", many)
+        assert sorted(map(str, encoder.indices(df).collect())) == want
