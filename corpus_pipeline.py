@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from holdfast.llm.decontaminate import contaminated
 from holdfast.llm.language_id import confident, fold, train
 from holdfast.llm.line_templates import drop_template_lines
-from holdfast.llm.minhash import one_of_alike
+from holdfast.llm.near_copies import one_of_near
 from holdfast.llm.packing import pack
 from holdfast.llm.rows import packed
 from holdfast.session import scratch_path
@@ -29,8 +29,8 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of texts whose five-word shingles have a Jaccard of 0.8 or more."""
-    return one_of_alike(docs)
+    """One document of each class of SimHash fingerprints within two bits or five-word Jaccards of 0.8 or more."""
+    return one_of_near(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -566,6 +566,11 @@ def one_of_alike(
     Rows of one id are told apart by text, repeated rows by their other columns, the smallest first.
     """
     classes = near_copy_classes(docs, similarity, id_col=id_col, text_col=text_col)
+    return first_of_each(docs, classes, id_col, text_col)
+
+
+def first_of_each(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class of ``classes(_id, _key, class)``, the one with the smallest id; all columns stay."""
     keepers = classes.groupBy("class").agg(F.min(F.struct("_id", "_key")).alias("kept"))
     keepers = materialize(keepers.select("kept.*"), "keepers")
     rows = packed(docs, id_col, text_col).join(keepers, ["_id", "_key"])

@@ -150,7 +150,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def linked_fingerprints(prints: DataFrame) -> DataFrame:
-    """``fp, low, component`` of each distinct fingerprint: its smallest id, its class's smallest."""
+    """``fp, low, component, root`` of each distinct fingerprint: its smallest id, its class's smallest id and fingerprint."""
     distinct = materialize(
         prints.groupBy("fp").agg(F.min("_id").alias("low")), "distinct-fingerprints"
     )
@@ -173,10 +173,10 @@ def linked_fingerprints(prints: DataFrame) -> DataFrame:
     tied = components(buckets.mapInArrow(_linked, "a long, b long"))
     roots = tied.join(distinct.withColumnRenamed("fp", "node"), "node")
     lows = roots.groupBy("root").agg(F.min("low").alias("component"))
-    linked = roots.join(lows, "root").select(F.col("node").alias("fp"), "component")
+    linked = roots.join(lows, "root").select(F.col("node").alias("fp"), "component", "root")
     return materialize(
         distinct.join(linked, "fp", "left").select(
-            "fp", "low", F.coalesce("component", "low").alias("component")
+            "fp", "low", F.coalesce("component", "low").alias("component"), F.coalesce("root", "fp").alias("root")
         ),
         "fingerprint-classes",
     )

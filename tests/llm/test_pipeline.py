@@ -119,3 +119,21 @@ def test_every_operator_is_registered_once():
     assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(ORACLES) <= set(QUERIES)
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_near_copy_stage_links_fingerprints_and_jaccards(spark, monkeypatch):
+    from holdfast.llm import near_copies as N
+
+    words = [f"w{i}" for i in range(60)]
+    docs = [(d, " ".join(words[10 * d :] + [f"own{d}"] * 10 * d), None) for d in range(6)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs, "").collect()} == set(range(6))
+    prints = N.fingerprints(docs).collect()
+    # fingerprints as they are but for two documents one bit from another one
+    of = {r["_id"]: r["fp"] for r in prints}
+    of[4], of[5] = of[1] ^ 1, of[4]
+    of[5] = of[4] ^ 2
+    changed = spark.createDataFrame([(r["_id"], r["_key"], of[r["_id"]]) for r in prints], "_id long, _key long, fp long")
+    monkeypatch.setattr(N, "fingerprints", lambda *args: changed)
+    kept = corpus_pipeline.without_near_copies(spark, docs, "").collect()
+    assert {r.doc_id for r in kept} == {0, 1, 2, 3}
