@@ -301,6 +301,7 @@ def write_warc(records: DataFrame, path: str, records_per_file: int = RECORDS_PE
         .select(F.col("value").cast("string").alias("value"))
         .write.option("lineSep", SEPARATOR)
         .option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")  # packing is the job's largest cost
         .option("maxRecordsPerFile", records_per_file)
         .text(path)
     )

@@ -227,3 +227,15 @@ def test_query_equals_brute_force(spark, sf):
         "page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to")
     )
     assert {tuple(r) for r in rows.collect()} == want
+
+
+def test_warc_files_are_packed_at_the_fastest_level(spark):
+    words = " ".join(f"word{i * i % 997}" for i in range(20_000))
+    pages = spark.createDataFrame([(1, "http://a.b/", words)], "page_id long, url string, html string")
+    path = scratch_path(spark, "level")
+    A.write_warc(A.with_revisits(A.convert_arc(A.arc_archives(pages))), path)
+    packed = next(r.content for r in spark.read.format("binaryFile").load(path).collect() if r.length)
+    plain = gzip.decompress(packed)
+    assert words.encode() in plain
+    # the fastest level is larger than the usual one
+    assert len(packed) > 1.02 * len(gzip.compress(plain, 6))
