@@ -161,6 +161,38 @@ def test_bins_of_many_values_are_quantiles(spark):
     assert B.bin_cuts(df.where("id < 4"), "x", 1) == [[0.0, 1.0, 2.0]]
 
 
+def test_splits_of_a_round_shuffle_the_sums_once(spark):
+    cells = spark.range(40).selectExpr(
+        "CAST(id DIV 100 AS INT) AS run", "CAST(id % 2 AS INT) AS node", "CAST(id % 4 AS INT) AS feature",
+        "CAST(id % 5 AS INT) AS bin", "id - 20 AS g", "id + 1 AS h", "id AS n",
+    )
+    splits = B.best_splits(cells, [B.Run(min_samples_leaf=1)], 1.0)
+    plan = splits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # by feature, then the best of each node
+    assert splits.count() == 2
+
+
+def test_rows_are_routed_alike_whole_or_in_part():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 3))
+    x[::7, 1] = np.nan
+    tree = {
+        "feature": [1, 0, 2, -1, -1, -1, -1], "threshold": [0.1, -0.2, 0.3, 0, 0, 0, 0],
+        "left": [1, 3, 5, 0, 0, 0, 0], "right": [2, 4, 6, 0, 0, 0, 0], "value": [0, 0, 0, 1.0, 2.0, 4.0, 8.0],
+    }
+    want = []
+    for row in x:
+        at = 0
+        while tree["feature"][at] >= 0:
+            low = row[tree["feature"][at]] <= tree["threshold"][at]
+            at = tree["left" if low else "right"][at]
+        want.append(at)
+    assert B._route(x, tree, "threshold").tolist() == want
+    some = np.array([5, 0, 199, 7])
+    sums = B._margins(np.asfortranarray(x), [tree, tree], "threshold", some)
+    assert sums[some].tolist() == [2 * tree["value"][want[i]] for i in some] and np.count_nonzero(sums) == 4
+
+
 def test_task_functions_need_no_installed_package(tmp_path):
     grown = [B.Growth(B.Run(), 0.0)]
     wanted = {0: grown[0].begin()}

@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from holdfast.operators import explain as X
+from holdfast.operators import features as FE
 from holdfast.operators import forest as FO
 from holdfast.operators import models as E
 from holdfast.operators import split as S
@@ -124,6 +125,24 @@ def test_search_on_whole_pipelines(parts):
     assert found.where("train_ap IS NULL OR test_ap IS NULL").count() == 0
 
 
+def test_search_makes_feature_columns_once_and_stores_scores(parts, monkeypatch):
+    made, stored = [], []
+    inner, write = FE.domain_features, E.materialize
+    monkeypatch.setattr(FE, "domain_features", lambda *a: made.append(1) or inner(*a))
+    monkeypatch.setattr(E, "materialize", lambda df, name: stored.append(name) or write(df, name))
+    folded = S.stratified_folds(parts.where("split = 'train'"), "customerID", "label", 2)
+    families = {"logistic_regression": [{"C": c, "max_iter": 5} for c in (0.1, 1.0)]}
+    found = E.randomized_search(folded, families, k=2, keep=["customerID", "label"])
+    assert len(made) == 1 and sorted(stored) == ["domain", "scores", "scores"]
+    # the same numbers as whole pipelines fitted fold by fold
+    for r in found.collect():
+        train = folded.where(F.col("fold") != r["fold"])
+        trained = training.fit_family(train, r["family"], families[r["family"]][r["candidate"]])
+        for part, want in ((train, r["train_ap"]), (folded.where(F.col("fold") == r["fold"]), r["test_ap"])):
+            scored = E.positive_probability(trained.model.transform(part))
+            assert E.evaluate(scored, "label", "p", digits=None).first()["pr_auc"] == pytest.approx(want, abs=1e-9)
+
+
 def test_contributions_add_up_to_the_log_odds(parts, trained):
     flat = parts.limit(20)
     for stage in trained.model.stages[:2]:
