@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from holdfast.operators.quality import ContractViolation, require_contract
 from holdfast.operators.split import require_disjoint, split_manifest
+from holdfast.session import materialize
 from holdfast.sources import commits
 from holdfast.sources.contract import TELCO, Contract
 
@@ -51,6 +52,7 @@ def save_splits(
     df: DataFrame, base: str, contract: Contract = TELCO, seed: int = 42, stratified: bool = True
 ) -> DataFrame:
     """Write the splits, one folder each, and the manifest that seals them."""
+    df = materialize(df, "parts")  # checked and written from the same rows, placed once
     require_disjoint(df, contract.id_column, "split")
     df.write.mode("errorifexists").partitionBy("split").parquet(f"{base}/splits")
     stored = df.sparkSession.read.schema(df.schema).parquet(f"{base}/splits")

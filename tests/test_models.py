@@ -368,6 +368,24 @@ def test_splits_are_stored_sealed_and_pruned(spark, raw):
         readers.read_split(spark, base, "holdout")
 
 
+def test_splits_are_placed_once(spark, raw, monkeypatch):
+    seen = []
+    check = writers.require_disjoint
+    monkeypatch.setattr(writers, "require_disjoint", lambda df, *a: seen.append(df) or check(df, *a))
+    training.split_job(raw, scratch_path(spark, "split"))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "holdfast-parts" in plan
+
+
+def test_a_fit_makes_its_feature_columns_once(parts, monkeypatch):
+    made, inner = [], FE.domain_features
+    monkeypatch.setattr(FE, "domain_features", lambda *a: made.append(1) or inner(*a))
+    params = {"C": 1.0, "max_iter": 3}
+    trained = training.fit_family(parts.where("split = 'train'"), "logistic_regression", params)
+    assert len(made) == 1 and len(trained.terms) == len(trained.feature_names)
+    assert trained.model.transform(parts).count() == parts.count()
+
+
 def test_run_log_numbers_registered_versions(spark):
     path = scratch_path(spark, "runs")
     writers.log_run(spark, path, "a", {"C": 1}, {"ap": 0.5})
