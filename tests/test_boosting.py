@@ -169,7 +169,9 @@ def test_splits_of_a_round_shuffle_the_sums_once(spark):
     splits = B.best_splits(cells, [B.Run(min_samples_leaf=1)], 1.0)
     plan = splits._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2  # by feature, then the best of each node
-    assert splits.count() == 2
+    few = B.best_splits(cells, [B.Run(min_samples_leaf=1)], 1.0, 100)  # no more partitions than the groups fill
+    assert ", 2), REPARTITION_BY_NUM" in few._jdf.queryExecution().executedPlan().toString()
+    assert sorted(few.collect()) == sorted(splits.collect()) and splits.count() == 2
 
 
 def test_rows_are_routed_alike_whole_or_in_part():
